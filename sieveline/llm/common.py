@@ -48,7 +48,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     an executor that is lost later takes no part of it along."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -44,3 +44,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sieveline.llm.line_dedup import drop_repeated_lines
 
     return drop_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query()
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.binary_ids import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
