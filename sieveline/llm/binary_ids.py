@@ -126,17 +126,22 @@ def unpacked(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(blob, "<u2" if len(blob) == 2 * n else "<u4").astype(np.uint32)
 
 
+def unpacked_all(batch: pa.RecordBatch) -> np.ndarray:
+    """The ids of all of a batch's documents in a row."""
+    blobs = batch.column("ids").to_pylist()
+    return unpacked(b"".join(blobs), int(pc.sum(batch.column("n")).as_py() or 0))
+
+
 def id_counts(tokens: DataFrame) -> DataFrame:
     """id, n over all documents: counted per task, then summed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for blob, n in zip(batch.column("ids").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                found = np.bincount(unpacked(blob, n))
-                if len(found) > len(total):
-                    total, found = found, total
-                total[: len(found)] += found
+            found = np.bincount(unpacked_all(batch))
+            if len(found) > len(total):
+                total, found = found, total
+            total[: len(found)] += found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
 
@@ -180,7 +185,7 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str | None = None
             n = batch.column("n").to_numpy()
             if not len(n):
                 continue
-            ids = np.concatenate([unpacked(b, k) for b, k in zip(batch.column("ids").to_pylist(), n.tolist(), strict=True)])
+            ids = unpacked_all(batch)
             parts.append((pc.fill_null(batch.column("doc_id"), NULL_ID).to_numpy(), n, ids))
             held += len(ids)
             if held >= 2 * shard_ids:  # a range that holds more than its share

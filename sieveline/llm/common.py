@@ -66,8 +66,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z and nothing else."""
-    return F.translate(text, UPPER, LOWER)
+    """Lower-case A-Z and nothing else. (``lower`` does that to ASCII text, and faster.)"""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
 def held_out(doc_id: Column) -> Column:

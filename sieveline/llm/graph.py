@@ -1,0 +1,40 @@
+"""Connected components of a link table, by alternating large and small stars.
+
+Each round replaces links by links to smaller nodes, with two aggregations and
+two joins on the node; a node of many links is summed before the shuffle and its
+join partition may be split. Every round is checkpointed to the shared folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sieveline.llm.common import shared_dir
+
+
+def _star(links: DataFrame, large: bool) -> DataFrame:
+    """links: a > b. Each node's larger (or its smaller) neighbours, and with the
+    small star the node itself, are linked to the least of the node and its neighbours."""
+    sides = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else links
+    least = sides.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+    near = sides.join(least, sides["a"] == least["u"])
+    if large:
+        made = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    else:
+        made = near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+    return made.where("a <> b").distinct()
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node, root for every node of a link (columns a, b); the root is the component's
+    least node. Self links, repeated links and links with nulls add nothing."""
+    shared_dir(links.sparkSession)
+    links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    state = None
+    while True:
+        links = _star(_star(links, True), False).checkpoint()
+        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if now == state:
+            return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+        state = now

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import ASCII_SPACE, ascii_lower, replacing
+from sieveline.llm.common import ASCII_SPACE, ascii_lower, replacing, stored
 
 
 def line_key(line: Column) -> Column:
@@ -32,6 +32,7 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     base = docs.select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(text).alias("__row"), F.split(text, "\n").alias("__lines"))
     lines = base.select("__id", "__row", F.posexplode("__lines").alias("__pos", "__line")).withColumn("__key", line_key(F.col("__line"))).where(F.char_length("__key") >= min_chars)
     lines = lines.select("__id", "__row", "__pos", F.xxhash64("__key").alias("__h1"), F.xxhash64(F.lit(1), "__key").alias("__h2"))
+    lines = stored(lines, "lines")  # read twice below; the texts are not
     common = lines.groupBy("__h1", "__h2").agg(F.count_distinct("__id").alias("__n"), F.max("__id").alias("__last")).where(F.col("__n") >= min_docs).drop("__n")
     drops = (
         lines.join(common, ["__h1", "__h2"])

@@ -46,6 +46,30 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+_SHINGLES = f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+    b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+    di AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+    bi AS (SELECT DISTINCT item_id, array_to_string(w[i:i+least(len(w), 5)-1], ' ') AS s, least(len(w), 5) AS k FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM b WHERE len(w) > 0)),
+    n AS (SELECT item_id, count(*) AS n_item FROM bi GROUP BY item_id)
+"""
+
+
+@_query(
+    _SHINGLES
+    + """
+    SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment
+    FROM di JOIN bi USING (s) JOIN n USING (item_id) WHERE k = 5
+    GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item
+    """
+)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query()
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sieveline.llm.binary_ids import round_trip
@@ -58,3 +82,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sieveline.llm.packing import pack_documents
 
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.quality import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
