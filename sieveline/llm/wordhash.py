@@ -16,6 +16,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -28,16 +29,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_known_powers = np.ones(1, np.uint64)
+_known: dict[np.uint64, np.ndarray] = {}
 
 
-def _powers(n: int) -> np.ndarray:
+def _powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 up to base**(n - 1) modulo 2**64; kept, as blocks are of like size."""
-    global _known_powers
+    powers = _known.get(base, np.ones(1, np.uint64))
     with np.errstate(over="ignore"):
-        while len(_known_powers) < n:
-            _known_powers = np.concatenate([_known_powers, _known_powers * (_known_powers[-1] * _BASE)])
-    return _known_powers[:n]
+        while len(powers) < n:
+            powers = np.concatenate([powers, powers * (powers[-1] * base)])
+    _known[base] = powers
+    return powers[:n]
 
 
 class Words:
@@ -58,12 +60,11 @@ class Words:
         if not len(self.start):
             return np.zeros(0, np.uint64)
         n = len(self.data)
-        # sums of byte * base**position, shifted to a common power: exact arithmetic modulo 2**64
-        powers = _powers(n + 1)
+        # sums of byte * base**position, shifted to the word's start: exact arithmetic modulo 2**64
         with np.errstate(over="ignore"):
             sums = np.zeros(n + 1, np.uint64)
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
-            value = (sums[self.end] - sums[self.start]) * powers[n - self.end]
+            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
+            value = (sums[self.end] - sums[self.start]) * _powers(_INVERSE, n)[self.start]
             return mix(value + (self.end - self.start).astype(np.uint64) * _STEP)
 
     def of(self, i: int) -> list[bytes]:
