@@ -96,3 +96,17 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sieveline.llm.quality import score_quality
 
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query()
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
