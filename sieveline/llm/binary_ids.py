@@ -98,14 +98,14 @@ def filesystem(uri: str):
 def write_atomically(uri: str, blob: bytes) -> None:
     store, path = filesystem(uri)
     part = f"{path}.{uuid.uuid4().hex}.tmp"
-    with store.open_output_stream(part) as f:
+    with store.open_output_stream(part, compression=None) as f:
         f.write(blob)
     store.move(part, path)
 
 
 def read_file(uri: str) -> bytes:
     store, path = filesystem(uri)
-    with store.open_input_stream(path) as f:
+    with store.open_input_stream(path, compression=None) as f:
         return f.read()
 
 

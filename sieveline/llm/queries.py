@@ -110,3 +110,36 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sieveline.llm.ann import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+#: The contract's rules (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@_query()
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.url_rules import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query(
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+    newest AS (SELECT html, max(page_id) AS newest FROM p WHERE payload_bytes >= 1000 GROUP BY html)
+    SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN newest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN newest <> page_id THEN newest END AS refers_to
+    FROM p LEFT JOIN newest USING (html)
+    """
+)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sieveline.llm.warc import round_trip
+
+    return round_trip(table(spark, sf_dir, "pages"))
