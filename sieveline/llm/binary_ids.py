@@ -115,7 +115,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
         kind = "<u2" if max(tok.size, end_id + 1) <= 1 << 16 else "<u4"
-        for batch, texts in text_blocks(batches, "__text"):
+        for batch, texts in text_blocks(batches, "__text", raw=True):
             ids = [np.append(x, np.uint32(end_id)).astype(kind) for x in tok.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())], ["doc_id", "ids", "n"])
 

@@ -42,7 +42,7 @@ def keyed_tokens(docs: DataFrame, path: str, end_id: int, id_col: str, text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(path)
         kind = "<u2" if max(tok.size, end_id + 1) <= 1 << 16 else "<u4"
-        for batch, texts in text_blocks(batches, "__text"):
+        for batch, texts in text_blocks(batches, "__text", raw=True):
             ids, keys = [], []
             for x in tok.encode(texts):
                 top = np.unique(x)[-2:] if len(x) < 2 else _two_largest(x)

@@ -128,14 +128,15 @@ class WordTokenizer:
         total = int(ends[-1]) if len(ends) else 0
         return self._flat[np.repeat(self._at[codes] - ends + n, n) + np.arange(total)], ends[group - 1 :: group]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | bytes | None]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         chunks: list[bytes] = []
         counts: list[int] = []
         for i, text in enumerate(texts):
-            data = (text or "").encode().lower()
+            raw = text.encode() if isinstance(text, str) else text or b""
+            data = raw.lower()
             if any(s in data for s in self._special):
-                out[i] = np.array(self._direct([text])[0], np.uint32)
+                out[i] = np.array(self._direct([raw.decode()])[0], np.uint32)
                 counts.append(0)
             else:
                 found = data.split()
@@ -160,9 +161,9 @@ def tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20, raw: bool = False) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of the batches with about ``most`` bytes of text each, so that memory
-    doesn't follow the batch size."""
+    doesn't follow the batch size; and their texts (``raw``: as UTF-8)."""
     for batch in batches:
         texts = batch.column(column)
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -171,4 +172,5 @@ def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 <<
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 piece = batch.slice(a, b - a)
-                yield piece, piece.column(column).to_pylist()
+                held = piece.column(column)
+                yield piece, (held.cast(pa.binary()) if raw else held).to_pylist()
