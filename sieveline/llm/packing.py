@@ -46,13 +46,28 @@ def keyed_tokens(docs: DataFrame, path: str, end_id: int, id_col: str, text_col:
             ids, keys = [], []
             for x in tok.encode(texts):
                 top = np.unique(x)[-2:] if len(x) < 2 else _two_largest(x)
-                keys.append(int(top[-1]) << 32 | int(top[0]) if len(top) else 0)
+                keys.append(_scramble(int(top[-1])) << 32 | int(top[0]) if len(top) else 0)
                 ids.append(np.append(x, np.uint32(end_id)).astype(kind))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.array(keys, pa.int64())], ["doc_id", "ids", "n", "key"])
 
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long, key long")
 
 
+def _scramble(x: int) -> int:
+    """31 bits in another order: long documents, whose largest ids are larger, must not lie together."""
+    return (x * 0x9E3779B1 & 0xFFFFFFFF) >> 1
+
+
+def _pairs(docs: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """id << bits | document of every id, sorted, in 32 bits where they fit; and bits."""
+    bits = max(1, (len(docs) - 1).bit_length())
+    ids = np.concatenate(docs)
+    kind = np.uint32 if int(ids.max(initial=0)) < 1 << (32 - bits) else np.uint64
+    pairs = ids.astype(kind) << kind(bits) | np.repeat(np.arange(len(docs), dtype=kind), [len(d) for d in docs])
+    pairs.sort()
+    return pairs, bits
+
+
 def _two_largest(x: np.ndarray) -> tuple[int, int]:
     most = x.max()
     rest = x[x < most]
@@ -69,10 +84,9 @@ def document_frequencies(tokens: DataFrame) -> DataFrame:
             docs, ids = docs + len(n), ids + sum(n)
             for a in range(0, len(n), 256):
                 part = [unpacked(b, k) for b, k in zip(blobs[a : a + 256], n[a : a + 256], strict=True)]
-                pairs = np.repeat(np.arange(len(part), dtype=np.int64), [len(p) for p in part]) << 32 | np.concatenate(part)
-                pairs.sort()
+                pairs, bits = _pairs(part)
                 first = np.append(True, pairs[1:] != pairs[:-1])
-                found = np.bincount(pairs[first] & 0xFFFFFFFF)
+                found = np.bincount(pairs[first] >> pairs.dtype.type(bits))
                 if len(found) > len(total):
                     total, found = found, total
                 total[: len(found)] += found
@@ -87,11 +101,11 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         lengths = np.array([len(d) for d in docs], np.int64)
-        pairs = np.concatenate(docs).astype(np.int64) << 32 | np.repeat(np.arange(len(docs), dtype=np.int64), lengths)
-        pairs.sort()
+        pairs, bits = _pairs(docs)
         first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
         tf = np.diff(np.append(first, len(pairs)))
-        term, self.doc = pairs[first] >> 32, pairs[first] & 0xFFFFFFFF
+        held = pairs[first].astype(np.int64)
+        term, self.doc = held >> bits, held & ((1 << bits) - 1)
         self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / mean))
         edges = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
         self.first, self.last = edges, np.append(edges[1:], len(term))
