@@ -86,7 +86,7 @@ def document_frequencies(tokens: DataFrame) -> DataFrame:
                 part = [unpacked(b, k) for b, k in zip(blobs[a : a + 256], n[a : a + 256], strict=True)]
                 pairs, bits = _pairs(part)
                 first = np.append(True, pairs[1:] != pairs[:-1])
-                found = np.bincount(pairs[first] >> pairs.dtype.type(bits))
+                found = np.bincount((pairs[first] >> pairs.dtype.type(bits)).astype(np.int64))
                 if len(found) > len(total):
                     total, found = found, total
                 total[: len(found)] += found
