@@ -110,20 +110,23 @@ class Index:
         edges = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
         self.first, self.last = edges, np.append(edges[1:], len(term))
         slot = np.repeat(np.arange(len(edges)), self.last - self.first)
-        # each document's terms, heaviest first; those that no other document has find nothing
+        # each document's terms that another document has too
         useful = np.flatnonzero((self.last - self.first)[slot] > 1)
-        order = useful[np.lexsort((-self.weight[useful], self.doc[useful]))]
-        self.terms = slot[order]
+        order = useful[np.argsort(self.doc[useful].astype(np.uint16 if len(docs) <= 1 << 16 else np.int64), kind="stable")]
+        self.terms, self.heavy = slot[order], self.weight[order]
         self.of = np.searchsorted(self.doc[order], np.arange(len(docs) + 1))
         self.size = len(docs)
 
     def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
         """Unused documents that share a term with the seed, best first, ties in shard order."""
-        terms = self.terms[self.of[seed] : min(self.of[seed + 1], self.of[seed] + QUERY_TERMS)]
+        own = slice(self.of[seed], self.of[seed + 1])
+        terms = self.terms[own]
         if not len(terms):
             return terms
-        where = np.concatenate([np.arange(self.first[t], self.last[t]) for t in terms])
-        scores = np.bincount(self.doc[where], self.weight[where], minlength=self.size)
+        if len(terms) > QUERY_TERMS:  # those of the largest weights, ties to the smaller ids
+            terms = terms[np.argsort(-self.heavy[own], kind="stable")[:QUERY_TERMS]]
+        lists = [slice(a, b) for a, b in zip(self.first[terms].tolist(), self.last[terms].tolist(), strict=True)]
+        scores = np.bincount(np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists]), minlength=self.size)
         scores[~free] = 0
         found = np.flatnonzero(scores)
         return found[np.argsort(-scores[found], kind="stable")]

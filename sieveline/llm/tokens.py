@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct chunks a worker remembers.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 800_000
 #: Marks that may follow a word; with it they make two pieces. (An apostrophe may not: it starts a piece with letters.)
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -161,7 +161,7 @@ def tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20, raw: bool = False) -> Iterator[tuple[pa.RecordBatch, list]]:
+def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20, raw: bool = False) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of the batches with about ``most`` bytes of text each, so that memory
     doesn't follow the batch size; and their texts (``raw``: as UTF-8)."""
     for batch in batches:
