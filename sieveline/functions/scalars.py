@@ -67,7 +67,7 @@ def iso_stamp(year: Column, month: Column, day: Column, clock: Column) -> Column
 
 
 def seconds_apart(a: Column, b: Column) -> Column:
-    return F.abs(F.unix_seconds(a) - F.unix_seconds(b))
+    return F.abs(F.unix_seconds(a.cast("timestamp")) - F.unix_seconds(b.cast("timestamp")))
 
 
 def half_even(value: Column, digits: int = 0) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,15 +70,12 @@ def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks
     matrix product at a time; rows travel once for each block, and no task holds
     more than two. Exact for any data, so its work grows with the square of the rows.
     """
-    import numpy as np
-    import pyarrow as pa
-
     n = df.count()
     k = blocks or max(1, -(-n // 4096))
     rows = df.where(F.col(vector).isNotNull()).select(F.col(identity).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).withColumn("own", F.pmod(F.xxhash64("id"), F.lit(k)).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")}).drop("other")
 
-    def near(key, held: pa.Table) -> pa.Table:
+    def near(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
         ids, own = held.column("id").to_numpy(), held.column("own").to_numpy()
         flat = held.column("v").combine_chunks()
         x = np.asarray(flat.flatten()).reshape(len(ids), -1)
@@ -104,7 +103,7 @@ def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, id
 def time_neighbours(df: DataFrame, group: str, stamp: str, strong: Column, seconds: int = 3600) -> DataFrame:
     """Rows within (0, seconds] of a strong row of their group, on either side. A running
     window finds the last strong instant before and the first after; there is no join."""
-    at = F.unix_seconds(stamp)
+    at = F.unix_seconds(F.col(stamp).cast("timestamp"))
     order = Window.partitionBy(group).orderBy(at)
     marked = df.withColumns({"_at": at, "_strong": F.when(strong, at)})
     before = F.last("_strong", True).over(order.rangeBetween(-seconds, -1))

@@ -23,9 +23,13 @@ def register(name: str, sql: str | None = None):
     return keep
 
 
-FLAGSHIP = "agg_count_by_value"
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@register(FLAGSHIP, "SELECT source, count(*) AS n FROM documents GROUP BY source")
+FLAGSHIP = "exact_dedup_documents"
+
+
+@register("agg_count_by_value", "SELECT source, count(*) AS n FROM documents GROUP BY source")
 def agg_count_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").agg(F.count("*").alias("n"))
+    return table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))

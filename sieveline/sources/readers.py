@@ -25,7 +25,7 @@ BOM = "﻿"
 def manifest(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
     """A CSV manifest: every column text, blank for missing, a byte order mark ignored,
     unknown columns kept in order; an error without a required column."""
-    raw = spark.read.csv(path, header=True, escape='"', multiLine=True, inferSchema=False)
+    raw = spark.read.csv(path, header=True, escape='"', multiLine=True, inferSchema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     named = raw.toDF(*[c.lstrip(BOM) for c in raw.columns])
     return require_columns(named, required or []).na.fill("")
 

@@ -18,7 +18,7 @@ def write_manifest(df: DataFrame, path: str, fields: list[str], mode: str = "err
     extra = sorted(set(df.columns) - set(fields))
     if extra:
         raise ValueError(f"unknown columns: {', '.join(extra)}")
-    df.select(*fields).write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
+    df.select(*fields).write.mode(mode).csv(path, header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def statistics_json(metrics: DataFrame) -> str:
