@@ -113,7 +113,7 @@ def spanning(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Links (rows of two) that connect what the pairs within MOST_BITS between the
     two sides connect; each is a chain of such pairs, at most one per member."""
     left, right = np.unique(left), np.unique(right)
-    near = np.bitwise_count(left[:, None] ^ right[None, :]) <= MOST_BITS
+    near = np.bitwise_count((left[:, None] ^ right[None, :]).view(np.uint64)) <= MOST_BITS  # (of signed numbers it counts the absolute value)
     rank = {x: i for i, x in enumerate(np.union1d(left, right).tolist())}
     value = np.array(list(rank), np.int64)
     own = [np.array([rank[x] for x in side.tolist()], np.int64) for side in (left, right)]
