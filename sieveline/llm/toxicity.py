@@ -20,6 +20,7 @@ texts of all rows are scored.
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -32,12 +33,12 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import held_out, stored
 from sieveline.llm.tokens import text_blocks
 
-TOXIC_ROWS, CLEAN_ROWS = 2_000, 4_000
+TOXIC_ROWS, CLEAN_ROWS = 1_000, 2_000
 THRESHOLD = 0.5
 #: A term marks at least so many toxic documents, this many times as often as clean ones.
 LEAST_DOCS, LEAST_SHARE, LEAST_LIFT = 3, 0.01, 15.0
 #: Of terms in this share of the toxic documents less is asked.
-COMMON, COMMON_LIFT = 0.03, 4.0
+COMMON, COMMON_DOCS, COMMON_LIFT = 0.03, 12, 4.0
 #: Words that a stem must have begun.
 LEAST_ENDINGS = 3
 MOST_TERMS = 2_000
@@ -219,11 +220,12 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(x @ self.curve, -60, 60)))
 
 
-def _words(text: str | None) -> set[str]:
-    return {w for c in set((text or "").split()) if (w := plain(c))}
+def _words(text: str | None) -> tuple[str, ...]:
+    """The distinct words; equal ones of many texts are one object, as the driver holds a sample's."""
+    return tuple({sys.intern(w) for c in set((text or "").split()) if (w := plain(c))})
 
 
-def _families(documents: list[set[str]]) -> list[set[str]]:
+def _families(documents: list[tuple[str, ...]]) -> list[tuple[str, ...]]:
     """Near copies made one, their words together: documents that share the two least
     hashes of their long words, in one of BANDS orders. Else the words of a text
     with many copies would look like terms."""
@@ -242,34 +244,44 @@ def _families(documents: list[set[str]]) -> list[set[str]]:
         for band in range(BANDS):
             key = (band, *sorted(xxhash.xxh64_intdigest(w, band) for w in long)[:2])
             parent[find(i)] = find(first.setdefault(key, i))
-    families: dict[int, set[str]] = defaultdict(set)
-    for i, words in enumerate(documents):
-        families[find(i)] |= words
-    return list(families.values())
+    families: dict[int, list[int]] = defaultdict(list)
+    for i in range(len(documents)):
+        families[find(i)].append(i)
+    return [documents[own[0]] if len(own) == 1 else tuple(set().union(*(documents[i] for i in own))) for own in families.values()]
+
 
+def _terms(words: tuple[str, ...]) -> set[str]:
+    """The words and their stems."""
+    return {t for w in words for t in (w, *(w[:k] + "*" for k in range(STEM, len(w))))}
 
-def learn_lexicon(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
+
+def learn_lexicon(toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) -> list[str]:
     """Words and stems (``stem*``) that mark toxic documents, the commonest first. A
     term is left out if shorter or longer forms of it leave it too few documents of
     its own."""
+    n1, n0 = max(1, len(toxic)), max(1, len(clean))
+    least = max(LEAST_DOCS, LEAST_SHARE * n1)
+    # a sketch of the terms' counts tells which can be common enough; only those are held
+    sketch = np.zeros(1 << 22, np.int32)
+    for words in toxic:
+        sketch[np.fromiter({hash(t) & 0x3FFFFF for t in _terms(words)}, np.int64)] += 1
     holders: dict[str, set[int]] = defaultdict(set)
     endings: dict[str, set[str]] = defaultdict(set)
     for i, words in enumerate(toxic):
         for word in words:
-            holders[word].add(i)
+            if sketch[hash(word) & 0x3FFFFF] >= least:
+                holders[word].add(i)
             for k in range(STEM, len(word)):
-                holders[word[:k] + "*"].add(i)
-                endings[word[:k] + "*"].add(word)
-    n1, n0 = max(1, len(toxic)), max(1, len(clean))
-    least = max(LEAST_DOCS, LEAST_SHARE * n1)
+                stem = word[:k] + "*"
+                if sketch[hash(stem) & 0x3FFFFF] < least:
+                    break  # a longer stem has no more documents
+                holders[stem].add(i)
+                endings[stem].add(word)
     holders = {t: d for t, d in holders.items() if len(d) >= least and (not t.endswith("*") or len(endings[t]) >= LEAST_ENDINGS)}
     against: Counter[str] = Counter()
     for words in clean:
-        seen = set()
-        for word in words:
-            seen.update(t for t in (word, *(word[:k] + "*" for k in range(STEM, len(word)))) if t in holders)
-        against.update(seen)
-    good = [t for t, d in holders.items() if (len(d) / n1) / ((against[t] + 0.5) / n0) >= (LEAST_LIFT if len(d) < COMMON * n1 else COMMON_LIFT)]
+        against.update(t for t in _terms(words) if t in holders)
+    good = [t for t, d in holders.items() if (len(d) / n1) / ((against[t] + 0.5) / n0) >= (COMMON_LIFT if len(d) >= max(COMMON_DOCS, COMMON * n1) else LEAST_LIFT)]
     good.sort(key=lambda t: (3 * against[t] / n0 - len(holders[t]) / n1, t.endswith("*"), -len(t), t))
     chosen: list[str] = []
     by_start: dict[str, list[str]] = defaultdict(list)  # chosen terms by their first letters
@@ -284,12 +296,12 @@ def learn_lexicon(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
     return chosen
 
 
-def weigh(terms: list[str], toxic: list[set[str]], clean: list[set[str]]) -> dict[tuple[int, int], float]:
+def weigh(terms: list[str], toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) -> dict[tuple[int, int], float]:
     """The log-odds of each (errors, term) by the documents that hold such a match."""
     automaton = Automaton(terms)
     found: dict[str, tuple] = {}
 
-    def count(documents: list[set[str]]) -> Counter:
+    def count(documents: list[tuple[str, ...]]) -> Counter:
         total: Counter = Counter()
         for words in documents:
             seen = set()
@@ -335,6 +347,7 @@ def fit(sample: list[tuple[str | None, int]]) -> Scorer:
     scorer = Scorer(terms, weigh(terms, toxic, clean), [], share)
     x, _ = scorer.features([t for t, _ in sample])
     scorer.curve = _curve(x, np.array([y for _, y in sample], float))
+    scorer._matches = None
     return scorer
 
 
