@@ -236,4 +236,93 @@ def select_diverse(pool: DataFrame, vector: str, identity: str, count: int, *, g
         return found
 
     schema = ", ".join([*[f"{k} {dict(pool.dtypes)[k]}" for k in keys], f"{identity} {kind}", "position long"])
-    return (rows.groupBy(*keys) if keys else rows.groupBy(F.lit(0))).applyInPandas(kernel, schema)
+    return rows.groupBy(*keys).applyInPandas(kernel, schema)
+
+
+def over_pool(pool: DataFrame, kernel: Callable[[pd.DataFrame], pd.DataFrame], schema: str, *, by: list[str] | None = None, pool_rows: int = POOL_ROWS) -> DataFrame:
+    """Run a kernel over the pool, or over each group of ``by``; too large a group is an error."""
+
+    def run(held: pd.DataFrame) -> pd.DataFrame:
+        if len(held) > pool_rows:
+            raise ValueError(f"a pool of {len(held)} rows; reduce it to {pool_rows} first")
+        return kernel(held)
+
+    return pool.groupBy(*(by or [])).applyInPandas(run, schema)
+
+
+def admit(pool: DataFrame, identity: str, vector: str, group: str, site: str, position: str, *, existing: np.ndarray | None = None, **limits) -> DataFrame:
+    """identity and decision of every row, decided in the order of ``position``: see ``near_free``."""
+    kind = dict(pool.dtypes)[identity]
+
+    def kernel(held: pd.DataFrame) -> pd.DataFrame:
+        held = held.sort_values("_p", kind="stable")
+        decisions = near_free(np.stack(held["_v"].to_numpy()), held["_g"].tolist(), held["_s"].tolist(), existing=existing, **limits)
+        return pd.DataFrame({identity: held[identity], "decision": decisions})
+
+    rows = pool.select(identity, F.col(vector).cast("array<double>").alias("_v"), F.col(group).cast("string").alias("_g"), F.col(site).cast("string").alias("_s"), F.col(position).alias("_p"))
+    return over_pool(rows, kernel, f"{identity} {kind}, decision string")
+
+
+def select_by_quota(pool: DataFrame, identity: str, vector: str, group: str, stratum: str, features: str, *, minimums: list[tuple[str, int]], strata: dict[str, int], cap: int) -> DataFrame:
+    """identity, stratum and position of a diverse selection: see ``quota_selection``."""
+    kind = dict(pool.dtypes)[identity]
+
+    def kernel(held: pd.DataFrame) -> pd.DataFrame:
+        rows = [{"stratum": s, "group": g, "features": set(f)} for s, g, f in zip(held["_s"], held["_g"], held["_f"], strict=True)]
+        chosen = quota_selection(rows, np.stack(held["_v"].to_numpy()), held["_r"].tolist(), minimums, strata, cap)
+        found = held.iloc[chosen]
+        return pd.DataFrame({identity: found[identity], "stratum": found["_s"], "position": np.arange(1, len(chosen) + 1)})
+
+    rows = pool.select(identity, F.col(vector).cast("array<double>").alias("_v"), F.col(group).cast("string").alias("_g"), F.col(stratum).alias("_s"), F.col(features).alias("_f"), stable_rank(identity).alias("_r"))
+    return over_pool(rows, kernel, f"{identity} {kind}, stratum string, position long")
+
+
+def shortlist(pool: DataFrame, identity: str, classes: str, *, targets: dict[str, int], total: int) -> DataFrame:
+    """identity and position: see ``rarest_first``."""
+    kind = dict(pool.dtypes)[identity]
+
+    def kernel(held: pd.DataFrame) -> pd.DataFrame:
+        chosen = rarest_first([{"classes": list(c)} for c in held["_c"]], held["_r"].tolist(), targets, total)
+        return pd.DataFrame({identity: held.iloc[chosen][identity], "position": np.arange(1, len(chosen) + 1)})
+
+    return over_pool(pool.select(identity, F.col(classes).alias("_c"), stable_rank(identity).alias("_r")), kernel, f"{identity} {kind}, position long")
+
+
+def supplement(pool: DataFrame, identity: str, classes: str, group: str, *, count: int, floors: dict[str, int], cap: int) -> DataFrame:
+    """identity of ``count`` rows that meet the floors as far as found: see ``floors_with_swaps``."""
+    kind = dict(pool.dtypes)[identity]
+
+    def kernel(held: pd.DataFrame) -> pd.DataFrame:
+        rows = [{"classes": list(c), "group": g, "rank": r} for c, g, r in zip(held["_c"], held["_g"], held["_r"], strict=True)]
+        chosen, _ = floors_with_swaps(rows, count, floors, cap)
+        return pd.DataFrame({identity: held.iloc[sorted(chosen)][identity]})
+
+    return over_pool(pool.select(identity, F.col(classes).alias("_c"), F.col(group).cast("string").alias("_g"), stable_rank(identity).alias("_r")), kernel, f"{identity} {kind}")
+
+
+def plan_archives(archives: DataFrame, sites: DataFrame, *, least_bytes: int, budget: int, total: int, seasons: tuple[str, ...] = ("winter", "spring", "summer", "autumn")) -> DataFrame:
+    """season, site and bytes of the plan. archives: site, season, bytes; a season's queue has
+    each known site's smallest archive that is large enough, by size, then hash."""
+    fit = archives.where(F.col("bytes") >= least_bytes).join(sites.select("site").distinct(), "site", "left_semi")
+    queue = fit.groupBy("season", "site").agg(F.min("bytes").alias("bytes")).withColumn("_r", stable_rank(F.lit("plan"), "season", "site"))
+
+    def kernel(held: pd.DataFrame) -> pd.DataFrame:
+        held = held.sort_values(["bytes", "_r"])
+        queues = {s: list(zip(g["site"], g["bytes"].astype(int), strict=True)) for s in seasons for g in [held[held["season"] == s]]}
+        targets = {s: total // len(seasons) + (i < total % len(seasons)) for i, s in enumerate(seasons)}
+        return pd.DataFrame(budgeted_plan(queues, targets, budget), columns=["season", "site", "bytes"])
+
+    return over_pool(queue, kernel, f"season string, site {dict(archives.dtypes)['site']}, bytes long")
+
+
+def select_frames(frames: DataFrame, identity: str, *, targets: dict[tuple[str, str], int], site_cap: int) -> DataFrame:
+    """identity and position: see ``bucketed``. frames: role, season, site, component, day, confidence."""
+    kind = dict(frames.dtypes)[identity]
+
+    def kernel(held: pd.DataFrame) -> pd.DataFrame:
+        rows = held[["role", "season", "site", "component", "day", "confidence", "rank"]].to_dict("records")
+        chosen = bucketed(rows, targets, site_cap)
+        return pd.DataFrame({identity: held.iloc[chosen][identity], "position": np.arange(1, len(chosen) + 1)})
+
+    ranked = frames.withColumn("rank", stable_rank(F.lit("frames"), "role", "season", identity))
+    return over_pool(ranked.select(identity, "role", "season", "site", "component", "day", "confidence", "rank"), kernel, f"{identity} {kind}, position long")
