@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import scratch_path, stored
+from sieveline.llm.common import long_rows, scratch_path, stored
 from sieveline.llm.tokens import default_path, text_blocks, tokenizer
 
 MAGIC = b"SVLIDS01"
@@ -119,7 +119,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
             ids = [np.append(x, np.uint32(end_id)).astype(kind) for x in tok.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())], ["doc_id", "ids", "n"])
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long")
+    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long")
 
 
 def unpacked(blob: bytes, n: int) -> np.ndarray:

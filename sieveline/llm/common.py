@@ -42,6 +42,20 @@ def sweep(spark: SparkSession) -> None:
         path.getFileSystem(hadoop).delete(path, True)
 
 
+#: Rows of a batch that goes to a Python worker.
+BATCH_ROWS = 1000
+
+
+def long_rows(df: DataFrame) -> DataFrame:
+    """``df``, for a Python operator over texts or pages: the session's Arrow batches are
+    lowered to BATCH_ROWS rows, as 10,000 long texts in a batch take gigabytes on both sides."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import stored
+from sieveline.llm.common import long_rows, stored
 from sieveline.llm.tokens import text_blocks
 from sieveline.llm.wordhash import Words
 
@@ -116,7 +116,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, width: int = WIDTH, thres
     left out; rows that repeat an item or a document give the pair once, with the
     largest containment. An empty table gives no rows.
     """
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).where("doc_id IS NOT NULL AND __text IS NOT NULL")
+    texts = long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).where("doc_id IS NOT NULL AND __text IS NOT NULL")
     found = None
     for block in _blocks(items, item_id_col, item_text_col):
         index = docs.sparkSession.sparkContext.broadcast(Items(block, width, threshold))

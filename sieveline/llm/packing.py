@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.binary_ids import unpacked
-from sieveline.llm.common import stored
+from sieveline.llm.common import long_rows, stored
 from sieveline.llm.tokens import default_path, text_blocks, tokenizer
 
 WINDOW = 2048
@@ -50,7 +50,7 @@ def keyed_tokens(docs: DataFrame, path: str, end_id: int, id_col: str, text_col:
                 ids.append(np.append(x, np.uint32(end_id)).astype(kind))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.array(keys, pa.int64())], ["doc_id", "ids", "n", "key"])
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long, key long")
+    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long, key long")
 
 
 def _scramble(x: int) -> int:

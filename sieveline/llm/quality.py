@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import held_out, stored
+from sieveline.llm.common import held_out, long_rows, stored
 from sieveline.llm.tokens import text_blocks
 from sieveline.llm.wordhash import Words
 
@@ -105,7 +105,7 @@ def document_statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
             rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, N_STATISTICS), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rows], ["doc_id", "x"])
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, x array<double>")
+    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, x array<double>")
 
 
 @dataclass

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import stored
+from sieveline.llm.common import long_rows, stored
 from sieveline.llm.tokens import text_blocks
 from sieveline.llm.wordhash import Words
 from sieveline.operators.graph import components
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id",
         for batch, texts in text_blocks(batches, "__text", 2 << 20):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fingerprint_ints(texts, width), pa.int64())], ["doc_id", "fp"])
 
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, fp long")
+    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def _embedding(fp: Column) -> Column:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import held_out, stored
+from sieveline.llm.common import held_out, long_rows, stored
 from sieveline.llm.tokens import text_blocks
 
 TOXIC_ROWS, CLEAN_ROWS = 1_000, 2_000
@@ -50,7 +50,7 @@ STEM = 4
 #: Words on either side of a match that tell its use.
 WINDOW = 8
 QUOTED, REPORTED, ADDRESSED = 0.35, 0.6, 1.25
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 QUOTES = "\"“”„«»‹›"
 REPORTS = frozenset("said says say wrote writes quoted quote quotes called reported reports according dijo dice escribió dit écrit sagte sagt schrieb".split())
@@ -177,6 +177,10 @@ class Scorer:
     def __getstate__(self):
         return {"terms": self.terms, "weights": self.weights, "curve": self.curve, "share": self.share, "_matches": None}
 
+    def forget(self) -> None:
+        """Drop the words remembered."""
+        self._matches = None
+
     def _context(self, chunks: list[bytes], at: int) -> float:
         before = [c.decode("utf-8", "replace") for c in chunks[max(0, at - WINDOW) : at]]
         after = [c.decode("utf-8", "replace") for c in chunks[at + 1 : at + 1 + WINDOW]]
@@ -347,7 +351,7 @@ def fit(sample: list[tuple[str | None, int]]) -> Scorer:
     scorer = Scorer(terms, weigh(terms, toxic, clean), [], share)
     x, _ = scorer.features([t for t, _ in sample])
     scorer.curve = _curve(x, np.array([y for _, y in sample], float))
-    scorer._matches = None
+    scorer.forget()
     return scorer
 
 
@@ -377,8 +381,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
             x, n = model.features(texts)
             score = model.score(x)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32)), pa.array(n, pa.int64())], ["doc_id", "score", "predicted", "n_matches"])
+        model.forget()  # the worker lives on, for other operators
 
-    scored = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, score double, predicted int, n_matches long")
+    scored = long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, score double, predicted int, n_matches long")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_matches")
 
 

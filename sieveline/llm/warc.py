@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.llm.binary_ids import filesystem, read_file, write_atomically
-from sieveline.llm.common import scratch_path, stored
+from sieveline.llm.common import long_rows, scratch_path, stored
 from sieveline.llm.tokens import text_blocks
 
 #: Payloads of fewer bytes are never revisits.
@@ -99,7 +99,7 @@ def gzip_member(data: bytes) -> bytes:
 
 def write_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Write a record per row; key, page_id and line (file, offset, length) of each capture."""
-    rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.encode(F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")), "UTF-8").alias("payload"))
+    rows = long_rows(pages).select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.encode(F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     seen = stored(rows.where(F.octet_length("payload") >= least_bytes).select("page_id", "digest"), "digests")
     newest = seen.groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1 AND newest IS NOT NULL").drop("n")
