@@ -93,22 +93,49 @@ def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks
     return dealt.groupBy("a", "b").applyInArrow(near, "left_id long, right_id long, cosine double")
 
 
-def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, identity: str) -> DataFrame:
-    """Each candidate's largest inner product with the existing set, which must be the
-    small side: each of its vectors meets every candidate."""
-    fixed = existing.select(F.col(vector).alias("_e"))
-    return candidates.join(fixed, F.lit(True), "left").groupBy(identity).agg(F.max(dot(F.col(vector), F.col("_e"))).alias("similarity"))
+def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, identity: str, block: int = 4096) -> DataFrame:
+    """Each candidate's largest inner product with the existing set, in double precision.
+
+    Both sides are dealt to blocks by hash; each two blocks meet in one task, as a
+    matrix product that returns one number per candidate. No pair is a row. Null
+    without an existing vector.
+    """
+    ids = {name: max(1, -(-df.count() // block)) for name, df in (("c", candidates), ("e", existing))}
+    kind = dict(candidates.dtypes)[identity]
+    spread = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    held = candidates.select(F.col(identity).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    left = held.where("_v IS NOT NULL").withColumn("_c", spread("_id", ids["c"])).withColumn("_e", every(ids["e"]))
+    right = existing.select(F.col(vector).cast("array<double>").alias("_v")).where("_v IS NOT NULL").withColumn("_e", spread("_v", ids["e"])).withColumn("_c", every(ids["c"]))
+
+    def best(asks: pa.Table, known: pa.Table) -> pa.Table:
+        x, y = (np.asarray(t.column("_v").combine_chunks().flatten()).reshape(t.num_rows, -1) if t.num_rows else None for t in (asks, known))
+        if x is None or y is None:
+            return pa.table({"_id": asks.column("_id").slice(0, 0), "_s": pa.array([], pa.float64())})
+        return pa.table({"_id": asks.column("_id"), "_s": (x @ y.T).max(axis=1)})
+
+    found = left.groupBy("_c", "_e").cogroup(right.groupBy("_c", "_e")).applyInArrow(best, f"_id {kind}, _s double")
+    most = found.groupBy("_id").agg(F.max("_s").alias("similarity"))
+    return held.select("_id").distinct().join(most, "_id", "left").select(F.col("_id").alias(identity), "similarity")
 
 
 def time_neighbours(df: DataFrame, group: str, stamp: str, strong: Column, seconds: int = 3600) -> DataFrame:
-    """Rows within (0, seconds] of a strong row of their group, on either side. A running
-    window finds the last strong instant before and the first after; there is no join."""
+    """Rows within (0, seconds] of a strong row of their group, on either side.
+
+    Time is cut into bins of ``seconds``. Any other strong instant of the row's own
+    bin is near; of the bin before only the last can be, of the next only the
+    first. So a row needs four numbers of its bin, which one join on group and bin
+    brings; a group that holds most rows is spread over its bins.
+    """
     at = F.unix_seconds(F.col(stamp).cast("timestamp"))
-    order = Window.partitionBy(group).orderBy(at)
-    marked = df.withColumns({"_at": at, "_strong": F.when(strong, at)})
-    before = F.last("_strong", True).over(order.rangeBetween(-seconds, -1))
-    after = F.first("_strong", True).over(order.rangeBetween(1, seconds))
-    return marked.withColumns({"_before": before, "_after": after}).where("_before IS NOT NULL OR _after IS NOT NULL").drop("_at", "_strong", "_before", "_after")
+    rows = df.withColumns({"_at": at, "_bin": F.floor(at / seconds)})
+    ends = rows.where(strong).groupBy(F.col(group).alias("_g"), "_bin").agg(F.min("_at").alias("_min"), F.max("_at").alias("_max"))
+    seen = ends.select("_g", "_min", "_max", "_bin", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_step"))
+    of = lambda step, c: F.max(F.when(F.col("_step") == step, F.col(c)))
+    near = seen.groupBy("_g", (F.col("_bin") + F.col("_step")).alias("_b")).agg(of(1, "_max").alias("_before"), of(0, "_min").alias("_first"), of(0, "_max").alias("_last"), of(-1, "_min").alias("_after"))
+    joined = rows.join(near, (rows[group] == near["_g"]) & (rows["_bin"] == near["_b"]))
+    found = (F.col("_before") >= F.col("_at") - seconds) | (F.col("_first") != F.col("_at")) | (F.col("_last") != F.col("_at")) | (F.col("_after") <= F.col("_at") + seconds)
+    return joined.where(found).select(*[rows[c] for c in df.columns])
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, keys: list[str], at: str, start: str, end: str, width: int) -> DataFrame:
