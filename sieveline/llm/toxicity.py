@@ -7,8 +7,8 @@ can be reached with their numbers of errors, states are made as words need them
 and are remembered, and most words leave the automaton within a few letters.
 
 Each match is weighed by the log-odds that its term has at that distance in
-training documents, so that a misspelling that ordinary words share weighs
-nothing. The window around it tells how it is used: between quotation marks or
+training documents; ordinary words that merely resemble a term, as clean documents
+show, weigh nothing. The window around it tells how it is used: between quotation marks or
 behind a verb of report it counts less, next to an address of the reader more.
 A logistic curve over a document's summed and strongest weights gives the score.
 
@@ -42,6 +42,8 @@ COMMON, COMMON_DOCS, COMMON_LIFT = 0.03, 12, 4.0
 #: Words that a stem must have begun.
 LEAST_ENDINGS = 3
 MOST_TERMS = 2_000
+#: Clean documents that make a word that resembles a term an ordinary one.
+SPARED_DOCS = 2
 #: Near copies are told by words of so many letters, in so many orders.
 LONG, BANDS = 8, 5
 #: Letters a term needs for one and for two errors.
@@ -152,13 +154,14 @@ class Automaton:
 class _Matches(dict):
     """Each chunk's match: 0 for none, else a number into ``found``."""
 
-    def __init__(self, automaton: Automaton, weights: dict[tuple[int, int], float]):
+    def __init__(self, automaton: Automaton, weights: dict[tuple[int, int], float], spared: frozenset[str]):
         super().__init__()
-        self.automaton, self.weights = automaton, weights
+        self.automaton, self.weights, self.spared = automaton, weights, spared
         self.found: list[tuple[float, int, int]] = [(0.0, 0, 0)]
 
     def __missing__(self, chunk: bytes) -> int:
-        best = max(((self.weights.get((e, t), 0.0), -e, t) for e, t in self.automaton.match(plain(chunk.decode("utf-8", "replace")))), default=(0.0, 0, 0))
+        word = plain(chunk.decode("utf-8", "replace"))
+        best = max(((self.weights.get((e, t), 0.0), -e, t) for e, t in self.automaton.match(word) if not e or word not in self.spared), default=(0.0, 0, 0))
         number = 0
         if best[0] > 0:
             number = len(self.found)
@@ -170,12 +173,12 @@ class _Matches(dict):
 class Scorer:
     """A lexicon with weights, and the curve."""
 
-    def __init__(self, terms: list[str], weights: dict[tuple[int, int], float], curve: list[float], share: float):
-        self.terms, self.weights, self.curve, self.share = terms, weights, curve, share
+    def __init__(self, terms: list[str], weights: dict[tuple[int, int], float], curve: list[float], share: float, spared: frozenset[str] = frozenset()):
+        self.terms, self.weights, self.curve, self.share, self.spared = terms, weights, curve, share, spared
         self._matches: _Matches | None = None
 
     def __getstate__(self):
-        return {"terms": self.terms, "weights": self.weights, "curve": self.curve, "share": self.share, "_matches": None}
+        return {"terms": self.terms, "weights": self.weights, "curve": self.curve, "share": self.share, "spared": self.spared, "_matches": None}
 
     def forget(self) -> None:
         """Drop the words remembered."""
@@ -199,7 +202,7 @@ class Scorer:
     def features(self, texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
         """Per text: summed weight (in logs), strongest weight, 1; and its number of matches."""
         if self._matches is None or len(self._matches) > CACHE_WORDS:
-            self._matches = _Matches(Automaton(self.terms), self.weights)
+            self._matches = _Matches(Automaton(self.terms), self.weights, self.spared)
         chunks: list[bytes] = []
         edges = [0]
         for text in texts:
@@ -300,34 +303,37 @@ def learn_lexicon(toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) ->
     return chosen
 
 
-def weigh(terms: list[str], toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) -> dict[tuple[int, int], float]:
-    """The log-odds of each (errors, term) by the documents that hold such a match."""
+def weigh(terms: list[str], toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) -> tuple[dict[tuple[int, int], float], frozenset[str]]:
+    """The log-odds of each (errors, term) by the documents that hold such a match, and
+    the words that only resemble a term: those that several clean documents hold, and
+    toxic ones no oftener. What resembles a term and was never met weighs less than the term."""
     automaton = Automaton(terms)
+    n1, n0 = max(1, len(toxic)), max(1, len(clean))
     found: dict[str, tuple] = {}
-
-    def count(documents: list[tuple[str, ...]]) -> Counter:
-        total: Counter = Counter()
+    held: list[Counter] = [Counter(), Counter()]
+    for k, documents in ((1, toxic), (0, clean)):
         for words in documents:
-            seen = set()
             for word in words:
                 if word not in found:
                     found[word] = automaton.match(word)
-                seen.update(found[word])
-            total.update(seen)
-        return total
-
-    n1, n0 = max(1, len(toxic)), max(1, len(clean))
-    by1, by0 = count(toxic), count(clean)
+                if found[word]:
+                    held[k][word] += 1
+    alike = {w for w in held[0] if found[w][0][0] > 0}
+    spared = frozenset(w for w in alike if held[0][w] >= SPARED_DOCS and held[1][w] / n1 < LEAST_LIFT * held[0][w] / n0)
+    by1, by0 = (Counter() for _ in range(2))
+    for k, documents, total in ((1, toxic, by1), (0, clean, by0)):
+        for words in documents:
+            total.update({m for w in words if w in held[k] and w not in spared for m in found[w]})
     weights = {}
     for errors, term in {(e, t) for t, k in enumerate(automaton.allowed) for e in range(k + 1)}:
         key = (errors, term)
         if by1[key] + by0[key]:
             odds = math.log((by1[key] + 0.5) / (n1 + 1)) - math.log((by0[key] + 0.5) / (n0 + 1))
-        else:  # a misspelling never met: less than the term itself
+        else:
             own = math.log((by1[(0, term)] + 0.5) / (n1 + 1)) - math.log((by0[(0, term)] + 0.5) / (n0 + 1))
             odds = own * 0.6**errors
-        weights[key] = max(0.0, odds) if odds >= 1 else 0.0
-    return weights
+        weights[key] = odds if odds >= 1 else 0.0
+    return weights, spared
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -348,7 +354,8 @@ def fit(sample: list[tuple[str | None, int]]) -> Scorer:
     if not toxic or not clean:
         return Scorer([], {}, [], share)
     terms = learn_lexicon(toxic, clean)
-    scorer = Scorer(terms, weigh(terms, toxic, clean), [], share)
+    weights, spared = weigh(terms, toxic, clean)
+    scorer = Scorer(terms, weights, [], share, spared)
     x, _ = scorer.features([t for t, _ in sample])
     scorer.curve = _curve(x, np.array([y for _, y in sample], float))
     scorer.forget()
