@@ -34,6 +34,7 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     lines = lines.select("__id", "__row", "__pos", F.xxhash64("__key").alias("__h1"), F.xxhash64(F.lit(1), "__key").alias("__h2"))
     lines = stored(lines, "lines")  # read twice below; the texts are not
     common = lines.groupBy("__h1", "__h2").agg(F.count_distinct("__id").alias("__n"), F.max("__id").alias("__last")).where(F.col("__n") >= min_docs).drop("__n")
+    common = stored(common, "common")  # a table of its own: the join below can then split a line that a third of the documents hold
     drops = (
         lines.join(common, ["__h1", "__h2"])
         .where(F.col("__id").isNull() | (F.col("__id") < F.col("__last")))
