@@ -56,10 +56,6 @@ def long_rows(df: DataFrame) -> DataFrame:
     return df
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else. (``lower`` does that to ASCII text, and faster.)"""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
