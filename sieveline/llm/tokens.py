@@ -11,6 +11,7 @@ holds the start of a special token's string is given to the tokenizer whole.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -22,7 +23,7 @@ import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct chunks a worker remembers.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 #: Marks that may follow a word; with it they make two pieces. (An apostrophe may not: it starts a piece with letters.)
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -56,6 +57,7 @@ class WordTokenizer:
         self._ends = np.zeros(self.size, dtype=bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._special = tuple(t.content.encode() for t in self._tokenizer.get_added_tokens_decoder().values())
+        self._opening = os.path.commonprefix(self._special)
         self._reset()
 
     def _reset(self) -> None:
@@ -68,23 +70,23 @@ class WordTokenizer:
     def _direct(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _put(self, chunks: list[bytes], flat: np.ndarray, ends: np.ndarray) -> None:
-        """Keep chunks whose ids lie in ``flat``, each up to its end."""
+    def _put(self, codes: list[int], flat: np.ndarray, ends: np.ndarray) -> None:
+        """Keep, for chunks of these codes, the ids that lie in ``flat``, each up to its end."""
         while len(self._codes) > len(self._at):
             self._at, self._n = (np.concatenate([x, np.zeros_like(x)]) for x in (self._at, self._n))
         while self._used + len(flat) > len(self._flat):
             self._flat = np.concatenate([self._flat, np.zeros_like(self._flat)])
-        codes = np.fromiter(map(self._codes.__getitem__, chunks), np.int64, len(chunks))
-        self._n[codes] = np.diff(ends, prepend=0)
-        self._at[codes] = self._used + ends - self._n[codes]
+        n = np.diff(ends, prepend=0)
+        self._n[codes] = n
+        self._at[codes] = self._used + ends - n
         self._flat[self._used : self._used + len(flat)] = flat
         self._used += len(flat)
 
-    def _put_each(self, chunks: list[bytes]) -> None:
+    def _put_each(self, codes: list[int], chunks: list[bytes]) -> None:
         ids = self._direct([c.decode() for c in chunks])
-        self._put(chunks, np.array([i for x in ids for i in x], np.uint32), np.cumsum([len(x) for x in ids], dtype=np.int64))
+        self._put(codes, np.array([i for x in ids for i in x], np.uint32), np.cumsum([len(x) for x in ids], dtype=np.int64))
 
-    def _put_words(self, words: list[bytes]) -> None:
+    def _put_words(self, codes: list[int], words: list[bytes]) -> None:
         """Words of letters only: each is one piece, so it ends at its first word-end id."""
         text = unicodedata.normalize("NFC", b" ".join(words).decode())
         if not text.isascii():
@@ -94,29 +96,38 @@ class WordTokenizer:
             ids = np.array(self._words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self._ends[ids]) + 1
             if len(ends) == len(words) and ends[-1] == len(ids):
-                self._put(words, ids, ends)
+                self._put(codes, ids, ends)
                 return
-        self._put_each(words)
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        words, marked, rest = [], [], []
-        for chunk in chunks:
-            if chunk.isalpha() or chunk.decode().isalpha():
-                words.append(chunk)
-            elif (stem := chunk.rstrip(MARKS)) and stem is not chunk and (stem.isalpha() or stem.decode("utf-8", "replace").isalpha()):
-                marked.append((chunk, stem, chunk[len(stem) :]))
-            else:
-                rest.append(chunk)
-        before = len(self._codes)
-        parts = np.array([self._codes[x] for _, stem, tail in marked for x in (stem, tail)], np.int64)
-        for extra in self._newest(before):
-            (rest if extra[-1:] in MARKS else words).append(extra)
-        if words:
-            self._put_words(words)
-        if rest:
-            self._put_each(rest)
-        if marked:  # letters and the marks behind them are two pieces
-            self._put([c for c, _, _ in marked], *self._gather(parts, 2))
+        self._put_each(codes, words)
+
+    def _learn(self, base: int) -> None:
+        """Encode the chunks that were numbered from ``base`` on."""
+        words, rest, marked, parts = ([], []), ([], []), [], []
+        numbers = self._codes
+        for code, chunk in enumerate(self._newest(base), base):
+            if chunk[-1] in MARKS:
+                stem = chunk.rstrip(MARKS)
+                if stem and (stem.isalpha() or stem.decode("utf-8", "replace").isalpha()):
+                    marked.append(code)  # letters and the marks behind them are two pieces
+                    parts += (numbers[stem], numbers[chunk[len(stem) :]])
+                    continue
+            elif chunk.isalpha() or chunk.decode().isalpha():
+                words[0].append(code)
+                words[1].append(chunk)
+                continue
+            rest[0].append(code)
+            rest[1].append(chunk)
+        extra = base + len(marked) + len(words[0]) + len(rest[0])
+        for code, chunk in enumerate(self._newest(extra), extra):
+            codes, chunks = rest if chunk[-1] in MARKS else words
+            codes.append(code)
+            chunks.append(chunk)
+        if words[0]:
+            self._put_words(*words)
+        if rest[0]:
+            self._put_each(*rest)
+        if marked:
+            self._put(marked, *self._gather(np.array(parts, np.int64), 2))
 
     def _newest(self, before: int) -> list[bytes]:
         return list(islice(reversed(self._codes), len(self._codes) - before))[::-1]
@@ -135,7 +146,7 @@ class WordTokenizer:
         for i, text in enumerate(texts):
             raw = text.encode() if isinstance(text, str) else text or b""
             data = raw.lower()
-            if any(s in data for s in self._special):
+            if self._opening in data and any(s in data for s in self._special):
                 out[i] = np.array(self._direct([raw.decode()])[0], np.uint32)
                 counts.append(0)
             else:
@@ -147,7 +158,7 @@ class WordTokenizer:
         before = len(self._codes)
         codes = np.fromiter(map(self._codes.__getitem__, chunks), np.int64, len(chunks))
         if len(self._codes) > before:
-            self._learn(self._newest(before))
+            self._learn(before)
         ids, ends = self._gather(codes)
         cuts = np.append(0, ends)[np.cumsum(counts)].tolist()
         for i, (a, b) in enumerate(zip([0, *cuts], cuts)):
