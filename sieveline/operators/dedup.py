@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.scalars import UNIT, stable_rank
 from sieveline.operators.graph import components
+from sieveline.operators.joins import redealt
 
 
 def exact_representatives(df: DataFrame, key: Column, identity: str) -> DataFrame:
     """``df`` with the class' size and representative: the identity of the least stable hash."""
     keyed = df.withColumn("_k", F.sha2(key, 256))
     best = keyed.groupBy("_k").agg(F.count("*").alias("copies"), F.min_by(identity, F.struct(stable_rank(identity), F.col(identity))).alias("representative"))
-    return keyed.join(best, "_k").withColumn("is_kept", F.col(identity) == F.col("representative")).drop("_k")
+    return keyed.join(redealt(best), "_k").withColumn("is_kept", F.col(identity) == F.col("representative")).drop("_k")
 
 
 def signalled(parts: dict[str, DataFrame]) -> DataFrame:
@@ -43,7 +44,7 @@ def duplicate_groups(rows: DataFrame, edges: DataFrame, identity: str, prefix: s
         F.concat(F.lit(prefix), F.substring(F.sha2(F.array_join(F.array_sort(F.collect_set(F.col(identity).cast("string"))), UNIT), 256), 1, digits)).alias("group_id"),
         F.count("*").alias("members"),
     )
-    return joined.join(groups, "_root").withColumn("is_kept", F.col(identity) == F.col("representative")).drop("_root")
+    return joined.join(redealt(groups), "_root").withColumn("is_kept", F.col(identity) == F.col("representative")).drop("_root")
 
 
 def replacement_ledger(grouped: DataFrame, identity: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Each round replaces links by links to smaller nodes, with two aggregations and
 two joins on the node; a node of many links is summed before the shuffle and its
-join partition may be split. Every round is checkpointed to the shared folder.
+join partition can be split. Every round is checkpointed to the shared folder.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sieveline.operators.joins import redealt
 from sieveline.session import shared_dir
 
 
@@ -18,7 +19,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     small star the node itself, are linked to the least of the node and its neighbours."""
     sides = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else links
     least = sides.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-    near = sides.join(least, sides["a"] == least["u"])
+    near = sides.join(redealt(least), sides["a"] == least["u"])
     if large:
         made = near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

@@ -10,6 +10,16 @@ from pyspark.sql import functions as F
 from sieveline.functions.scalars import dot
 
 
+def redealt(summed: DataFrame) -> DataFrame:
+    """An aggregate's rows, dealt anew, for a join on its keys with the rows it came from.
+
+    Without it the join takes the aggregate's partitions as they are, and a key that
+    a third of the rows share is one task. With it both sides have a shuffle of their
+    own, of which the adaptive planner splits a skewed partition or does without
+    one where the aggregate turns out small."""
+    return summed.repartition(int(summed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def overlay(base: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """base with the update's values where there is one."""
     fresh = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
@@ -47,7 +57,7 @@ def class_pairs(df: DataFrame, key: str, identity: str) -> DataFrame:
     """A pair from each key's least identity to every other: it links the same rows as all
     pairs do, with as many rows as there are copies."""
     held = df.where(F.col(key).isNotNull())
-    first = held.groupBy(key).agg(F.min(identity).alias("left_id"))
+    first = redealt(held.groupBy(key).agg(F.min(identity).alias("left_id")))
     return held.join(first, key).where(F.col(identity) > F.col("left_id")).select("left_id", F.col(identity).alias("right_id"))
 
 
