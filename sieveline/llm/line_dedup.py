@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.common import ASCII_SPACE, ascii_lower, replacing, stored
+from sieveline.operators.joins import redealt
 
 
 def line_key(line: Column) -> Column:
@@ -34,8 +35,7 @@ def drop_repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
     lines = lines.select("__id", "__row", "__pos", F.xxhash64("__key").alias("__h1"), F.xxhash64(F.lit(1), "__key").alias("__h2"))
     lines = stored(lines, "lines")  # read twice below; the texts are not
     common = lines.groupBy("__h1", "__h2").agg(F.count_distinct("__id").alias("__n"), F.max("__id").alias("__last")).where(F.col("__n") >= min_docs).drop("__n")
-    # dealt anew: the join below then has a shuffle of its own, in which a line that a third of the documents hold can be split
-    common = common.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    common = redealt(common)  # a line that a third of the documents hold is then split
     drops = (
         lines.join(common, ["__h1", "__h2"])
         .where(F.col("__id").isNull() | (F.col("__id") < F.col("__last")))

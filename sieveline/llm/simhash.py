@@ -31,6 +31,7 @@ from sieveline.llm.common import long_rows, stored
 from sieveline.llm.tokens import text_blocks
 from sieveline.llm.wordhash import Words
 from sieveline.operators.graph import components
+from sieveline.operators.joins import redealt
 
 WIDTH = 3
 MOST_BITS = 3
@@ -142,7 +143,7 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_i
     roots = components(links(classes))
     known = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = known.join(least, "root").select("fp", "component_id")
+    labels = known.join(redealt(least), "root").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

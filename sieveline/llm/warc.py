@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from sieveline.llm.binary_ids import filesystem, read_file, write_atomically
 from sieveline.llm.common import long_rows, scratch_path, stored
 from sieveline.llm.tokens import text_blocks
+from sieveline.operators.joins import redealt
 
 #: Payloads of fewer bytes are never revisits.
 LEAST_BYTES = 1000
@@ -103,7 +104,7 @@ def write_archives(pages: DataFrame, folder: str, *, id_col: str = "page_id", ur
     rows = rows.withColumn("digest", F.sha1("payload"))
     seen = stored(rows.where(F.octet_length("payload") >= least_bytes).select("page_id", "digest"), "digests")
     newest = seen.groupBy("digest").agg(F.max("page_id").alias("newest"), F.count("*").alias("n")).where("n > 1 AND newest IS NOT NULL").drop("n")
-    older = seen.join(newest, "digest").where(~F.col("page_id").eqNullSafe(F.col("newest"))).distinct().withColumnsRenamed({"digest": "__digest", "page_id": "__page"})
+    older = seen.join(redealt(newest), "digest").where(~F.col("page_id").eqNullSafe(F.col("newest"))).distinct().withColumnsRenamed({"digest": "__digest", "page_id": "__page"})
     joined = rows.join(older, (F.col("digest") == F.col("__digest")) & F.col("page_id").eqNullSafe(F.col("__page")), "left").select("page_id", "url", "payload", "digest", "newest")
     store, at = filesystem(folder)
     store.create_dir(at, recursive=True)
