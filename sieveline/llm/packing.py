@@ -5,8 +5,8 @@ in a merge-ordered vocabulary, its rarest pieces) orders the corpus; equal
 ranges of that order are the shards, so that documents that share rare pieces
 meet, and a key that a third of the documents share is dealt over many shards.
 Each shard builds a BM25 inverted index over ids, with the whole corpus'
-document frequencies and mean length. A seed document queries the index; its
-unused neighbours fill its window in the order of their scores, whole where
+document frequencies and mean length. A seed document queries the index with all
+of its terms; its unused neighbours fill its window in the order of their scores, whole where
 they fit, and the best of those that don't fit is cut to fill the rest. What
 remains of a cut document seeds the next window. The tail of a shard, less than
 a window, is cut at powers of two, which need no padding; so no id is padding.
@@ -29,8 +29,8 @@ from sieveline.llm.tokens import default_path, text_blocks, tokenizer
 WINDOW = 2048
 #: Ids of a shard, about.
 SHARD_IDS = 2_000_000
-#: A seed queries with so many of its terms, those of the largest weights.
-QUERY_TERMS = 24
+#: Terms that one document in so many has are rows of a matrix; the others are posting lists.
+WIDE = 8
 K1, B = 1.2, 0.75
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -97,7 +97,7 @@ def document_frequencies(tokens: DataFrame) -> DataFrame:
 
 
 class Index:
-    """BM25 over one shard: postings by term, and each document's heaviest terms."""
+    """BM25 over one shard: the documents' weights by term, and each document's terms."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         lengths = np.array([len(d) for d in docs], np.int64)
@@ -113,20 +113,31 @@ class Index:
         # each document's terms that another document has too
         useful = np.flatnonzero((self.last - self.first)[slot] > 1)
         order = useful[np.argsort(self.doc[useful].astype(np.uint16 if len(docs) <= 1 << 16 else np.int64), kind="stable")]
-        self.terms, self.heavy = slot[order], self.weight[order]
+        self.terms = slot[order]
         self.of = np.searchsorted(self.doc[order], np.arange(len(docs) + 1))
         self.size = len(docs)
+        # the lists of common terms, a row each: at most WIDE times their postings
+        common = (self.last - self.first) * WIDE >= self.size
+        self.row = np.where(common, np.cumsum(common) - 1, -1)
+        self.wide = np.zeros((int(common.sum()), self.size), np.float32)
+        held = common[slot]
+        self.wide[self.row[slot[held]], self.doc[held]] = self.weight[held]
 
     def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with the seed, best first, ties in shard order."""
-        own = slice(self.of[seed], self.of[seed + 1])
-        terms = self.terms[own]
+        """Unused documents that share a term with the seed, best first by the sum over
+        all terms, ties in shard order."""
+        terms = self.terms[self.of[seed] : self.of[seed + 1]]
         if not len(terms):
             return terms
-        if len(terms) > QUERY_TERMS:  # those of the largest weights, ties to the smaller ids
-            terms = terms[np.argsort(-self.heavy[own], kind="stable")[:QUERY_TERMS]]
-        lists = [slice(a, b) for a, b in zip(self.first[terms].tolist(), self.last[terms].tolist(), strict=True)]
-        scores = np.bincount(np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists]), minlength=self.size)
+        rows = self.row[terms]
+        lists = [slice(a, b) for a, b in zip(self.first[terms[rows < 0]].tolist(), self.last[terms[rows < 0]].tolist(), strict=True)]
+        scores = np.zeros(self.size)
+        if lists:
+            scores += np.bincount(np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists]), minlength=self.size)
+        if (rows >= 0).any():
+            asked = np.zeros(len(self.wide), np.float32)
+            asked[rows[rows >= 0]] = 1
+            scores += asked @ self.wide
         scores[~free] = 0
         found = np.flatnonzero(scores)
         return found[np.argsort(-scores[found], kind="stable")]

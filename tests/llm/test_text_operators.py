@@ -121,6 +121,26 @@ def test_packing_prefers_lexical_neighbours():
     assert len({int(order[d][0]) // 1000 for d, _, _ in first}) == 1
 
 
+@pytest.mark.parametrize("wide", [0, 8, 10**6])
+def test_neighbours_are_scored_with_all_terms(monkeypatch, wide):
+    monkeypatch.setattr(packing, "WIDE", wide)
+    rng = np.random.default_rng(5)
+    texts = [rng.choice(400, int(n), p=(p := 1 / np.arange(2, 402)) / p.sum()).astype(np.uint32) for n in rng.integers(100, 300, 40)]
+    df = np.bincount(np.concatenate([np.unique(d) for d in texts]), minlength=400)
+    idf = np.log1p((40 - df + 0.5) / (df + 0.5)).astype(np.float32)
+    mean = np.mean([len(d) for d in texts])
+    index = packing.Index(texts, idf, mean)
+    for seed in range(40):
+        free = np.arange(40) % 3 != seed % 3
+        want = {}
+        for d in np.flatnonzero(free).tolist():
+            tf = np.bincount(texts[d], minlength=400)[np.unique(texts[seed])]
+            want[d] = float((idf[np.unique(texts[seed])] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(texts[d]) / mean))).sum())
+        got = index.neighbours(seed, free).tolist()
+        assert sorted(got) == sorted(want)
+        assert np.allclose([want[d] for d in got], sorted(want.values(), reverse=True), rtol=1e-5)
+
+
 # ---- line dedup
 
 
