@@ -109,6 +109,12 @@ def test_mined_rules_judge_the_rest(spark):
             assert got[u]["verdict"] == (min(fit)[4] if fit else "allow")
 
 
+def test_rules_are_mined_from_all_labelled_pages(spark):
+    rows = spark.range(60_000).select(F.when(F.col("id") < 54_000, F.array(F.lit("h:hot"))).otherwise(F.array(F.lit("h:rare"))).alias("tokens"), F.when(F.col("id") < 54_000, "allow").otherwise("block").alias("verdict"))
+    got = {(*r["antecedent"], r["verdict"]): (round(r["support"], 9), r["confidence"]) for r in url_rules.mine(rows).collect()}
+    assert got == {("h:hot", "allow"): (0.9, 1.0), ("h:rare", "block"): (0.1, 1.0)}
+
+
 def test_url_rules_of_empty_tables(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert url_rules.judge_urls(empty, URL_RULES).collect() == []
