@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.functions.scalars import UNIT, stable_rank
+from sieveline.functions.scalars import SEED, UNIT, dot, stable_rank
 from sieveline.operators.graph import components
-from sieveline.operators.joins import redealt
+from sieveline.operators.joins import cosine_pairs, redealt
 
 
 def exact_representatives(df: DataFrame, key: Column, identity: str) -> DataFrame:
@@ -61,17 +61,45 @@ def resolved_edges(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("resolution", F.when(edge, "edge").when(has("phash"), "resolved_collision").otherwise("none"))
 
 
-def calibration_sample(pairs: DataFrame, bands: list[tuple[str, float, float, int]], minimum: int) -> DataFrame:
-    """Pairs to review: so many of each band by hash, then the most similar of the rest up
-    to half of ``minimum``, then others by hash up to ``minimum``."""
+#: Up to so many row pairs are all candidates for controls; of more, controls are drawn.
+ALL_PAIRS = 20_000
+
+
+def _controls(df: DataFrame, vector: str, identity: str, number: int) -> DataFrame:
+    """left_id, right_id, cosine and _h: pairs of any two rows, at least ``number`` of them
+    if there are as many, in the order of _h.
+
+    A draw hashes every identity with its number, once for each side; the least hash
+    is the row drawn, so any row pair is as likely as another and no pair table is made.
+    """
+    held = df.where(F.col(vector).isNotNull()).select(F.col(identity).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    n = held.count()
+    if n * (n - 1) // 2 <= max(ALL_PAIRS, 4 * number):
+        return cosine_pairs(df, vector, identity, float("-inf")).withColumn("_h", stable_rank(F.lit("control"), "left_id", "right_id"))
+    sides = [F.min(F.struct(F.xxhash64(F.lit(SEED), F.lit(side), "draw", "id"), "id")).getField("id").alias(side) for side in ("x", "y")]
+    drawn = held.select("id", F.explode(F.sequence(F.lit(0), F.lit(2 * number + 99))).alias("draw")).groupBy("draw").agg(*sides)
+    pairs = drawn.where("x <> y").groupBy(F.least("x", "y").alias("left_id"), F.greatest("x", "y").alias("right_id")).agg(F.lpad(F.min("draw").cast("string"), 10, "0").alias("_h"))
+    left, right = (held.select(F.col("id").alias(f"{side}_id"), F.col("v").alias(f"_{side}")) for side in ("left", "right"))
+    return pairs.join(left, "left_id").join(right, "right_id").select("left_id", "right_id", dot("_left", "_right").alias("cosine"), "_h")
+
+
+def calibration_sample(df: DataFrame, vector: str, identity: str, bands: list[tuple[str, float, float, int]], minimum: int) -> DataFrame:
+    """Pairs to review: so many of each band by hash, then the most similar of the rest until
+    there are half of ``minimum``, then controls up to ``minimum``, drawn from all row pairs."""
     named = F.coalesce(*[F.when((F.col("cosine") >= low) & (F.col("cosine") < high), F.lit(name)) for name, low, high, _ in bands], F.lit("control"))
     most = F.coalesce(*[F.when(F.col("band") == name, F.lit(n)) for name, _, _, n in bands], F.lit(0))
-    rank = stable_rank("band", "left_id", "right_id")
-    rows = pairs.withColumn("band", named).withColumn("_h", rank)
-    rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy("_h")))
-    banded = rows.where(F.col("_r") <= most).withColumn("kind", F.lit("band"))
-    rest = rows.where(F.col("_r") > most)
-    similar = rest.orderBy(F.desc("cosine"), "left_id", "right_id").limit(max(0, minimum // 2)).withColumn("kind", F.lit("similar"))
-    others = rest.join(similar.select("left_id", "right_id"), ["left_id", "right_id"], "left_anti").orderBy("_h").limit(minimum).withColumn("kind", F.lit("control"))
+    rows = cosine_pairs(df, vector, identity, min(low for _, low, _, _ in bands)).withColumn("band", named).withColumn("_h", stable_rank("band", "left_id", "right_id"))
+    rows = rows.where(most > 0).withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy("_h")))
+    banded = rows.where(F.col("_r") <= most).select("left_id", "right_id", "cosine", "_h", F.lit("band").alias("kind"))
+    top = minimum // 2 + sum(n for *_, n in bands)
+    similar = cosine_pairs(df, vector, identity, float("-inf"), best=top).orderBy(F.desc("cosine"), "left_id", "right_id").limit(top).select("left_id", "right_id", "cosine", F.lit("").alias("_h"), F.lit("similar").alias("kind"))
+    controls = _controls(df, vector, identity, minimum + top).select("left_id", "right_id", "cosine", "_h", F.lit("control").alias("kind"))
+
+    # a few hundred rows from here on; a pair counts where it comes first
     turn = F.when(F.col("kind") == "band", 0).when(F.col("kind") == "similar", 1).otherwise(2)
-    return banded.unionByName(similar).unionByName(others).orderBy(turn, F.when(F.col("kind") == "similar", -F.col("cosine")), "_h").limit(minimum).select("left_id", "right_id", "cosine", "band", "kind")
+    order = [turn, F.when(F.col("kind") == "similar", -F.col("cosine")), "_h", "left_id", "right_id"]
+    queue = banded.unionByName(similar).unionByName(controls.orderBy("_h").limit(minimum + top))
+    once = queue.withColumn("_n", F.row_number().over(Window.partitionBy("left_id", "right_id").orderBy(turn))).where("_n = 1")
+    counted = once.withColumn("_at", F.row_number().over(Window.orderBy(*order)))
+    kept = counted.where((F.col("kind") != "similar") | (F.col("_at") <= minimum // 2))
+    return kept.orderBy(*order).limit(minimum).select("left_id", "right_id", "cosine", named.alias("band"), "kind")

@@ -73,12 +73,14 @@ def hamming_pairs(df: DataFrame, bits: str, identity: str, most: int, width: int
     return a.join(b, ["band", "value"]).where(F.col("left_id") < F.col("right_id")).withColumn("hamming", apart).where(F.col("hamming") <= most).groupBy("left_id", "right_id").agg(F.min("hamming").alias("hamming"))
 
 
-def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks: int | None = None) -> DataFrame:
+def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks: int | None = None, best: int | None = None) -> DataFrame:
     """Pairs of vectors whose inner product is at least ``least``, in double precision.
 
     Vectors are dealt to blocks by hash and each two blocks meet in one task, a
     matrix product at a time; rows travel once for each block, and no task holds
     more than two. Exact for any data, so its work grows with the square of the rows.
+    With ``best``, each task returns that many pairs at most, the most similar, ties
+    to the smaller identities: the table's first ``best`` pairs are among them.
     """
     n = df.count()
     k = blocks or max(1, -(-n // 4096))
@@ -91,6 +93,18 @@ def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks
         x = np.asarray(flat.flatten()).reshape(len(ids), -1)
         a, b = key[0].as_py(), key[1].as_py()
         left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
+        if best is not None:
+            l, r, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+            for at in range(0, len(left), 256):
+                p, q = ids[left[at : at + 256], None], ids[None, right]
+                score = x[left[at : at + 256]] @ x[right].T
+                score[~((p != q if a != b else p < q) & (score >= least))] = -np.inf
+                held = score[score > -np.inf]
+                i, j = np.nonzero(score >= np.partition(held, -best)[-best] if len(held) > best else score > -np.inf)
+                l, r, s = np.append(l, np.minimum(p[i, 0], q[0, j])), np.append(r, np.maximum(p[i, 0], q[0, j])), np.append(s, score[i, j])
+                first = np.lexsort((r, l, -s))[:best]
+                l, r, s = l[first], r[first], s[first]
+            return pa.table({"left_id": l, "right_id": r, "cosine": s})
         out = []
         for at in range(0, len(left), 1024):
             score = x[left[at : at + 1024]] @ x[right].T

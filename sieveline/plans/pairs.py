@@ -57,7 +57,7 @@ def cosine_bands(spark: SparkSession, d: str) -> DataFrame:
 
 @register("topk_pairs", f"SELECT a.vec_id AS left_id, b.vec_id AS right_id, round({_DOT}, 5) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id ORDER BY {_DOT} DESC, 1, 2 LIMIT 50")
 def topk_pairs(spark: SparkSession, d: str) -> DataFrame:
-    pairs = J.cosine_pairs(table(spark, d, "embeddings"), "embedding", "vec_id", 0.3)
+    pairs = J.cosine_pairs(table(spark, d, "embeddings"), "embedding", "vec_id", float("-inf"), best=50)
     return pairs.orderBy(F.desc("cosine"), "left_id", "right_id").limit(50).select("left_id", "right_id", F.round("cosine", 5).alias("cosine"))
 
 
@@ -105,8 +105,7 @@ def signalled_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @register("calibration_sample")
 def calibration_sample(spark: SparkSession, d: str) -> DataFrame:
-    pairs = J.cosine_pairs(table(spark, d, "embeddings"), "embedding", "vec_id", 0.25)
-    return D.calibration_sample(pairs, [("high", 0.4, 2, 8), ("middle", 0.35, 0.4, 8), ("low", 0.3, 0.35, 4)], 40)
+    return D.calibration_sample(table(spark, d, "embeddings"), "embedding", "vec_id", [("high", 0.4, 2, 8), ("middle", 0.35, 0.4, 8), ("low", 0.3, 0.35, 4)], 40)
 
 
 @register("kcenter_select")

@@ -100,6 +100,36 @@ def test_hamming_pairs_equal_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("blocks", [1, 3])
+def test_most_similar_pairs_have_no_floor(spark, tmp_path, blocks):
+    from sieveline.plans.pairs import topk_pairs
+
+    x = np.concatenate([np.eye(12), -np.eye(12)[:3], np.eye(12)[:2] + 0.1])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = sorted(((float(x[i] @ x[j]), i, j) for i in range(len(x)) for j in range(i + 1, len(x))), key=lambda t: (-t[0], t[1], t[2]))[:50]
+    got = joins.cosine_pairs(df, "embedding", "vec_id", float("-inf"), blocks, best=50).orderBy(F.desc("cosine"), "left_id", "right_id").limit(50).collect()
+    assert [(r["left_id"], r["right_id"]) for r in got] == [(i, j) for _, i, j in want]
+    df.write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert [(r["left_id"], r["right_id"]) for r in topk_pairs(spark, str(tmp_path)).collect()] == [(i, j) for _, i, j in want]
+
+
+@pytest.mark.parametrize("all_pairs", [20_000, 0])
+def test_calibration_controls_come_from_all_row_pairs(spark, tmp_path, monkeypatch, all_pairs):
+    from sieveline.plans.pairs import calibration_sample
+
+    monkeypatch.setattr(dedup, "ALL_PAIRS", all_pairs, raising=False)
+    x = np.random.default_rng(9).normal(size=(150, 32))
+    x[:12] = x[0] + x[:12] / 4
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = calibration_sample(spark, str(tmp_path)).collect()
+    assert len({(r["left_id"], r["right_id"]) for r in got}) == len(got) == 40
+    assert all(r["left_id"] < r["right_id"] and abs(r["cosine"] - x[r["left_id"]] @ x[r["right_id"]]) < 1e-9 for r in got)
+    # the bands and the most similar fill a half, the rest are controls, most of them not similar
+    kinds = Counter(r["kind"] for r in got)
+    assert kinds["control"] == 20 and sum(r["kind"] == "control" and r["cosine"] < 0.25 for r in got) >= 10
+
+
 @pytest.mark.parametrize("blocks", [1, 3])
 def test_cosine_pairs_equal_brute_force(spark, blocks):
     x = np.random.default_rng(2).normal(size=(60, 4))
