@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import held_out, long_rows, stored
+from sieveline.llm.common import held_out, stored
 from sieveline.llm.tokens import text_blocks
 from sieveline.llm.wordhash import Words
 
@@ -105,7 +105,7 @@ def document_statistics(docs: DataFrame, *, id_col: str = "doc_id", text_col: st
             rows = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, N_STATISTICS), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rows], ["doc_id", "x"])
 
-    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, x array<double>")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, x array<double>")
 
 
 @dataclass
@@ -205,7 +205,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
     The model learns from labelled rows that aren't held out; labels other than 0
     and 1 count as none, and of several labels of an id the largest counts. Null
     or empty text is scored by its (empty) statistics. Rows with a null id are
-    scored and never learnt from. Repeated rows stay. If a class has fewer than two
+    scored and never learnt from. Repeated rows stay, and all of them count in the fit. An
+    empty table gives no rows. Other columns take no part. If a class has fewer than two
     training rows, every score is the training share of label 1 (0.5 without rows).
     """
     known = stored(document_statistics(docs, id_col=id_col, text_col=text_col), "statistics")

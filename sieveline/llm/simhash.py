@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import long_rows, stored
+from sieveline.llm.common import stored, without
 from sieveline.llm.tokens import text_blocks
 from sieveline.llm.wordhash import Words
 from sieveline.operators.graph import components
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id",
         for batch, texts in text_blocks(batches, "__text", 2 << 20):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fingerprint_ints(texts, width), pa.int64())], ["doc_id", "fp"])
 
-    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def _embedding(fp: Column) -> Column:
@@ -151,5 +151,4 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """``docs`` with one document of each component, that of the smallest id. Rows
     with a null id stay; so do all rows that repeat a kept id."""
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width)
-    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "copies")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    return without(docs, id_col, stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies"))
