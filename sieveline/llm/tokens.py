@@ -6,12 +6,14 @@ A worker keeps the ids of the chunks it has met (up to ``CACHE_CHUNKS``, then it
 starts anew: memory stays bounded and results don't depend on it). New chunks
 that consist of letters are encoded in one call, as one text, and parted again
 at the ids that end a word; the others are encoded one by one. A text that
-holds the start of a special token's string is given to the tokenizer whole.
+holds the start of a special token's string is given to the tokenizer whole, and
+so is one with a capital that composes with a mark only in lower case.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
@@ -28,12 +30,22 @@ CACHE_CHUNKS = 600_000
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+#: H, J, T, W and Y have letters with marks that exist in lower case only (U+1E96 to U+1E99, U+01F0).
+_CAPITAL = re.compile(rb"[HJTWY][\x80-\xff]")
+
+
 def default_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def _letters(chunk: bytes) -> bool:
+    """Whether a chunk is letters only, and stays so in lower case (that of U+0130 ends in a
+    mark, which a mark behind it joins)."""
+    return chunk.isalpha() or ((text := chunk.decode()).isalpha() and (b"\xc4\xb0" not in chunk or text.lower().isalpha()))
+
+
 class _Codes(dict):
     """Numbers its keys as they are first asked for."""
 
@@ -107,11 +119,11 @@ class WordTokenizer:
         for code, chunk in enumerate(self._newest(base), base):
             if chunk[-1] in MARKS:
                 stem = chunk.rstrip(MARKS)
-                if stem and (stem.isalpha() or stem.decode("utf-8", "replace").isalpha()):
+                if stem and _letters(stem):
                     marked.append(code)  # letters and the marks behind them are two pieces
                     parts += (numbers[stem], numbers[chunk[len(stem) :]])
                     continue
-            elif chunk.isalpha() or chunk.decode().isalpha():
+            elif _letters(chunk):
                 words[0].append(code)
                 words[1].append(chunk)
                 continue
@@ -146,7 +158,7 @@ class WordTokenizer:
         for i, text in enumerate(texts):
             raw = text.encode() if isinstance(text, str) else text or b""
             data = raw.lower()
-            if self._opening in data and any(s in data for s in self._special):
+            if (self._opening in data and any(s in data for s in self._special)) or (b"\xcc" in raw and _CAPITAL.search(raw)):
                 out[i] = np.array(self._direct([raw.decode()])[0], np.uint32)
                 counts.append(0)
             else:
