@@ -5,7 +5,7 @@ rank 0, ties to the smaller id), so that most take one byte. Ranks are coded wit
 one to four data bytes each; the lengths stand apart as two-bit codes, four to a
 control byte, and a table lookup decodes whole shards with numpy.
 
-A shard (``shard-00007.ids``), little-endian::
+A shard (``shard-000000007-000000.ids``), little-endian::
 
     8 bytes   magic  b"SVLIDS01"
     5 x u64   documents, ids, control bytes, data bytes, vocabulary entries
@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import long_rows, scratch_path, stored
+from sieveline.llm.common import scratch_path, small_batches, stored
 from sieveline.llm.tokens import default_path, text_blocks, tokenizer
 
 MAGIC = b"SVLIDS01"
@@ -119,7 +119,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str = "doc_id", tex
             ids = [np.append(x, np.uint32(end_id)).astype(kind) for x in tok.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())], ["doc_id", "ids", "n"])
 
-    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long")
 
 
 def unpacked(blob: bytes, n: int) -> np.ndarray:
@@ -152,14 +152,15 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str | None = None
     """Encode every whole text and write shards in ascending id order; (file, documents,
     ids) of each shard in that order.
 
-    Null text: the end id alone. Null ids come first. Repeated rows are all written,
-    in the order of their ids' bytes. An empty table gives no shard. What comes to
+    Null text: the end id alone. Null ids come first. Rows that repeat an id are all
+    written, in the order of a hash of their ids. An empty table gives no shard. What comes to
     the driver is the vocabulary's counts and one row per shard.
     """
     spark = docs.sparkSession
     path = tokenizer_path or default_path()
     tokens = stored(encoded(docs, path, end_id, id_col, text_col), "tokens")
-    counts = sorted(((r["n"], r["id"]) for r in id_counts(tokens).collect()), key=lambda x: (-x[0], x[1]))
+    with small_batches(spark):
+        counts = sorted(((r["n"], r["id"]) for r in id_counts(tokens).collect()), key=lambda x: (-x[0], x[1]))
     id_of = np.array([i for _, i in counts], np.uint32)
     rank_of = np.zeros(int(id_of.max(initial=0)) + 1, np.uint32)
     rank_of[id_of] = np.arange(len(id_of), dtype=np.uint32)
@@ -175,10 +176,10 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str | None = None
         def flush() -> pa.RecordBatch:
             nonlocal parts, number
             doc_ids, n, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
-            name = f"shard-{shard:06d}-{number:04d}.ids"
+            name = f"shard-{shard:09d}-{number:06d}.ids"
             write_atomically(f"{folder}/{name}", shard_bytes(doc_ids, n, ids, rank_of, id_of))
             parts, number = [], number + 1
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(doc_ids)], pa.int64()), pa.array([len(ids)], pa.int64())], ["file", "docs", "ids"])
+            return pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array([x], pa.int64()) for x in (shard, number - 1, len(doc_ids), len(ids))]], ["file", "shard", "number", "docs", "ids"])
 
         held = 0
         for batch in batches:
@@ -196,9 +197,12 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str | None = None
 
     store, at = filesystem(folder)
     store.create_dir(at, recursive=True)
-    ordered = tokens.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
-    written = ordered.mapInArrow(run, "file string, docs long, ids long").collect()
-    return sorted((r["file"], r["docs"], r["ids"]) for r in written)
+    # the hash parts rows that repeat an id, or have none, over several shards
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids")]
+    ordered = tokens.repartitionByRange(shards, *order).sortWithinPartitions(*order, "ids")
+    with small_batches(spark):
+        written = ordered.mapInArrow(run, "file string, shard long, number long, docs long, ids long").collect()
+    return [(r["file"], r["docs"], r["ids"]) for r in sorted(written, key=lambda r: (r["shard"], r["number"]))]
 
 
 def read_ids(spark: SparkSession, folder: str, shards: list[tuple[str, int, int]]) -> DataFrame:
