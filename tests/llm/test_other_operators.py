@@ -109,6 +109,38 @@ def test_mined_rules_judge_the_rest(spark):
             assert got[u]["verdict"] == (min(fit)[4] if fit else "allow")
 
 
+def test_urls_of_many_shared_parts(spark):
+    """Neither 40 keys that 200 URLs share, each left out at random, nor 5,000 keys of one URL
+    multiply the itemsets; single tokens are counted whole."""
+    rng = np.random.default_rng(3)
+    urls = [f"http://a.net/{'es' if i % 2 else 'x'}/?" + "&".join(f"k{j}=1" for j in range(40) if rng.random() < 0.95) for i in range(200)]
+    urls += [f"http://b.com/{i}?late{i % 3}" for i in range(100)] + ["http://b.org/?" + "&".join(f"k{j}=1" for j in range(5000)), "http://c.org/?late1"]
+    judged = [(r["url"], r["verdict"]) for r in url_rules.judge_urls(spark.createDataFrame([(u,) for u in urls], "url string"), URL_RULES).collect()]
+    assert sorted(u for u, _ in judged) == sorted(urls) and dict(judged)["http://c.org/?late1"] == "allow"
+    read = spark.createDataFrame([(u,) for u in urls], "url string").withColumns({"h": url_rules.url_host(F.col("url")), "p": url_rules.url_path(F.col("url"))})
+    rows = [(r["t"], brute_rule(r["url"], URL_RULES)[2]) for r in read.select("url", url_rules.url_tokens(F.col("url"), F.col("h"), F.col("p")).alias("t")).collect()]
+    labelled = [(t, b[2]) for t, b in rows if b]
+    mined = url_rules.mine(spark.createDataFrame(labelled, "tokens array<string>, verdict string")).collect()
+    base = {v: sum(w == v for _, w in labelled) / len(labelled) for v in ("allow", "block")}
+
+    def rates(antecedent, verdict):
+        held = [w for t, w in labelled if set(antecedent) <= set(t)]
+        return held.count(verdict) / len(held), held.count(verdict) / len(labelled)
+
+    for m in mined:
+        confidence, support = rates(m["antecedent"], m["verdict"])
+        assert (m["confidence"], m["support"], m["lift"]) == pytest.approx((confidence, support, confidence / base[m["verdict"]]))
+        assert m["lift"] >= url_rules.LIFT and m["confidence"] >= url_rules.CONFIDENCE and len(m["antecedent"]) <= url_rules.MOST_TOKENS
+        # nothing that a part of it says already
+        assert not any(set(o["antecedent"]) < set(m["antecedent"]) and o["verdict"] == m["verdict"] and o["confidence"] >= m["confidence"] for o in mined)
+    single = {t for t, _ in labelled for t in t}
+    for t in single:
+        for v in base:
+            confidence, support = rates([t], v)
+            if support >= url_rules.SUPPORT and confidence >= url_rules.CONFIDENCE and confidence / base[v] >= url_rules.LIFT:
+                assert any(m["antecedent"] == [t] and m["verdict"] == v for m in mined)
+
+
 def test_rules_are_mined_from_all_labelled_pages(spark):
     rows = spark.range(60_000).select(F.when(F.col("id") < 54_000, F.array(F.lit("h:hot"))).otherwise(F.array(F.lit("h:rare"))).alias("tokens"), F.when(F.col("id") < 54_000, "allow").otherwise("block").alias("verdict"))
     got = {(*r["antecedent"], r["verdict"]): (round(r["support"], 9), r["confidence"]) for r in url_rules.mine(rows).collect()}
