@@ -278,7 +278,7 @@ def test_decontamination(spark):
 
 
 def test_decontamination_in_blocks_and_empty(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "SKETCH_ROWS", 3)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 3)
     items = spark.createDataFrame([(i, f"alpha beta gamma delta e{i}") for i in range(4)], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs(spark, "alpha beta gamma delta e2 x", "alpha beta gamma delta"), items).collect()}
     assert got == {(1, 2)}
