@@ -13,8 +13,8 @@ behind a verb of report it counts less, next to an address of the reader more.
 A logistic curve over a document's summed and strongest weights gives the score.
 
 The lexicon and the curve are fitted on a bounded sample of labelled training
-rows, ``TOXIC_ROWS`` and ``CLEAN_ROWS``, those of the smallest hashes; whole
-texts of all rows are scored.
+rows, ``TOXIC_ROWS`` and ``CLEAN_ROWS``, those of the smallest hashes, as long as
+their texts take ``SAMPLE_BYTES`` in all; whole texts of all rows are scored.
 """
 
 from __future__ import annotations
@@ -27,13 +27,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.common import held_out, long_rows, stored
+from sieveline.llm.common import held_out, stored, without
 from sieveline.llm.tokens import text_blocks
 
-TOXIC_ROWS, CLEAN_ROWS = 1_000, 2_000
+#: What is learnt from comes to the driver: so many rows of either label, and bytes of text for each label.
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_BYTES = 1_000, 2_000, 32 << 20
 THRESHOLD = 0.5
 #: A term marks at least so many toxic documents, this many times as often as clean ones.
 LEAST_DOCS, LEAST_SHARE, LEAST_LIFT = 3, 0.01, 15.0
@@ -41,7 +42,6 @@ LEAST_DOCS, LEAST_SHARE, LEAST_LIFT = 3, 0.01, 15.0
 COMMON, COMMON_DOCS, COMMON_LIFT = 0.03, 12, 4.0
 #: Words that a stem must have begun.
 LEAST_ENDINGS = 3
-MOST_TERMS = 2_000
 #: Clean documents that make a word that resembles a term an ordinary one.
 SPARED_DOCS = 2
 #: Near copies are told by words of so many letters, in so many orders.
@@ -298,8 +298,6 @@ def learn_lexicon(toxic: list[tuple[str, ...]], clean: list[tuple[str, ...]]) ->
         if len(holders[term].difference(*(holders[c] for c in related))) >= least:
             chosen.append(term)
             by_start[body[:STEM]].append(term)
-            if len(chosen) == MOST_TERMS:
-                break
     return chosen
 
 
@@ -362,13 +360,19 @@ def fit(sample: list[tuple[str | None, int]]) -> Scorer:
     return scorer
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Scorer:
-    """The scorer learnt from a bounded sample of the labelled rows that aren't held out."""
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Scorer:
+    """The scorer learnt from a bounded sample of the labelled rows that aren't held out.
+    Of several texts of an id the least is learnt from; one that is longer than what is
+    left of ``sample_bytes`` ends its label's sample."""
     marked = labels.select(F.col("doc_id").cast("long").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("y")).where("y IN (0, 1)").groupBy("__id").agg(F.max("y").alias("y"))
     marked = marked.where(F.col("__id").isNotNull() & ~held_out(F.col("__id")))
     parts = [marked.where(F.col("y") == k).orderBy(F.xxhash64("__id"), "__id").limit(n) for k, n in ((1, toxic_rows), (0, clean_rows))]
     chosen = stored(parts[0].unionAll(parts[1]), "sample")
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("__id")).select("id", "text", "y").dropDuplicates(["id"]).collect()
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    own = texts.join(F.broadcast(chosen), F.col("id") == F.col("__id")).groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+    # a window of toxic_rows or clean_rows rows at most
+    so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
+    rows = own.withColumn("bytes", so_far).where(F.col("bytes") <= sample_bytes).select("id", "text", "y").collect()
     return fit([(r["text"], r["y"]) for r in sorted(rows, key=lambda r: r["id"])])
 
 
@@ -379,6 +383,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     largest counts. Null or empty text has no matches and is scored all the same.
     Rows with a null id are scored and never learnt from. Repeated rows stay. If the
     sample lacks a label, every score is the sample's share of label 1 (0.5 without rows).
+    Very long texts are scored whole. An empty table gives no rows. Other columns take no part.
     """
     scorer = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, **options))
 
@@ -390,12 +395,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32)), pa.array(n, pa.int64())], ["doc_id", "score", "predicted", "n_matches"])
         model.forget()  # the worker lives on, for other operators
 
-    scored = long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, score double, predicted int, n_matches long")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_matches")
+    scored = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, score double, predicted int, n_matches long")
+    return stored(scored, "scores").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_matches")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", threshold: float = THRESHOLD, **options) -> DataFrame:
     """``docs`` without those scored toxic; rows with a null id stay."""
     found = score_toxicity(docs, labels, id_col=id_col, threshold=threshold, **options)
-    gone = stored(found.where("predicted = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct(), "toxic")
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    return without(docs, id_col, stored(found.where("predicted = 1 AND doc_id IS NOT NULL").select("doc_id").distinct(), "toxic"))
