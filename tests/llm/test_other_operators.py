@@ -62,6 +62,45 @@ def test_recall_over_many_lists(spark, monkeypatch):
     assert np.mean(hits) / 20 >= 0.9
 
 
+def test_the_index_reads_little_of_clustered_vectors():
+    """20,000 vectors in 64 clusters: few centroids are compared, few postings read, boundary
+    vectors lie on several lists, and recall against brute force is high."""
+    rng = np.random.default_rng(6)
+    centres = (rng.normal(size=(16, 1, 64)) + 0.5 * rng.normal(size=(16, 8, 64))).reshape(-1, 64)
+    x = centres[rng.integers(128, size=20_000)] + 0.35 * rng.normal(size=(20_000, 64))
+    lists = ann.fit(x, len(x), float((x * x).sum(axis=1).max()), 20)
+    who, home = lists.homes(x)
+    size = np.bincount(home, minlength=len(lists.centroids))
+    asks = np.arange(0, 20_000, 100)
+    of, reads, compared = lists.probes(x[asks])
+    assert compared.mean() < 0.6 * len(lists.centroids)
+    assert size[reads].sum() / len(asks) < 0.1 * len(home)
+    assert 0.05 < (np.bincount(who) > 1).mean() < 0.6
+    read = [set(reads[of == i].tolist()) for i in range(len(asks))]
+    homes = {}
+    for i, at in zip(who.tolist(), home.tolist(), strict=True):
+        homes.setdefault(i, set()).add(at)
+    hits = 0
+    for n, i in enumerate(asks):
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += sum(bool(homes[int(j)] & read[n]) for j in np.argsort(-score)[:20])
+    assert hits / (20 * len(asks)) >= 0.95
+
+
+def test_the_graph_search_finds_the_nearest_lists():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 1, 8)) + 0.3 * rng.normal(size=(300, 40, 8))
+    x = x.reshape(-1, 8)
+    lists = ann.fit(x, len(x) * 4, float((x * x).sum(axis=1).max()), 20)
+    y = lists.asked(x[:500])
+    at, far, compared = lists.search(y, 8)
+    exact = np.sqrt(ann.squared(y, lists.centroids))
+    assert np.allclose(far, np.take_along_axis(exact, at, axis=1))
+    want = np.sort(exact, axis=1)[:, :8]
+    assert np.isclose(far, want)[:, 0].mean() > 0.95 and compared.max() < len(lists.centroids)
+
+
 # ---- URL rules
 
 
