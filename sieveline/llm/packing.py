@@ -3,7 +3,8 @@
 Every document is encoded once. A document's lexical key (its two largest ids:
 in a merge-ordered vocabulary, its rarest pieces) orders the corpus; equal
 ranges of that order are the shards, so that documents that share rare pieces
-meet, and a key that a third of the documents share is dealt over many shards.
+meet. The ranges are cut by the counted ids of each key: a key that a third of the
+documents share is dealt over as many shards as its ids fill.
 Each shard builds a BM25 inverted index over ids, with the whole corpus'
 document frequencies and mean length. A seed document queries the index with all
 of its terms; its unused neighbours fill its window in the order of their scores, whole where
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.llm.binary_ids import unpacked
-from sieveline.llm.common import long_rows, stored
+from sieveline.llm.common import small_batches, stored
 from sieveline.llm.tokens import default_path, text_blocks, tokenizer
 
 WINDOW = 2048
@@ -50,7 +51,7 @@ def keyed_tokens(docs: DataFrame, path: str, end_id: int, id_col: str, text_col:
                 ids.append(np.append(x, np.uint32(end_id)).astype(kind))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64()), pa.array(keys, pa.int64())], ["doc_id", "ids", "n", "key"])
 
-    return long_rows(docs).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long, key long")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, ids binary, n long, key long")
 
 
 def _scramble(x: int) -> int:
@@ -96,6 +97,32 @@ def document_frequencies(tokens: DataFrame) -> DataFrame:
     return tokens.select("ids", "n").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
+def sharded(tokens: DataFrame, shards: int, shard_ids: int) -> DataFrame:
+    """``tokens`` (key, doc_id, n, ids), a partition for each shard of about ``shard_ids`` ids.
+
+    All ids lie on one line in the order of keys. A key that fills an eighth of a shard
+    or more has an interval of its own, over which its rows are spread by their hash; the
+    others lie in the interval of their largest id, by the hash of the second. The driver
+    gets a row per largest id, which the vocabulary bounds, and at most eight a shard."""
+    by_key = stored(tokens.groupBy("key").agg(F.sum("n").alias("n")), "keys")
+    own = F.col("n") * 8 >= shard_ids
+    top = F.shiftright("key", 32)
+    heavy = [(r["key"] >> 32, r["key"], r["n"]) for r in by_key.where(own).collect()]
+    light = [(r["top"], -1, r["n"]) for r in by_key.where(~own).groupBy(top.alias("top")).agg(F.sum("n").alias("n")).collect()]
+    line, at = [], 0
+    for above, key, n in sorted(light + heavy):
+        line.append((above, key, at, n))
+        at += n
+    schema = "top long, own long, at long, width long"
+    tops = tokens.sparkSession.createDataFrame([x for x in line if x[1] < 0], schema).select("top", "at", "width")
+    owns = tokens.sparkSession.createDataFrame([x for x in line if x[1] >= 0], schema).select("own", F.col("at").alias("own_at"), F.col("width").alias("own_width"))
+    share = lambda *c: F.shiftrightunsigned(F.xxhash64(*c), 11) / F.lit(float(1 << 53))
+    placed = tokens.withColumn("top", top).join(F.broadcast(tops), "top", "left").join(owns, F.col("key") == F.col("own"), "left")
+    where = F.when(F.col("own").isNotNull(), F.col("own_at") + F.col("own_width") * share("doc_id", "ids")).otherwise(F.col("at") + F.col("width") * share("key"))
+    shard = F.least(F.floor(where / shard_ids), F.lit(shards - 1)).cast("int")
+    return placed.withColumn("shard", shard).repartitionById(shards, F.col("shard")).select("key", "doc_id", "n", "ids")
+
+
 class Index:
     """BM25 over one shard: the documents' weights by term, and each document's terms."""
 
@@ -216,12 +243,14 @@ def pack_documents(docs: DataFrame, *, window: int = WINDOW, tokenizer_path: str
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null or empty text: the end id alone. Null ids and repeated rows are packed as
-    they are. An empty table gives no rows. What comes to the driver is the
-    vocabulary's document frequencies.
+    they are; other columns take no part. An empty table gives no rows. A text longer
+    than a window is cut, and its task holds it whole. What comes to the driver is the
+    vocabulary's document frequencies, and ``sharded``'s counts.
     """
     path = tokenizer_path or default_path()
     tokens = stored(keyed_tokens(docs, path, end_id, id_col, text_col), "packing")
-    counts = {r["id"]: r["n"] for r in document_frequencies(tokens).collect()}
+    with small_batches(docs.sparkSession):
+        counts = {r["id"]: r["n"] for r in document_frequencies(tokens).collect()}
     n_docs, n_ids = counts.pop(-1, 0), counts.pop(-2, 0)
     df = np.zeros(max(counts, default=0) + 1)
     df[list(counts)] = list(counts.values())
@@ -262,5 +291,5 @@ def pack_documents(docs: DataFrame, *, window: int = WINDOW, tokenizer_path: str
         if texts:
             yield flush()
 
-    dealt = tokens.repartitionByRange(shards, "key", "doc_id").sortWithinPartitions("key", "doc_id", "ids")
-    return dealt.select("doc_id", "ids", "n").mapInArrow(run, PIECES)
+    dealt = sharded(tokens, shards, shard_ids).sortWithinPartitions("key", "doc_id", "ids")
+    return stored(dealt.select("doc_id", "ids", "n").mapInArrow(run, PIECES), "pieces")
