@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm.common import stored, without
 from sieveline.llm.tokens import text_blocks
-from sieveline.llm.wordhash import Words
+from sieveline.llm.wordhash import Words, bit_counts
 from sieveline.operators.graph import components
 from sieveline.operators.joins import redealt
 
@@ -43,12 +43,7 @@ _EVEN = 0x5555555555555555
 def fingerprint_ints(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
     """A bit is set where over half of the shingles' XXH64 have it; no words: zero."""
     hashes, counts = Words(texts).xxh64(width)
-    ones = np.zeros((len(texts), 64), np.int64)
-    filled = np.flatnonzero(counts)
-    if len(filled):
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        starts = np.concatenate([[0], np.cumsum(counts[filled])[:-1]])
-        ones[filled] = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+    ones = bit_counts(hashes, counts)
     packed = np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little")
     return packed.view("<i8").reshape(-1)
 
@@ -63,7 +58,7 @@ def fingerprints(docs: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id",
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _embedding(fp: Column) -> Column:
+def embedding(fp: Column) -> Column:
     """Each two-bit segment's ones, in unary."""
     even, odd = F.lit(_EVEN), F.shiftrightunsigned(fp, 1)
     return F.shiftleft(fp.bitwiseAND(odd).bitwiseAND(even), 1).bitwiseOR(fp.bitwiseOR(odd).bitwiseAND(even))
@@ -82,7 +77,7 @@ def _cells(half: Column) -> Column:
 def links(classes: DataFrame, *, cell: int = CELL, block: int = BLOCK) -> DataFrame:
     """a, b: links between distinct fingerprints (column fp), enough to connect
     whatever differs in at most MOST_BITS bits, and nothing else."""
-    points = classes.select("fp", _embedding(F.col("fp")).alias("t"))
+    points = classes.select("fp", embedding(F.col("fp")).alias("t"))
     low, high = F.col("t").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("t", 32)
     halves = points.select("fp", "t", F.explode(F.array(F.struct(F.lit(0).alias("half"), low.alias("at")), F.struct(F.lit(1).alias("half"), high.alias("at")))).alias("h")).select("fp", "t", "h.half", F.col("h.at").alias("cell"))
     looks = halves.select(F.col("fp").alias("fq"), F.col("t").alias("tq"), "half", F.posexplode(_cells(F.col("cell"))).alias("step", "cell")).where("cell IS NOT NULL")

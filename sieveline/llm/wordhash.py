@@ -119,3 +119,24 @@ def _inside(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+
+
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view("<u8").ravel()
+
+
+def bit_counts(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How many of each run of hashes (of ``counts`` each, in a row) have each of the 64 bits.
+
+    Each byte of a hash becomes eight bytes of a bit each, which add up as one 64-bit
+    number for 255 hashes at a time without carrying over."""
+    out = np.zeros((len(counts), 64), np.int64)
+    filled = np.flatnonzero(counts)
+    if len(filled):
+        n = counts[filled]
+        pieces = -(-n // 255)
+        first = np.cumsum(pieces) - pieces
+        starts = np.repeat(np.cumsum(n) - n, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(first, pieces))
+        lanes = _LANES[hashes.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)]
+        parts = np.add.reduceat(lanes, starts, axis=0).view(np.uint8)
+        out[filled] = np.add.reduceat(parts, first, axis=0, dtype=np.int64)
+    return out

@@ -272,7 +272,7 @@ def test_every_operator_has_one_query():
 
 def test_pipeline_equals_its_operators_by_brute_force(spark):
     import corpus_pipeline
-    from test_text_operators import brute_components, brute_leaks, brute_lines, brute_print, check_packing
+    from test_text_operators import brute_groups, brute_leaks, brute_lines, check_packing
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
@@ -285,9 +285,43 @@ def test_pipeline_equals_its_operators_by_brute_force(spark):
     want = {i: h for i, _, _, h in brute_lines(rows)}
     assert {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in after_lines.items()} == want
     ids = sorted(after_lines)
-    roots = brute_components([brute_print(after_lines[i]) for i in ids])
+    roots = brute_groups([after_lines[i] for i in ids])
     kept = [i for n, i in enumerate(ids) if roots[n] == n]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     leaks = {i for i, _ in brute_leaks([(i, after_lines[i]) for i in kept], items)}
     final = {i: after_lines[i] for i in kept if i not in leaks}
     check_packing(corpus_pipeline.run(spark, SF).collect(), final)
+
+
+def test_pipeline_stages_keep_columns_and_odd_rows(spark):
+    import corpus_pipeline
+
+    line = "a line that three documents hold"
+    texts = [None, "", line + "\none", line + "\ntwo", line + "\nthree", "same words in the same order here", "same words in the same order here"]
+    rows = [(i or None, t, "en", "s", len(t or ""), i) for i, t in enumerate(texts)] + [(5, texts[5], "en", "s", 33, 9)]
+    clashes = ["__gone", "__hit", "__drop", "__id", "__did", "__text", "__row"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row long").selectExpr("*", *[f"row AS {c}" for c in clashes])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, docs, SF)
+        assert made.columns == docs.columns, name
+        got = made.collect()
+        assert all(r["__gone"] == r["row"] == r["__id"] for r in got)
+        kept = sorted(r["row"] for r in got)
+        assert kept == ([0, 1, 2, 3, 4, 5, 9] if name == "near_dedup" else list(range(7)) + [9]), name
+        assert stage(spark, docs.limit(0), SF).collect() == []
+    assert {r["row"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, SF).collect()}[3] == "two"
+    assert sum(r["doc_id"] is None for r in corpus_pipeline.packing(spark, docs, SF).collect()) == 1
+    assert corpus_pipeline.packing(spark, docs.limit(0), SF).collect() == []
+
+
+def test_helper_columns_give_way_to_the_caller_s(spark):
+    from sieveline.llm import decontaminate, simhash, toxicity
+
+    names = ["__gone", "__hit", "__shape", "__mined", "__tokens", "__host", "__h1", "__best", "tokens", "best", "known"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30).selectExpr("*", *[f"doc_id AS {c}" for c in names])
+    made = [simhash.drop_near_duplicates(docs), toxicity.drop_toxic(docs, spark.read.parquet(f"{SF}/labels.parquet")), decontaminate.drop_contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet"))]
+    for df in made:
+        assert df.columns == docs.columns and all(r["doc_id"] == r[c] for r in df.collect() for c in names)
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").selectExpr("*", *[f"page_id AS {c}" for c in names])
+    judged = url_rules.judge_urls(pages, URL_RULES)
+    assert judged.columns == [*pages.columns, "host", "path", "rule", "verdict"] and all(r["page_id"] == r[c] for r in judged.collect() for c in names)

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from sieveline.llm import binary_ids, decontaminate, line_dedup, packing, quality, simhash, tokens, toxicity
-from sieveline.llm.wordhash import Words
+from sieveline.llm import binary_ids, decontaminate, line_dedup, packing, quality, simhash, similar, tokens, toxicity
+from sieveline.llm.wordhash import Words, bit_counts
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -43,6 +43,26 @@ def test_tokenizer_equals_the_library():
         assert got.tolist() == direct(text, 1)[:-1].tolist(), text
 
 
+def test_tokenizer_equals_the_library_on_odd_texts():
+    rng = np.random.default_rng(1)
+    pools = [list("abcXYZHJTW"), list("İıΣσςßſKÅéÉñ"), list("!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~"), list(" \t\n\x0b\x1c\x85\xa0\u3000"), ["<|endoftext|>", "<|", "'s", "'ve"], [chr(c) for c in (*range(0x300, 0x340), 0x3099)], list("0123456789٣Ⅷ½"), list("日本語한국어각שלוםمرحبا"), ["ﬁ", "🙂", "\u200d"]]
+
+    def odd():
+        out = []
+        for _ in range(int(rng.integers(1, 25))):
+            c = int(rng.integers(1, 0x11000))
+            pool = pools[int(rng.integers(len(pools)))]
+            out.append(chr(c) if rng.random() < 0.1 and not 0xD800 <= c < 0xE000 else pool[int(rng.integers(len(pool)))])
+        return "".join(out)
+
+    from tokenizers import Tokenizer
+
+    texts = ["İ.", "İ)", "İ-", "İ>", "Y\u030a", "H\u0331x", *[odd() for _ in range(10_000)]]
+    want = Tokenizer.from_file(tokens.default_path()).encode_batch(texts, add_special_tokens=False)
+    got = tokens.WordTokenizer(tokens.default_path()).encode(texts)
+    assert [t for t, g, w in zip(texts, got, want, strict=True) if g.tolist() != w.ids] == []
+
+
 def test_tokenizer_is_the_same_after_its_memory_is_cleared(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_CHUNKS", 3)
     tok = tokens.WordTokenizer(tokens.default_path())
@@ -177,6 +197,15 @@ def test_line_dedup_empty_and_long(spark):
     assert got == {0: 3000, 1: 3000, 2: 0}
 
 
+def test_line_dedup_is_linear_in_lines(spark):
+    from pyspark.sql import functions as F
+
+    lines = F.transform(F.sequence(F.lit(1), F.lit(500_000)), lambda i: F.concat(F.lit("a line of the long text, number "), F.when(i % 5 == 0, F.concat(F.col("id"), F.lit("-"), i)).otherwise(i.cast("string"))))
+    df = spark.range(3).select(F.col("id").alias("doc_id"), F.array_join(lines, "\n").alias("text"))
+    got = line_dedup.drop_repeated_lines(df).select("doc_id", "n_lines", "n_dropped", F.size(F.split("kept_text", "\n")).alias("left")).collect()
+    assert sorted(map(tuple, got)) == [(0, 500_000, 400_000, 100_000), (1, 500_000, 400_000, 100_000), (2, 500_000, 0, 500_000)]
+
+
 # ---- simhash
 
 
@@ -241,6 +270,81 @@ def test_near_duplicates_with_nulls_and_repeats(spark):
     assert kept == [2, 2, None, None]
 
 
+# ---- near copies by similarity
+
+
+def brute_sets(texts, width=5):
+    w = [words(t) for t in texts]
+    return [{tuple(x[a : a + min(width, len(x))]) for a in range(len(x) - min(width, len(x)) + 1)} if x else set() for x in w]
+
+
+def brute_groups(texts, similarity=0.8):
+    """The least position that links of the similarity reach."""
+    sets = brute_sets(texts)
+    root = list(range(len(texts)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return [find(a) for a in range(len(texts))]
+
+
+def test_shingle_sets_equal_brute_force():
+    value, ends = similar.shingle_sets(ODD)
+    sets = brute_sets(ODD)
+    assert np.diff(ends, prepend=0).tolist() == [len(s) for s in sets]
+
+
+def test_bit_counts():
+    rng = np.random.default_rng(1)
+    hashes, counts = rng.integers(0, 2**63, 1310, dtype=np.uint64) * np.uint64(2), np.array([0, 3, 1, 256, 0, 1050, 0])
+    want, at = [], 0
+    for n in counts.tolist():
+        want.append([sum(int(h) >> j & 1 for h in hashes[at : at + n]) for j in range(64)])
+        at += n
+    assert bit_counts(hashes, counts).tolist() == want
+
+
+def test_near_copies_are_found_and_nothing_else(spark):
+    """Of texts with words replaced, nearly all pairs of 0.8 and more are grouped, and no group
+    joins what links don't; a chain of near copies is one group."""
+    rng = np.random.default_rng(2)
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    texts = [*ODD]
+    for n in (40, 120, 400, 1500):
+        for _ in range(12):
+            base = rng.choice(vocabulary, n)
+            texts.append(" ".join(base))
+            for share in (0.004, 0.01, 0.02, 0.04):
+                copy = base.copy()
+                copy[rng.choice(n, max(1, int(n * share)), replace=False)] = "changed"
+                texts.append(" ".join(copy))
+    df = docs(spark, *texts).selectExpr("*", "1 AS c", "2 AS n", "3 AS __gone", "4 AS h")
+    got = {r["doc_id"] - 1: r["component_id"] - 1 for r in similar.similar_groups(df).collect()}
+    want = brute_groups(texts)
+    assert sorted(got) == list(range(len(texts)))
+    assert all(len({want[i] for i in got if got[i] == r}) == 1 for r in set(got.values()))
+    assert np.mean([got[i] == want[i] for i in got]) >= 0.97
+    assert all(got[i] == want[i] for i in range(len(ODD)))
+
+
+def test_near_copies_with_nulls_and_repeats(spark):
+    rows = [(None, "a b c d e f"), (4, "a b c d e f"), (2, "A b c\td e f"), (2, "a b c d e f"), (None, "x"), (7, "alone in all the world"), (7, "a b c d e f"), (9, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, similar.similar_groups(df).collect()))
+    assert got == [(2, 2), (2, 2), (4, 2), (7, 2), (7, 7), (8, 8), (9, 8)]
+    kept = sorted(((r["doc_id"], r["text"]) for r in similar.drop_similar(df).collect()), key=str)
+    assert kept == sorted([(None, "a b c d e f"), (2, "A b c\td e f"), (2, "a b c d e f"), (None, "x"), (7, "alone in all the world"), (7, "a b c d e f"), (8, "")], key=str)
+    assert similar.similar_groups(docs(spark)).collect() == []
+
+
 # ---- decontamination
 
 
