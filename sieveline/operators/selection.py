@@ -100,7 +100,8 @@ def rarest_first(rows: list[dict], ranks: list[str], targets: dict[str, int], to
 def near_free(vectors: np.ndarray, groups: list[str], sites: list[str], *, most: float, group_cap: int, site_cap: int, maximum: int, existing: np.ndarray | None = None, order: str = "capacity-site-group-near") -> list[str]:
     """A decision for each row in turn: included, or the first reason against it in the
     order given. Near: a similarity of ``most`` or more to what exists or was included."""
-    held = [v for v in existing] if existing is not None else []
+    held = np.zeros((0, len(vectors[0]) if len(vectors) else 0)) if existing is None or not len(existing) else np.asarray(existing, float)
+    n = len(held)
     by_group, by_site, decisions = Counter(), Counter(), []
     included = 0
     for v, g, s in zip(vectors, groups, sites, strict=True):
@@ -108,7 +109,7 @@ def near_free(vectors: np.ndarray, groups: list[str], sites: list[str], *, most:
             "capacity": lambda: included >= maximum,
             "site": lambda s=s: by_site[s] >= site_cap,
             "group": lambda g=g: by_group[g] >= group_cap,
-            "near": lambda v=v: bool(held) and float(np.max(np.stack(held) @ v)) >= most,
+            "near": lambda v=v: n > 0 and float(np.max(held[:n] @ v)) >= most,
         }
         reason = next((r for r in order.split("-") if tests[r]()), None)
         decisions.append(reason or "included")
@@ -116,7 +117,10 @@ def near_free(vectors: np.ndarray, groups: list[str], sites: list[str], *, most:
             included += 1
             by_group[g] += 1
             by_site[s] += 1
-            held.append(v)
+            if n == len(held):
+                held = np.concatenate([held, np.zeros((max(64, n), held.shape[1]))])
+            held[n] = v
+            n += 1
     return decisions
 
 
@@ -221,15 +225,21 @@ def one_swap(frames: list[dict], incoming: list[dict], floors: dict[str, int], g
     return min(options)[3:] if options else None
 
 
+def _bounded(pool: DataFrame, by: list[str] | None, pool_rows: int) -> None:
+    """An error if the pool, or a group of ``by``, has more rows than a kernel takes."""
+    found = pool.groupBy(*by).count().agg(F.max("count")).first()[0] if by else pool.limit(pool_rows + 1).count()
+    if (found or 0) > pool_rows:
+        raise ValueError(f"a pool of {'over ' * (not by)}{found - (not by)} rows; reduce it to {pool_rows} first")
+
+
 def select_diverse(pool: DataFrame, vector: str, identity: str, count: int, *, group: str | None = None, cap: int | None = None, by: list[str] | None = None, pool_rows: int = POOL_ROWS) -> DataFrame:
     """``farthest_first`` over the pool, or within each value of ``by``: identity and position."""
     kind = dict(pool.dtypes)[identity]
     keys = by or []
+    _bounded(pool, by, pool_rows)
     rows = pool.select(*keys, F.col(identity), F.col(vector).cast("array<double>").alias("_v"), (F.col(group).cast("string") if group else F.lit("")).alias("_g"), stable_rank(identity).alias("_r"))
 
     def kernel(held: pd.DataFrame) -> pd.DataFrame:
-        if len(held) > pool_rows:
-            raise ValueError(f"a pool of {len(held)} rows; reduce it to {pool_rows} first")
         chosen = farthest_first(np.stack(held["_v"].to_numpy()), held["_r"].tolist(), count, groups=held["_g"].tolist() if cap else None, cap=cap)
         found = held.iloc[chosen][[*keys, identity]].copy()
         found["position"] = np.arange(1, len(chosen) + 1)
@@ -240,14 +250,10 @@ def select_diverse(pool: DataFrame, vector: str, identity: str, count: int, *, g
 
 
 def over_pool(pool: DataFrame, kernel: Callable[[pd.DataFrame], pd.DataFrame], schema: str, *, by: list[str] | None = None, pool_rows: int = POOL_ROWS) -> DataFrame:
-    """Run a kernel over the pool, or over each group of ``by``; too large a group is an error."""
-
-    def run(held: pd.DataFrame) -> pd.DataFrame:
-        if len(held) > pool_rows:
-            raise ValueError(f"a pool of {len(held)} rows; reduce it to {pool_rows} first")
-        return kernel(held)
-
-    return pool.groupBy(*(by or [])).applyInPandas(run, schema)
+    """Run a kernel over the pool, or over each group of ``by``; too large a group is an error,
+    told before any task holds it."""
+    _bounded(pool, by, pool_rows)
+    return pool.groupBy(*(by or [])).applyInPandas(kernel, schema)
 
 
 def admit(pool: DataFrame, identity: str, vector: str, group: str, site: str, position: str, *, existing: np.ndarray | None = None, **limits) -> DataFrame:

@@ -17,10 +17,10 @@ def _path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/sieveline/{name}-{uuid.uuid4().hex}"
 
 
-@register("manifest_round_trip", "SELECT doc_id::VARCHAR AS doc_id, lang, source, CASE WHEN doc_id % 3 = 0 THEN '' ELSE left(text, 200) END AS note FROM documents")
+@register("manifest_round_trip", "SELECT doc_id::VARCHAR AS doc_id, lang, source, CASE WHEN doc_id % 3 = 0 THEN '' ELSE text END AS note FROM documents")
 def manifest_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Quotes, line ends and blanks survive a manifest."""
-    rows = table(spark, d, "documents").select("doc_id", "lang", "source", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.left("text", F.lit(200))).alias("note"))
+    rows = table(spark, d, "documents").select("doc_id", "lang", "source", F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text")).alias("note"))
     path = _path(spark, "manifest")
     writers.write_manifest(rows, path, ["doc_id", "lang", "source", "note"])
     return readers.manifest(spark, path, ["doc_id", "note"])
@@ -48,12 +48,12 @@ def vectors_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "labels_round_trip",
-    "SELECT event_id // 8 AS image, (event_id % 4)::INT AS class_id, round(((event_id * 37 % 400) + (40 + event_id * 29 % 160) / 2.0) / 640, 8) AS cx, round((40 + event_id * 31 % 140) / 480.0, 8) AS h, false AS is_faulty FROM events WHERE event_id < 400",
+    "SELECT event_id // 8 AS image, (event_id % 4)::INT AS class_id, round(((event_id * 37 % 400) + (40 + event_id * 29 % 160) / 2.0) / 640, 8) AS cx, round((40 + event_id * 31 % 140) / 480.0, 8) AS h, false AS is_faulty FROM events",
 )
 def labels_round_trip(spark: SparkSession, d: str) -> DataFrame:
     from sieveline.plans.boxes import boxes
 
-    rows = boxes(spark, d).where("event_id < 400").withColumns({"width": F.lit(640.0), "height": F.lit(480.0)})
+    rows = boxes(spark, d).withColumns({"width": F.lit(640.0), "height": F.lit(480.0)})
     path = _path(spark, "labels")
     writers.write_labels(rows, path, "image")
     read = readers.label_lines(spark.read.text(path))

@@ -61,11 +61,11 @@ def topk_pairs(spark: SparkSession, d: str) -> DataFrame:
     return pairs.orderBy(F.desc("cosine"), "left_id", "right_id").limit(50).select("left_id", "right_id", F.round("cosine", 5).alias("cosine"))
 
 
-@register("nearest_existing", f"SELECT a.vec_id, round(max({_DOT}), 5) AS similarity FROM embeddings a, embeddings b WHERE a.label <> 0 AND b.label = 0 AND b.vec_id < 100 GROUP BY a.vec_id")
+@register("nearest_existing", f"SELECT a.vec_id, round(max({_DOT}), 5) AS similarity FROM embeddings a, embeddings b WHERE a.label <> 0 AND b.label = 0 GROUP BY a.vec_id")
 def nearest_existing(spark: SparkSession, d: str) -> DataFrame:
-    """The existing set is the label's first vectors, fewer than a hundred at any scale."""
+    """The existing set is all of label 0."""
     e = table(spark, d, "embeddings")
-    found = J.nearest_existing(e.where("label <> 0"), e.where("label = 0 AND vec_id < 100"), "embedding", "vec_id")
+    found = J.nearest_existing(e.where("label <> 0"), e.where("label = 0"), "embedding", "vec_id")
     return found.select("vec_id", F.round("similarity", 5).alias("similarity"))
 
 

@@ -21,10 +21,10 @@ from sieveline.streaming import incremental as I
 @register(
     "candidate_rows",
     f"""{BOXES} SELECT o_orderkey AS image, 'Clerk ' || o_custkey || ' — ' || o_orderpriority AS attribution, 'author-' || substr(sha256('Clerk ' || o_custkey), 1, 16) AS provenance_group_id,
-    coalesce((SELECT array_to_string(list_sort(list_distinct(list(class_id::VARCHAR))), ';') FROM boxes WHERE image = o_orderkey), '') AS compiled_classes, (SELECT count(*) FROM boxes WHERE image = o_orderkey) AS annotation_count FROM orders WHERE o_orderkey < 500""",
+    coalesce((SELECT array_to_string(list_sort(list_distinct(list(class_id::VARCHAR))), ';') FROM boxes WHERE image = o_orderkey), '') AS compiled_classes, (SELECT count(*) FROM boxes WHERE image = o_orderkey) AS annotation_count FROM orders""",
 )
 def candidate_rows(spark: SparkSession, d: str) -> DataFrame:
-    images = table(spark, d, "orders").where("o_orderkey < 500").select(F.col("o_orderkey").alias("image"), F.format_string("Clerk %d", "o_custkey").alias("author"), F.lit(" ").alias("author_url"), F.col("o_orderpriority").alias("license"))
+    images = table(spark, d, "orders").select(F.col("o_orderkey").alias("image"), F.format_string("Clerk %d", "o_custkey").alias("author"), F.lit(" ").alias("author_url"), F.col("o_orderpriority").alias("license"))
     return P.candidate_rows(images, boxes(spark, d), "image").select("image", "attribution", "provenance_group_id", "compiled_classes", F.col("annotation_count").cast("long").alias("annotation_count"))
 
 
@@ -151,7 +151,7 @@ def shortlist(spark: SparkSession, d: str) -> DataFrame:
 
 @register("floor_supplement")
 def floor_supplement(spark: SparkSession, d: str) -> DataFrame:
-    pool = table(spark, d, "part").where("p_size <= 10").select("p_partkey", F.split("p_type", " ").alias("classes"), "p_brand")
+    pool = table(spark, d, "part").select("p_partkey", F.split("p_type", " ").alias("classes"), "p_brand")
     return X.supplement(pool, "p_partkey", "classes", "p_brand", count=20, floors={"TIN": 4, "STEEL": 4}, cap=3)
 
 

@@ -18,17 +18,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
     Where the session doesn't name one, a local session (tests) gets a temporary
-    folder and any other session a folder below its warehouse.
+    folder. On a cluster that is an error, as executors wouldn't see each other's files.
     """
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if _own_dir is None:
-        if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-            _own_dir = "file://" + tempfile.mkdtemp(prefix="sieveline-")
-        else:
-            _own_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_sieveline"
+        if not (spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        _own_dir = "file://" + tempfile.mkdtemp(prefix="sieveline-")
     spark.sparkContext.setCheckpointDir(_own_dir)
     return _own_dir
 
