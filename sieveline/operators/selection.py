@@ -7,12 +7,13 @@ plain function over rows, so that tests can hold it against a slow version.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.scalars import stable_rank
@@ -71,45 +72,58 @@ def quota_selection(rows: list[dict], vectors: np.ndarray, ranks: list[str], fea
     return chosen
 
 
-def rarest_first(rows: list[dict], ranks: list[str], targets: dict[str, int], total: int) -> list[int]:
-    """Rows for each class, rarest first, in rank order until the class' count reaches its
-    target (the test follows an addition); then by rank up to ``total``."""
-    order = sorted(range(len(rows)), key=lambda i: ranks[i])
-    frames = Counter(c for r in rows for c in set(r["classes"]))
+def rarest_first(rows: list[dict], ranks: list[str], targets: dict[str, int], total: int, *, smallest: int = 0, side_most: float = 0.0, negatives: int = 0) -> list[int]:
+    """Positive rows for each class, rarest first, in rank order until the class' count reaches
+    its target (the test follows an addition); by rank up to ``total``; then ``smallest`` more,
+    of the least sides up to ``side_most``; then the first ``negatives`` of the other rows
+    (``negative`` true). Whatever falls short is an error."""
+    order = sorted((i for i in range(len(rows)) if not rows[i].get("negative")), key=lambda i: ranks[i])
+    frames = Counter(c for i in order for c in set(rows[i]["classes"]))
     chosen: list[int] = []
     taken: set[int] = set()
     counts: Counter = Counter()
+
+    def enough(what: str, have: int, wanted: int) -> None:
+        if have < wanted:
+            raise ValueError(f"{what}: {have} of {wanted}")
+
+    def take(more: list[int]) -> None:
+        chosen.extend(more)
+        taken.update(more)
+
     for name in sorted(targets, key=lambda c: (frames[c], c)):
         for i in order:
             if i in taken or name not in rows[i]["classes"]:
                 continue
-            taken.add(i)
-            chosen.append(i)
+            take([i])
             counts.update(rows[i]["classes"])
             if counts[name] >= targets[name]:
                 break
-    for i in order:
-        if len(chosen) >= total:
-            break
-        if i not in taken:
-            taken.add(i)
-            chosen.append(i)
+        enough(f"boxes of {name}", counts[name], targets[name])
+    take([i for i in order if i not in taken][: max(0, total - len(chosen))])
+    enough("positive rows", len(chosen), total)
+    if smallest:
+        small = sorted((i for i in order if i not in taken and rows[i]["side"] <= side_most), key=lambda i: (rows[i]["side"], ranks[i]))
+        enough("rows of small sides", len(small), smallest)
+        take(small[:smallest])
+    others = sorted((i for i in range(len(rows)) if rows[i].get("negative")), key=lambda i: ranks[i])
+    enough("negative rows", len(others), negatives)
+    take(others[:negatives])
     return chosen
 
 
-def near_free(vectors: np.ndarray, groups: list[str], sites: list[str], *, most: float, group_cap: int, site_cap: int, maximum: int, existing: np.ndarray | None = None, order: str = "capacity-site-group-near") -> list[str]:
-    """A decision for each row in turn: included, or the first reason against it in the
-    order given. Near: a similarity of ``most`` or more to what exists or was included."""
-    held = np.zeros((0, len(vectors[0]) if len(vectors) else 0)) if existing is None or not len(existing) else np.asarray(existing, float)
+def _decided(values: np.ndarray, held: np.ndarray, groups: list[str], sites: list[str], near: Callable, *, group_cap: int, site_cap: int, maximum: int, order: str) -> list[str]:
+    """A decision for each value in turn: included, or the first reason against it in the order
+    given. ``near(held, value)`` tells whether what exists or was included is too like it."""
     n = len(held)
     by_group, by_site, decisions = Counter(), Counter(), []
     included = 0
-    for v, g, s in zip(vectors, groups, sites, strict=True):
+    for v, g, s in zip(values, groups, sites, strict=True):
         tests = {
             "capacity": lambda: included >= maximum,
             "site": lambda s=s: by_site[s] >= site_cap,
             "group": lambda g=g: by_group[g] >= group_cap,
-            "near": lambda v=v: n > 0 and float(np.max(held[:n] @ v)) >= most,
+            "near": lambda v=v: n > 0 and near(held[:n], v),
         }
         reason = next((r for r in order.split("-") if tests[r]()), None)
         decisions.append(reason or "included")
@@ -118,12 +132,23 @@ def near_free(vectors: np.ndarray, groups: list[str], sites: list[str], *, most:
             by_group[g] += 1
             by_site[s] += 1
             if n == len(held):
-                held = np.concatenate([held, np.zeros((max(64, n), held.shape[1]))])
+                held = np.concatenate([held, np.zeros((max(64, n), *held.shape[1:]), held.dtype)])
             held[n] = v
             n += 1
     return decisions
 
 
+def near_free(vectors: np.ndarray, groups: list[str], sites: list[str], *, most: float, group_cap: int, site_cap: int, maximum: int, existing: np.ndarray | None = None, order: str = "capacity-site-group-near") -> list[str]:
+    """Decisions where near is a similarity of ``most`` or more to what exists or was included."""
+    held = np.zeros((0, len(vectors[0]) if len(vectors) else 0)) if existing is None or not len(existing) else np.asarray(existing, float)
+    return _decided(vectors, held, groups, sites, lambda kept, v: float(np.max(kept @ v)) >= most, group_cap=group_cap, site_cap=site_cap, maximum=maximum, order=order)
+
+
+def hash_free(hashes: np.ndarray, groups: list[str], sites: list[str], *, most: int, group_cap: int, site_cap: int, maximum: int, order: str = "capacity-group-near") -> list[str]:
+    """Decisions where near is a Hamming distance of at most ``most`` bits of 64 to what was included."""
+    return _decided(hashes, np.zeros(0, np.uint64), groups, sites, lambda kept, v: int(np.bitwise_count(kept ^ v).min()) <= most, group_cap=group_cap, site_cap=site_cap, maximum=maximum, order=order)
+
+
 def budgeted_plan(queues: dict[str, list[tuple[str, int]]], targets: dict[str, int], budget: int) -> list[tuple[str, str, int]]:
     """(season, site, size): the seasons in turn take from their queues the next site not
     yet chosen that fits the budget; what doesn't is passed for good."""
@@ -147,30 +172,68 @@ def budgeted_plan(queues: dict[str, list[tuple[str, int]]], targets: dict[str, i
     return chosen
 
 
-def bucketed(rows: list[dict], targets: dict[tuple[str, str], int], site_cap: int, day_roles: frozenset[str] = frozenset({"negative"})) -> list[int]:
-    """Rows dealt to buckets of (role, season) in turn; one per bucket and round: an unused
-    component, a site below its cap, for some roles an unused camera day; new sites
-    first, then sites of fewer rows, then confidence (positives), then rank."""
-    sites, components, days = Counter(), set(), set()
-    got, chosen = Counter(), []
+def bucketed(rows: list[dict], targets: dict[tuple[str, str], int], site_cap: int, day_roles: frozenset[str] = frozenset({"negative"}), *, fill: list[dict] | None = None, season_share: float = 0.0) -> tuple[list[dict], list[dict]]:
+    """Rows dealt to buckets of (role, season) in turn, and the rows that fill up.
+
+    One row per bucket and round: an unused component, a site below its cap, for some roles
+    a camera day that these roles don't use yet; new sites first, then sites of fewer rows,
+    then confidence (not for those roles), then rank. After a round without a row each role
+    takes what it lacks from ``fill`` whatever the season, seasons below their share of
+    the total first."""
+    sites, seasons, components, days = Counter(), Counter(), set(), set()
+    wanted: Counter = Counter()
+    for (role, _), target in targets.items():
+        wanted[role] += target
+    least = math.ceil(season_share * sum(wanted.values()))
+
+    def best(some: list[dict], short: bool) -> dict | None:
+        fit = [r for r in some if r["component"] not in components and sites[r["site"]] < site_cap and not (r["role"] in day_roles and r["day"] in days)]
+        key = lambda r: (short and seasons[r["season"]] >= least, sites[r["site"]] > 0, sites[r["site"]], 0 if r["role"] in day_roles else -r["confidence"], r["rank"])
+        found = min(fit, key=key, default=None)
+        if found is not None:
+            sites[found["site"]] += 1
+            seasons[found["season"]] += 1
+            components.add(found["component"])
+            if found["role"] in day_roles:
+                days.add(found["day"])
+        return found
+
+    held: dict[tuple[str, str], list[dict]] = {b: [] for b in targets}
+    for r in rows:
+        held.setdefault((r["role"], r["season"]), []).append(r)
+    got, dealt, filled = Counter(), [], []
     moving = True
     while moving:
         moving = False
         for bucket, target in targets.items():
-            if got[bucket] >= target:
-                continue
-            fit = [i for i, r in enumerate(rows) if (r["role"], r["season"]) == bucket and r["component"] not in components and sites[r["site"]] < site_cap and not (r["role"] in day_roles and r["day"] in days)]
-            if not fit:
-                continue
-            best = min(fit, key=lambda i: (sites[rows[i]["site"]] > 0, sites[rows[i]["site"]], -rows[i]["confidence"] if rows[i]["role"] == "positive" else 0, rows[i]["rank"]))
-            r = rows[best]
-            chosen.append(best)
-            got[bucket] += 1
-            sites[r["site"]] += 1
-            components.add(r["component"])
-            days.add(r["day"])
-            moving = True
-    return chosen
+            found = best(held[bucket], False) if got[bucket] < target else None
+            if found is not None:
+                dealt.append(found)
+                got[bucket] += 1
+                moving = True
+    have = Counter(r["role"] for r in dealt)
+    for role in wanted if fill is not None else ():
+        some = [r for r in fill if r["role"] == role]
+        while have[role] < wanted[role] and (found := best(some, True)) is not None:
+            filled.append(found)
+            have[role] += 1
+    return dealt, filled
+
+
+def suffices(rows: list[dict], kinds: tuple[str, ...], picks: int) -> bool:
+    """Whether rows in order of preference hold so many that share no value of ``kinds`` that
+    after any ``picks`` - 1 choices, each using one value of each kind, one of them is still free:
+    then no row behind them is ever chosen."""
+    used: list[set] = [set() for _ in kinds]
+    free = 0
+    for r in rows:
+        if all(r[k] not in u for k, u in zip(kinds, used, strict=True)):
+            free += 1
+            for k, u in zip(kinds, used, strict=True):
+                u.add(r[k])
+            if free > len(kinds) * (picks - 1):
+                return True
+    return False
 
 
 def floors_with_swaps(rows: list[dict], count: int, floors: dict[str, int], group_cap: int) -> tuple[list[int], dict[str, int]]:
@@ -283,15 +346,40 @@ def select_by_quota(pool: DataFrame, identity: str, vector: str, group: str, str
     return over_pool(rows, kernel, f"{identity} {kind}, stratum string, position long")
 
 
-def shortlist(pool: DataFrame, identity: str, classes: str, *, targets: dict[str, int], total: int) -> DataFrame:
-    """identity and position: see ``rarest_first``."""
+def validation_queue(pool: DataFrame, identity: str, phash: str, group: str, site: str, confidence: str, small: str, *, most: int, group_cap: int, site_cap: int, maximum: int, minimum_sites: int = 0) -> DataFrame:
+    """identity and decision of each site's first ``site_cap`` rows by confidence, small boxes and
+    hash, round by round over the sites: see ``hash_free``. Fewer sites than the minimum
+    among the included are an error; an empty pool gives no rows. phash: 16 hexadecimal digits."""
+    kind = dict(pool.dtypes)[identity]
+    rows = pool.select(identity, F.col(phash).alias("_h"), F.col(group).cast("string").alias("_g"), F.col(site).cast("string").alias("_s"), F.col(confidence).alias("_c"), F.col(small).alias("_b"), stable_rank(identity).alias("_r"))
+    turn = F.row_number().over(Window.partitionBy("_s").orderBy(F.desc("_c"), F.desc("_b"), "_r"))
+
+    def kernel(held: pd.DataFrame) -> pd.DataFrame:
+        held = held.sort_values(["_t", "_c", "_r"], ascending=[True, False, True])
+        hashes = np.array([int(h, 16) for h in held["_h"]], np.uint64)
+        decisions = hash_free(hashes, held["_g"].tolist(), held["_s"].tolist(), most=most, group_cap=group_cap, site_cap=site_cap, maximum=maximum)
+        sites = {s for s, d in zip(held["_s"], decisions, strict=True) if d == "included"}
+        if len(sites) < minimum_sites:
+            raise ValueError(f"sites in the queue: {len(sites)} of {minimum_sites}")
+        return pd.DataFrame({identity: held[identity], "decision": decisions})
+
+    return over_pool(rows.withColumn("_t", turn).where(F.col("_t") <= site_cap), kernel, f"{identity} {kind}, decision string")
+
+
+def shortlist(pool: DataFrame, identity: str, classes: str, *, targets: dict[str, int], total: int, negative: str | None = None, side: str | None = None, smallest: int = 0, side_most: float = 0.0, negatives: int = 0) -> DataFrame:
+    """identity and position, positive rows before negative ones, each by rank: see
+    ``rarest_first``. negative: a boolean column; side: the least side of a row's boxes."""
     kind = dict(pool.dtypes)[identity]
 
     def kernel(held: pd.DataFrame) -> pd.DataFrame:
-        chosen = rarest_first([{"classes": list(c)} for c in held["_c"]], held["_r"].tolist(), targets, total)
+        rows = [{"classes": list(c), "negative": n, "side": s} for c, n, s in zip(held["_c"], held["_n"], held["_s"], strict=True)]
+        ranks = held["_r"].tolist()
+        chosen = rarest_first(rows, ranks, targets, total, smallest=smallest, side_most=side_most, negatives=negatives)
+        chosen.sort(key=lambda i: (rows[i]["negative"], ranks[i]))
         return pd.DataFrame({identity: held.iloc[chosen][identity], "position": np.arange(1, len(chosen) + 1)})
 
-    return over_pool(pool.select(identity, F.col(classes).alias("_c"), stable_rank(identity).alias("_r")), kernel, f"{identity} {kind}, position long")
+    named = pool.select(identity, F.col(classes).alias("_c"), (F.col(negative) if negative else F.lit(False)).alias("_n"), (F.col(side).cast("double") if side else F.lit(0.0)).alias("_s"), stable_rank(identity).alias("_r"))
+    return over_pool(named, kernel, f"{identity} {kind}, position long")
 
 
 def supplement(pool: DataFrame, identity: str, classes: str, group: str, *, count: int, floors: dict[str, int], cap: int) -> DataFrame:
@@ -321,14 +409,42 @@ def plan_archives(archives: DataFrame, sites: DataFrame, *, least_bytes: int, bu
     return over_pool(queue, kernel, f"season string, site {dict(archives.dtypes)['site']}, bytes long")
 
 
-def select_frames(frames: DataFrame, identity: str, *, targets: dict[tuple[str, str], int], site_cap: int) -> DataFrame:
-    """identity and position: see ``bucketed``. frames: role, season, site, component, day, confidence."""
+def select_frames(frames: DataFrame, identity: str, *, targets: dict[tuple[str, str], int], site_cap: int, minimum_sites: int = 0, season_share: float = 0.15, day_role: str = "negative", pool_rows: int = POOL_ROWS) -> DataFrame:
+    """identity, position and phase (dealt or fill) of the chosen: see ``bucketed``. frames: role,
+    season, site, component, day, confidence (null: 0).
+
+    Any number of frames: the kernel gets the best rows only, of each component, then of each
+    site, then of each bucket, in the order of either phase. That these suffice is proven
+    (``suffices``) or an error. So are too few rows, sites, or rows of a season among
+    those of ``targets``. An empty table gives no rows."""
     kind = dict(frames.dtypes)[identity]
+    picks = sum(targets.values())
+    per_bucket = pool_rows // (2 * len(targets))
+    per_site = min(4 * picks, per_bucket)
+    asked = F.concat_ws("\x1f", "role", "season").isin([f"{r}\x1f{s}" for r, s in targets])
+    order = lambda phase: F.struct(F.when(F.col("role") == day_role, F.lit(0.0)).otherwise(-F.coalesce("confidence", F.lit(0.0)).cast("double")).alias("minus"), stable_rank(F.lit(phase), "role", "season", identity).alias("rank"), F.col(identity).alias("who"))
+    same = frames.where(asked).groupBy("role", "season", "site", "component", F.when(F.col("role") == day_role, F.col("day")).alias("day"))
+    bests = same.agg(*[F.min(order(p)).alias(p) for p in ("dealt", "fill")])
+    each = bests.select("role", "season", "site", "component", "day", F.explode(F.map_from_arrays(F.array(F.lit("dealt"), F.lit("fill")), F.array("dealt", "fill"))).alias("phase", "b"))
+    each = each.select("phase", "role", "season", "site", "component", "day", F.col("b.minus").alias("minus"), F.col("b.rank").alias("rank"), F.col("b.who").alias("who"))
+    for number, keys, most in (("_i", ["phase", "role", "season", "site"], per_site), ("_j", ["phase", "role", "season"], per_bucket)):
+        each = each.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy("minus", "rank"))).where(F.col(number) <= most)
 
     def kernel(held: pd.DataFrame) -> pd.DataFrame:
-        rows = held[["role", "season", "site", "component", "day", "confidence", "rank"]].to_dict("records")
-        chosen = bucketed(rows, targets, site_cap)
-        return pd.DataFrame({identity: held.iloc[chosen][identity], "position": np.arange(1, len(chosen) + 1)})
-
-    ranked = frames.withColumn("rank", stable_rank(F.lit("frames"), "role", "season", identity))
-    return over_pool(ranked.select(identity, "role", "season", "site", "component", "day", "confidence", "rank"), kernel, f"{identity} {kind}, position long")
+        held = held.sort_values(["minus", "rank"], kind="stable")
+        held["confidence"] = -held["minus"]
+        for keys, most, kinds in ((["phase", "role", "season", "site"], per_site, ("component",)), (["phase", "role", "season"], per_bucket, ("site", "component"))):
+            for found, rows in held.groupby(keys, dropna=False):
+                uses = (*kinds, "day") if found[1] == day_role else kinds
+                if len(rows) >= most and not suffices(rows.to_dict("records"), uses, picks):
+                    raise ValueError(f"the first {most} frames of {found} may not suffice; allow more rows")
+        dealt, filled = bucketed(held[held["phase"] == "dealt"].to_dict("records"), targets, site_cap, frozenset({day_role}), fill=held[held["phase"] == "fill"].to_dict("records"), season_share=season_share)
+        chosen = dealt + filled
+        seasons = Counter(r["season"] for r in chosen)
+        least = math.ceil(season_share * picks)
+        sites = len({r["site"] for r in chosen})
+        if len(chosen) < picks or sites < minimum_sites or any(seasons[s] < least for _, s in targets):
+            raise ValueError(f"frames: {len(chosen)} of {picks}; sites: {sites} of {minimum_sites}; by season: {dict(seasons)}, at least {least} each")
+        return pd.DataFrame({identity: [r["who"] for r in chosen], "position": np.arange(1, len(chosen) + 1), "phase": ["dealt"] * len(dealt) + ["fill"] * len(filled)})
+
+    return over_pool(each.drop("_i", "_j"), kernel, f"{identity} {kind}, position long, phase string", pool_rows=pool_rows)

@@ -102,14 +102,16 @@ def ini_sections(spark: SparkSession, d: str) -> DataFrame:
     return readers.ini_sections(rows, "turn").select("conv_id", "turn", "section")
 
 
-@register("coco_round_trip", "SELECT event_id // 8 || '.jpg' AS file_name, 'c' || event_id % 4 AS category, (event_id * 37 % 400)::DOUBLE AS x, (40 + event_id * 31 % 140)::DOUBLE AS h FROM events WHERE event_id < 400")
+@register("coco_round_trip", "SELECT event_id // 8 || '.jpg' AS file_name, 'c' || event_id % 4 AS category, (event_id * 37 % 400)::DOUBLE AS x, (40 + event_id * 31 % 140)::DOUBLE AS h FROM events")
 def coco_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """A document for every thousand images, written and read back."""
     from sieveline.plans.boxes import boxes
 
-    rows = boxes(spark, d).where("event_id < 400").withColumn("file_name", F.concat(F.col("image").cast("string"), F.lit(".jpg")))
-    images = rows.select("file_name", F.lit(640).alias("width"), F.lit(480).alias("height")).distinct()
-    document = writers.coco_document(images, rows, [(i, f"c{i}") for i in range(4)])
-    return readers.coco_annotations(document).where("fault IS NULL").select("file_name", "category", "x", "h")
+    rows = boxes(spark, d).withColumn("file_name", F.concat(F.col("image").cast("string"), F.lit(".jpg")))
+    images = rows.select("file_name", F.floor(F.col("image") / 1000).alias("bundle"), F.lit(640).alias("width"), F.lit(480).alias("height")).distinct()
+    path = _path(spark, "bundles")
+    writers.coco_document(images, rows, [(i, f"c{i}") for i in range(4)], "bundle").write.parquet(path)
+    return readers.coco_annotations(spark.read.parquet(path), "bundle").where("fault IS NULL").select("file_name", "category", "x", "h")
 
 
 @register("feature_sites", "SELECT 'n' || n_regionkey AS sitename, max(n_nationkey) AS code FROM nation GROUP BY 1")

@@ -133,6 +133,12 @@ def reviewed_admission(spark: SparkSession, d: str) -> DataFrame:
     return X.admit(_vectors(spark, d), "vec_id", "embedding", "grp", "label", "position", most=0.35, group_cap=3, site_cap=12, maximum=80)
 
 
+@register("validation_queue")
+def validation_queue(spark: SparkSession, d: str) -> DataFrame:
+    rows = _vectors(spark, d).withColumns({"phash": pixels.perceptual_hash(F.flatten(F.array_repeat("embedding", 16))), "confidence": F.round(F.abs(F.get("embedding", F.lit(0))), 3), "small": F.col("vec_id") % 3})
+    return X.validation_queue(rows, "vec_id", "phash", "grp", "label", "confidence", "small", most=10, group_cap=3, site_cap=12, maximum=60)
+
+
 @register("quota_selection")
 def quota_selection(spark: SparkSession, d: str) -> DataFrame:
     return X.select_by_quota(_vectors(spark, d), "vec_id", "embedding", "grp", "stratum", "features", minimums=[("small", 10), ("occluded", 8)], strata={"s0": 12, "s1": 10, "s2": 8}, cap=2)
@@ -145,14 +151,14 @@ def capped_diverse(spark: SparkSession, d: str) -> DataFrame:
 
 @register("shortlist")
 def shortlist(spark: SparkSession, d: str) -> DataFrame:
-    pool = table(spark, d, "part").select("p_partkey", F.split("p_type", " ").alias("classes"))
-    return X.shortlist(pool, "p_partkey", "classes", targets={"TIN": 20, "BRASS": 30, "STEEL": 10}, total=90)
+    pool = table(spark, d, "part").select("p_partkey", F.split("p_type", " ").alias("classes"), (F.col("p_partkey") % 4 == 0).alias("negative"), (F.col("p_size") / 50).alias("side"))
+    return X.shortlist(pool, "p_partkey", "classes", targets={"PROMO": 10, "STANDARD": 12, "LARGE": 8}, total=60, negative="negative", side="side", smallest=5, side_most=0.5, negatives=20)
 
 
 @register("floor_supplement")
 def floor_supplement(spark: SparkSession, d: str) -> DataFrame:
     pool = table(spark, d, "part").select("p_partkey", F.split("p_type", " ").alias("classes"), "p_brand")
-    return X.supplement(pool, "p_partkey", "classes", "p_brand", count=20, floors={"TIN": 4, "STEEL": 4}, cap=3)
+    return X.supplement(pool, "p_partkey", "classes", "p_brand", count=20, floors={"PROMO": 4, "STANDARD": 4}, cap=3)
 
 
 @register("budgeted_plan")
@@ -163,10 +169,10 @@ def budgeted_plan(spark: SparkSession, d: str) -> DataFrame:
 
 @register("frame_selection")
 def frame_selection(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").where("event_id < 3000")
+    e = table(spark, d, "events")
     frames = e.select("event_id", F.when(F.col("value") > 50, "positive").otherwise("negative").alias("role"), S.season(F.col("event_id") % 12 + 1).alias("season"), F.col("user_id").alias("site"), (F.col("event_id") % 900).alias("component"), S.day_group(F.col("user_id"), F.col("ts")).alias("day"), F.col("value").alias("confidence"))
     targets = {(r, s): 5 for r in ("positive", "negative") for s in ("winter", "spring", "summer", "autumn")}
-    return X.select_frames(frames, "event_id", targets=targets, site_cap=3)
+    return X.select_frames(frames, "event_id", targets=targets, site_cap=3, minimum_sites=15)
 
 
 @register("stream_day_counts", "SELECT date_trunc('day', ts)::TIMESTAMP AS day, event_type, count(*) AS n FROM events GROUP BY ALL")

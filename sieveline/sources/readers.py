@@ -152,14 +152,16 @@ def coco_documents(files: DataFrame, most_bytes: int = 50 << 20) -> DataFrame:
 COCO = "categories array<struct<id:string,name:string>>, images array<struct<id:string,file_name:string,width:int,height:int>>, annotations array<struct<id:string,image_id:string,category_id:string,bbox:array<double>>>"
 
 
-def coco_annotations(documents: DataFrame) -> DataFrame:
-    """file_name, category and box of each annotation; ids must be whole numbers, else the fault says so."""
-    parsed = documents.select(F.from_json("document", COCO).alias("d"))
-    images = parsed.select(F.explode("d.images").alias("i")).select(F.col("i.id").alias("image_id"), "i.file_name", "i.width", "i.height")
-    names = parsed.select(F.explode("d.categories").alias("c")).select(F.col("c.id").alias("category_id"), F.col("c.name").alias("category"))
-    each = parsed.select(F.explode("d.annotations").alias("a")).select("a.*")
+def coco_annotations(documents: DataFrame, by: str | None = None) -> DataFrame:
+    """file_name, category and box of each annotation; ids must be whole numbers, else the fault
+    says so. ``by`` names each of several documents, whose ids are their own."""
+    key = [by] if by else []
+    parsed = documents.select(*key, F.from_json("document", COCO).alias("d"))
+    images = parsed.select(*key, F.explode("d.images").alias("i")).select(*key, F.col("i.id").alias("image_id"), "i.file_name", "i.width", "i.height")
+    names = parsed.select(*key, F.explode("d.categories").alias("c")).select(*key, F.col("c.id").alias("category_id"), F.col("c.name").alias("category"))
+    each = parsed.select(*key, F.explode("d.annotations").alias("a")).select(*key, "a.*")
     whole = lambda c: F.coalesce(F.col(c).rlike(r"^-?\d+$"), F.lit(False))
-    joined = each.join(images, "image_id", "left").join(names, "category_id", "left")
+    joined = each.join(images, [*key, "image_id"], "left").join(names, [*key, "category_id"], "left")
     x, y, w, h = (F.get("bbox", F.lit(i)) for i in range(4))
     fault = F.when(~(whole("id") & whole("image_id") & whole("category_id")), "id_not_whole").when(F.col("file_name").isNull(), "unknown_image").when(F.col("category").isNull(), "unknown_category").when(~F.coalesce((F.size("bbox") == 4) & (w > 0) & (h > 0) & (x >= 0) & (y >= 0) & (x + w <= F.col("width") + 1) & (y + h <= F.col("height") + 1), F.lit(False)), "box_outside")
     return joined.select("id", "file_name", "category", x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h"), fault.alias("fault"))

@@ -51,20 +51,23 @@ def write_labels(boxes: DataFrame, path: str, image: str, mode: str = "errorifex
     label_texts(boxes, image).write.mode(mode).partitionBy(image).text(path)
 
 
-def coco_document(images: DataFrame, boxes: DataFrame, categories: list[tuple[int, str]]) -> DataFrame:
-    """One JSON document of a review bundle (a bundle is for people, so it is small):
-    images numbered by file name, annotations by image and box, categories from 1."""
+def coco_document(images: DataFrame, boxes: DataFrame, categories: list[tuple[int, str]], by: str | None = None) -> DataFrame:
+    """One JSON document of a review bundle (a bundle is for people, so it is small), or one for
+    each value of ``by``, a column of ``images``, beside that value: images numbered by file
+    name within their document, annotations by image and box, categories from 1."""
     from pyspark.sql import Window
 
-    numbered = images.withColumn("id", F.row_number().over(Window.orderBy("file_name")))
-    joined = boxes.join(numbered.select("file_name", F.col("id").alias("image_id")), "file_name")
-    ids = F.row_number().over(Window.orderBy("image_id", "class_id", "x1", "y1", "x2", "y2"))
+    key = [by] if by else []
+    numbered = images.withColumn("id", F.row_number().over(Window.partitionBy(*key).orderBy("file_name")))
+    joined = boxes.drop(*key).join(numbered.select(*key, "file_name", F.col("id").alias("image_id")), "file_name")
+    ids = F.row_number().over(Window.partitionBy(*key).orderBy("image_id", "class_id", "x1", "y1", "x2", "y2"))
     bbox = F.array(F.col("x1"), F.col("y1"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
-    notes = joined.select(ids.alias("id"), "image_id", (F.col("class_id") + 1).alias("category_id"), bbox.alias("bbox"))
-    listed = lambda df, *c: df.agg(F.array_sort(F.collect_list(F.struct(*c))).alias("x"))
-    a, b = listed(numbered, "id", "file_name", "width", "height"), listed(notes, "id", "image_id", "category_id", "bbox")
+    notes = joined.select(*key, ids.alias("id"), "image_id", (F.col("class_id") + 1).alias("category_id"), bbox.alias("bbox"))
+    listed = lambda df, *c: df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*c))).alias("x"))
+    a, b = listed(numbered, "id", "file_name", "width", "height").withColumnRenamed("x", "images"), listed(notes, "id", "image_id", "category_id", "bbox").withColumnRenamed("x", "annotations")
     kinds = F.array(*[F.struct(F.lit(i + 1).alias("id"), F.lit(n).alias("name")) for i, n in sorted(categories)])
-    return a.withColumnRenamed("x", "images").join(b.withColumnRenamed("x", "annotations")).select(F.to_json(F.struct(F.col("annotations"), kinds.alias("categories"), F.col("images"))).alias("document"))
+    both = a.join(b, by, "left").withColumn("annotations", F.coalesce("annotations", F.array())) if by else a.join(b)
+    return both.select(*key, F.to_json(F.struct(F.col("annotations"), kinds.alias("categories"), F.col("images"))).alias("document"))
 
 
 def reproducible_zip(members: dict[str, bytes]) -> bytes:

@@ -263,8 +263,91 @@ def test_rarest_class_comes_first():
 
 def test_frames_are_dealt_over_sites():
     rows = [{"role": r, "season": s, "site": f"{i % 4}", "component": str(i), "day": str(i), "confidence": 0.5, "rank": f"{i:03d}"} for i, (r, s) in enumerate([(r, s) for r in ("positive", "negative") for s in ("winter", "summer") for _ in range(8)])]
-    chosen = selection.bucketed(rows, {(r, s): 2 for r in ("positive", "negative") for s in ("winter", "summer")}, 2)
-    assert len(chosen) == 8 and max(Counter(rows[i]["site"] for i in chosen).values()) == 2
+    chosen, _ = selection.bucketed(rows, {(r, s): 2 for r in ("positive", "negative") for s in ("winter", "summer")}, 2)
+    assert len(chosen) == 8 and max(Counter(r["site"] for r in chosen).values()) == 2
+
+
+def test_a_role_is_filled_from_other_seasons():
+    row = lambda i, role, season, **k: {"role": role, "season": season, "site": f"s{i}", "component": i, "day": f"d{i}", "confidence": 0.1 * i, "rank": f"{i}", **k}
+    rows = [row(0, "positive", "winter"), row(1, "positive", "winter"), row(2, "positive", "summer"), row(3, "negative", "winter", day="d0"), row(4, "negative", "summer", day="d0"), row(5, "negative", "summer")]
+    targets = {("positive", "winter"): 1, ("positive", "summer"): 2, ("negative", "winter"): 1, ("negative", "summer"): 1}
+    dealt, filled = selection.bucketed(rows, targets, 1, fill=rows)
+    # a positive row's camera day doesn't stop a negative one's; a negative row's does
+    assert [r["component"] for r in dealt] == [1, 2, 3, 5] and [r["component"] for r in filled] == [0]
+    assert selection.bucketed(rows, targets, 1)[1] == []
+    # winter is below its share: it comes before summer's surer row
+    rows = [row(0, "positive", "winter"), row(1, "positive", "summer"), row(2, "positive", "summer")]
+    for share, second in ((0.5, 0), (0.0, 1)):
+        dealt, filled = selection.bucketed(rows, {("positive", "summer"): 1, ("positive", "autumn"): 1}, 1, fill=rows, season_share=share)
+        assert [r["component"] for r in dealt + filled] == [2, second]
+
+
+def _frames(n, sites, components, days, seed):
+    rng = np.random.default_rng(seed)
+    draw = lambda k: rng.integers(0, k, n).tolist()
+    roles, seasons = ("positive", "negative"), ("winter", "summer")
+    return [(i, roles[a], seasons[b], s, c, f"{s}-{y}", round(float(v), 2)) for i, (a, b, s, c, y, v) in enumerate(zip(draw(2), draw(2), draw(sites), draw(components), draw(days), rng.random(n), strict=True))]
+
+
+@pytest.mark.parametrize(("sites", "components", "days", "pool"), [(60, 200, 9, 1600), (7, 300, 40, 4000), (60, 40, 2, 1600)])
+def test_the_best_frames_are_chosen_from_a_whole_table(spark, sites, components, days, pool):
+    names = ["id", "role", "season", "site", "component", "day", "confidence"]
+    rows = _frames(4000, sites, components, days, sites)
+    df = spark.createDataFrame(rows, "id long, role string, season string, site long, component long, day string, confidence double")
+    targets = {(r, s): 3 for r in ("positive", "negative") for s in ("winter", "summer")}
+    got = [r["id"] for r in selection.select_frames(df, "id", targets=targets, site_cap=3, pool_rows=pool).orderBy("position").collect()]
+    ranks = {p: {r["id"]: r["x"] for r in df.select("id", S.stable_rank(F.lit(p), "role", "season", "id").alias("x")).collect()} for p in ("dealt", "fill")}
+    held = {p: [dict(zip(names, r, strict=True), rank=ranks[p][r[0]]) for r in rows] for p in ranks}
+    dealt, filled = selection.bucketed(held["dealt"], targets, 3, fill=held["fill"], season_share=0.15)
+    assert got == [r["id"] for r in dealt + filled] and len(got) == 12
+
+
+def test_frames_that_fall_short_are_an_error(spark):
+    schema = "id long, role string, season string, site long, component long, day string, confidence double"
+    targets = {(r, s): 3 for r in ("positive", "negative") for s in ("winter", "summer")}
+    with pytest.raises(Exception, match="frames: 1 of 12"):
+        selection.select_frames(spark.createDataFrame([(1, "positive", "winter", 1, 1, "d", None)], schema), "id", targets=targets, site_cap=3).collect()
+    with pytest.raises(Exception, match="sites: .* of 99"):
+        selection.select_frames(spark.createDataFrame(_frames(500, 30, 200, 9, 1), schema), "id", targets=targets, site_cap=3, minimum_sites=99).collect()
+    # all rows are of two sites and one component: the first of many can't be proven to suffice
+    with pytest.raises(Exception, match="may not suffice"):
+        selection.select_frames(spark.createDataFrame(_frames(4000, 2, 1, 2000, 1), schema), "id", targets=targets, site_cap=3, pool_rows=400).collect()
+    assert selection.select_frames(spark.createDataFrame([], schema), "id", targets=targets, site_cap=3).count() == 0
+
+
+def test_shortlist_adds_small_sides_and_negatives():
+    rows = [{"classes": ["car"], "side": s, "negative": n} for s, n in ((0.5, False), (0.2, False), (0.1, False), (0.1, True), (0.9, True), (0.1, False))]
+    assert selection.rarest_first(rows, list("abcdef"), {"car": 1}, 1, smallest=2, side_most=0.2, negatives=1) == [0, 2, 5, 3]
+    for short in ({"smallest": 4, "side_most": 0.2}, {"negatives": 3}):
+        with pytest.raises(ValueError, match="[34]$"):
+            selection.rarest_first(rows, list("abcdef"), {"car": 1}, 1, **short)
+    with pytest.raises(ValueError, match="boxes of car: 4 of 5"):
+        selection.rarest_first(rows, list("abcdef"), {"car": 5}, 1)
+    with pytest.raises(ValueError, match="positive rows: 4 of 5"):
+        selection.rarest_first(rows, list("abcdef"), {"car": 1}, 5)
+
+
+def test_validation_queue_tells_near_hashes(spark):
+    near = {"group_cap": 1, "site_cap": 9, "maximum": 2}
+    hashes = np.array([0, 0b11, 0b111, 0xFF00, 0xFF0000], np.uint64)
+    assert selection.hash_free(hashes, list("abacd"), list("zzzzz"), most=2, **near) == ["included", "near", "group", "included", "capacity"]
+    rows = [(1, "0" * 16, "g1", "s1", 0.9, 0), (2, "0" * 15 + "1", "g2", "s2", 0.8, 0), (3, "f" * 16, "g3", "s1", 0.7, 0), (4, "f" * 8 + "0" * 8, "g4", "s1", 0.7, 1)]
+    df = spark.createDataFrame(rows, "id long, h string, g string, s string, c double, b long")
+    got = {r["id"]: r["decision"] for r in selection.validation_queue(df, "id", "h", "g", "s", "c", "b", most=1, group_cap=1, site_cap=2, maximum=9).collect()}
+    assert got == {1: "included", 2: "near", 4: "included"}
+    with pytest.raises(Exception, match="sites in the queue: 1 of 2"):
+        selection.validation_queue(df, "id", "h", "g", "s", "c", "b", most=1, group_cap=1, site_cap=2, maximum=9, minimum_sites=2).collect()
+
+
+def test_bundles_number_their_own_images(spark):
+    images = spark.createDataFrame([("a", 0, 9, 9), ("b", 1, 9, 9), ("c", 1, 9, 9)], "file_name string, bundle long, width long, height long")
+    boxes = spark.createDataFrame([("a", 0, 0.0, 0.0, 1.0, 1.0), ("b", 1, 1.0, 1.0, 3.0, 4.0)], "file_name string, class_id int, x1 double, y1 double, x2 double, y2 double")
+    documents = writers.coco_document(images, boxes, [(0, "car"), (1, "bus")], "bundle")
+    assert documents.count() == 2
+    got = readers.coco_annotations(documents, "bundle").select("file_name", "category", "x", "h", "fault").collect()
+    assert sorted(map(tuple, got)) == [("a", "car", 0.0, 1.0, None), ("b", "bus", 1.0, 3.0, None)]
+    bare = writers.coco_document(images, boxes.limit(0), [(0, "car")], "bundle")
+    assert bare.count() == 2 and readers.coco_annotations(bare, "bundle").count() == 0
 
 
 def test_a_pool_that_is_too_large_is_an_error(spark):
