@@ -416,14 +416,16 @@ def select_frames(frames: DataFrame, identity: str, *, targets: dict[tuple[str,
     Any number of frames: the kernel gets the best rows only, of each component, then of each
     site, then of each bucket, in the order of either phase. That these suffice is proven
     (``suffices``) or an error. So are too few rows, sites, or rows of a season among
-    those of ``targets``. An empty table gives no rows."""
+    those of ``targets``. Null sites, components or days are one
+    value each. An empty table gives no rows."""
     kind = dict(frames.dtypes)[identity]
     picks = sum(targets.values())
     per_bucket = pool_rows // (2 * len(targets))
     per_site = min(4 * picks, per_bucket)
     asked = F.concat_ws("\x1f", "role", "season").isin([f"{r}\x1f{s}" for r, s in targets])
     order = lambda phase: F.struct(F.when(F.col("role") == day_role, F.lit(0.0)).otherwise(-F.coalesce("confidence", F.lit(0.0)).cast("double")).alias("minus"), stable_rank(F.lit(phase), "role", "season", identity).alias("rank"), F.col(identity).alias("who"))
-    same = frames.where(asked).groupBy("role", "season", "site", "component", F.when(F.col("role") == day_role, F.col("day")).alias("day"))
+    texts = {k: F.col(k).cast("string") for k in ("site", "component", "day")}
+    same = frames.where(asked).withColumns(texts).groupBy("role", "season", "site", "component", F.when(F.col("role") == day_role, F.col("day")).alias("day"))
     bests = same.agg(*[F.min(order(p)).alias(p) for p in ("dealt", "fill")])
     each = bests.select("role", "season", "site", "component", "day", F.explode(F.map_from_arrays(F.array(F.lit("dealt"), F.lit("fill")), F.array("dealt", "fill"))).alias("phase", "b"))
     each = each.select("phase", "role", "season", "site", "component", "day", F.col("b.minus").alias("minus"), F.col("b.rank").alias("rank"), F.col("b.who").alias("who"))

@@ -313,6 +313,9 @@ def test_frames_that_fall_short_are_an_error(spark):
     with pytest.raises(Exception, match="may not suffice"):
         selection.select_frames(spark.createDataFrame(_frames(4000, 2, 1, 2000, 1), schema), "id", targets=targets, site_cap=3, pool_rows=400).collect()
     assert selection.select_frames(spark.createDataFrame([], schema), "id", targets=targets, site_cap=3).count() == 0
+    rows = [(i, "positive", "winter", i, None, None, 0.5) for i in range(3)]
+    with pytest.raises(Exception, match="frames: 1 of 2"):
+        selection.select_frames(spark.createDataFrame(rows, schema), "id", targets={("positive", "winter"): 2}, site_cap=3).collect()
 
 
 def test_shortlist_adds_small_sides_and_negatives():
