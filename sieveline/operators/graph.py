@@ -34,7 +34,8 @@ def components(links: DataFrame) -> DataFrame:
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
     state = None
     while True:
-        links = _star(_star(links, True), False).checkpoint()
+        # either star reads its links twice, so each is written before the next
+        links = _star(_star(links, True).checkpoint(), False).checkpoint()
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -48,11 +50,19 @@ def exclude(df: DataFrame, others: list[tuple[DataFrame, str]], blank_matches: b
 
 def equal_pairs(df: DataFrame, key: str, identity: str) -> DataFrame:
     """Pairs of identities (left before right) that share a key. Meant for keys of few
-    rows each; ``class_pairs`` keeps the number of pairs in proportion."""
+    rows each; ``class_pairs`` and ``class_links`` keep their rows in proportion."""
     a = df.where(F.col(key).isNotNull()).select(key, F.col(identity).alias("left_id"))
     return a.join(a.withColumnRenamed("left_id", "right_id"), key).where("left_id < right_id").select("left_id", "right_id")
 
 
+def class_links(df: DataFrame, key: str, identity: str) -> DataFrame:
+    """Each row that shares its key: identity, class_id (the key's least identity) and links,
+    the number of other rows with the key. Rows without a key or a partner are left out."""
+    held = df.where(F.col(key).isNotNull()).select(key, identity)
+    found = redealt(held.groupBy(key).agg(F.min(identity).alias("class_id"), (F.count("*") - 1).alias("links")).where("links > 0"))
+    return held.join(found, key).select(identity, "class_id", "links")
+
+
 def class_pairs(df: DataFrame, key: str, identity: str) -> DataFrame:
     """A pair from each key's least identity to every other: it links the same rows as all
     pairs do, with as many rows as there are copies."""
@@ -62,15 +72,33 @@ def class_pairs(df: DataFrame, key: str, identity: str) -> DataFrame:
 
 
 def hamming_pairs(df: DataFrame, bits: str, identity: str, most: int, width: int = 64) -> DataFrame:
-    """Pairs whose bits differ in at most ``most`` places. Of most + 1 bands one is equal,
-    so pairs meet in a band; each is kept in the first band that it shares."""
-    bands = most + 1
+    """Pairs of classes whose bits differ in at most ``most`` places, and each copy with its class.
+
+    Rows of equal bits are one class, named by its least identity; left_id and right_id
+    are classes, or a class and one of its other rows at distance 0. Null bits match nothing.
+    Bits are cut into so few bands that of most differences one band holds two at most;
+    the smaller class looks for its band's value and for all values within two
+    bits of it, and a pair counts in the first band that it shares.
+    """
+    bands = most // 3 + 1
     edges = [width * i // bands for i in range(bands + 1)]
-    mask = lambda i: F.shiftrightunsigned(bits, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1))
-    rows = df.select(F.col(identity).alias("id"), F.col(bits).alias("bits"), F.posexplode(F.array(*[mask(i) for i in range(bands)])).alias("band", "value"))
-    a, b = rows.select("band", "value", F.col("id").alias("left_id"), F.col("bits").alias("lb")), rows.select("band", "value", F.col("id").alias("right_id"), F.col("bits").alias("rb"))
-    apart = F.bit_count(F.col("lb").bitwiseXOR(F.col("rb")))
-    return a.join(b, ["band", "value"]).where(F.col("left_id") < F.col("right_id")).withColumn("hamming", apart).where(F.col("hamming") <= most).groupBy("left_id", "right_id").agg(F.min("hamming").alias("hamming"))
+    sizes = [high - low for low, high in zip(edges, edges[1:], strict=False)]
+    near = most // bands
+    signed = lambda n: n - (1 << 64) if n >> 63 else n
+    band = lambda value, i: F.shiftrightunsigned(value, edges[i]).bitwiseAND(F.lit(signed((1 << sizes[i]) - 1)))
+    flips = [[signed(sum(1 << b for b in some)) for k in range(near + 1) for some in combinations(range(size), k)] for size in sizes]
+    classes = df.where(F.col(bits).isNotNull()).groupBy(F.col(bits).alias("bits")).agg(F.min(identity).alias("id"))
+    at = lambda i, value: F.struct(F.lit(i).alias("band"), value.alias("value"))
+    around = lambda i: F.transform(F.array(*map(F.lit, flips[i])).cast("array<bigint>"), lambda m: at(i, band(F.col("bits"), i).bitwiseXOR(m)))
+    probes = F.concat(*map(around, range(bands)))
+    holders = F.array(*[at(i, band(F.col("bits"), i)) for i in range(bands)])
+    a = classes.select(F.inline(probes), F.col("id").alias("left_id"), F.col("bits").alias("lb"))
+    b = classes.select(F.inline(holders), F.col("id").alias("right_id"), F.col("bits").alias("rb"))
+    apart = F.col("lb").bitwiseXOR(F.col("rb"))
+    first = F.coalesce(*[F.when(F.bit_count(band(apart, i)) <= near, F.lit(i)) for i in range(bands)])
+    met = a.join(b, ["band", "value"]).where((F.col("left_id") < F.col("right_id")) & (F.bit_count(apart) <= most) & (F.col("band") == first))
+    copies = class_pairs(df, bits, identity).select("left_id", "right_id", F.lit(0).alias("hamming"))
+    return met.select("left_id", "right_id", F.bit_count(apart).alias("hamming")).unionByName(copies)
 
 
 def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks: int | None = None, best: int | None = None) -> DataFrame:
@@ -79,12 +107,13 @@ def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks
     Vectors are dealt to blocks by hash and each two blocks meet in one task, a
     matrix product at a time; rows travel once for each block, and no task holds
     more than two. Exact for any data, so its work grows with the square of the rows.
+    Vectors of different lengths don't pair; null ones, and those with null components, pair with none.
     With ``best``, each task returns that many pairs at most, the most similar, ties
     to the smaller identities: the table's first ``best`` pairs are among them.
     """
     n = df.count()
     k = blocks or max(1, -(-n // 4096))
-    rows = df.where(F.col(vector).isNotNull()).select(F.col(identity).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).withColumn("own", F.pmod(F.xxhash64("id"), F.lit(k)).cast("int"))
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(identity).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.size(vector).alias("dims")).withColumn("own", F.pmod(F.xxhash64("id"), F.lit(k)).cast("int"))
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")}).drop("other")
 
     def near(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
@@ -114,7 +143,7 @@ def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks
         keep = l != r if a != b else l < r
         return pa.table({"left_id": np.minimum(l, r)[keep], "right_id": np.maximum(l, r)[keep], "cosine": s[keep]})
 
-    return dealt.groupBy("a", "b").applyInArrow(near, "left_id long, right_id long, cosine double")
+    return dealt.groupBy("a", "b", "dims").applyInArrow(near, "left_id long, right_id long, cosine double")
 
 
 def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, identity: str, block: int = 4096) -> DataFrame:
@@ -122,11 +151,12 @@ def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, id
 
     Both sides are dealt to blocks by hash; each two blocks meet in one task, as a
     matrix product that returns one number per candidate. No pair is a row. Null
-    without an existing vector.
+    without a vector, or without an existing one of its length.
     """
     ids = {name: max(1, -(-df.count() // block)) for name, df in (("c", candidates), ("e", existing))}
     kind = dict(candidates.dtypes)[identity]
     spread = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    meet = ["_c", "_e", F.size("_v")]
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     held = candidates.select(F.col(identity).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
     left = held.where("_v IS NOT NULL").withColumn("_c", spread("_id", ids["c"])).withColumn("_e", every(ids["e"]))
@@ -138,7 +168,7 @@ def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, id
             return pa.table({"_id": asks.column("_id").slice(0, 0), "_s": pa.array([], pa.float64())})
         return pa.table({"_id": asks.column("_id"), "_s": (x @ y.T).max(axis=1)})
 
-    found = left.groupBy("_c", "_e").cogroup(right.groupBy("_c", "_e")).applyInArrow(best, f"_id {kind}, _s double")
+    found = left.groupBy(*meet).cogroup(right.groupBy(*meet)).applyInArrow(best, f"_id {kind}, _s double")
     most = found.groupBy("_id").agg(F.max("_s").alias("similarity"))
     return held.select("_id").distinct().join(most, "_id", "left").select(F.col("_id").alias(identity), "similarity")
 

@@ -22,26 +22,44 @@ from sieveline.functions.scalars import stable_rank
 POOL_ROWS = 200_000
 
 
-def farthest_first(vectors: np.ndarray, ranks: list[str], count: int, *, groups: list[str] | None = None, cap: int | None = None, seeds: np.ndarray | None = None, used: Counter | None = None, eligible: Callable[[int], bool] | None = None) -> list[int]:
+def _places(ranks: list[str]) -> np.ndarray:
+    """Each row's place in the order of ranks, ties by position."""
+    place = np.empty(len(ranks), np.int64)
+    place[np.argsort(np.array(ranks), kind="stable")] = np.arange(len(ranks))
+    return place
+
+
+def _coded(values: list) -> tuple[list, np.ndarray]:
+    """The distinct values, and each row's number among them."""
+    names: dict = {}
+    code = np.fromiter((names.setdefault(v, len(names)) for v in values), np.int64, len(values))
+    return list(names), code
+
+
+def _farthest(free: np.ndarray, closest: np.ndarray, place: np.ndarray) -> int | None:
+    """Of the rows where ``free``: the least similar to all chosen, ties by place."""
+    at = np.flatnonzero(free)
+    if not len(at):
+        return None
+    least = at[closest[at] == closest[at].min()]
+    return int(least[np.argmin(place[least])])
+
+
+def farthest_first(vectors: np.ndarray, ranks: list[str], count: int, *, groups: list[str] | None = None, cap: int | None = None, seeds: np.ndarray | None = None) -> list[int]:
     """Positions chosen one after another: the row whose largest similarity to all chosen
     (and to ``seeds``) is least, ties by rank; the first by rank alone. A group gives
-    ``cap`` rows at most, counting ``used``. Stops early when nothing is eligible."""
-    n = len(ranks)
-    order = np.argsort(np.array(ranks), kind="stable")
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    closest = (vectors @ seeds.T).max(axis=1) if seeds is not None and len(seeds) else np.full(n, -np.inf)
-    taken, counts, chosen = np.zeros(n, bool), Counter(used or ()), []
-    while len(chosen) < count:
-        free = np.flatnonzero(~taken)
-        free = np.array([i for i in free if (cap is None or counts[groups[i]] < cap) and (eligible is None or eligible(i))], np.int64)
-        if not len(free):
-            break
-        best = free[np.lexsort((place[free], closest[free]))[0]]
-        taken[best] = True
-        chosen.append(int(best))
-        if groups is not None:
-            counts[groups[best]] += 1
+    ``cap`` rows at most. Stops early when nothing is eligible."""
+    place = _places(ranks)
+    closest = (vectors @ seeds.T).max(axis=1) if seeds is not None and len(seeds) else np.full(len(ranks), -np.inf)
+    names, group = _coded(groups if cap is not None else [None] * len(ranks))
+    used, free = np.zeros(len(names), np.int64), np.ones(len(ranks), bool)
+    chosen: list[int] = []
+    while len(chosen) < count and (best := _farthest(free, closest, place)) is not None:
+        chosen.append(best)
+        free[best] = False
+        used[group[best]] += 1
+        if cap is not None and used[group[best]] >= cap:
+            free &= group != group[best]
         closest = np.maximum(closest, vectors @ vectors[best])
     return chosen
 
@@ -49,26 +67,36 @@ def farthest_first(vectors: np.ndarray, ranks: list[str], count: int, *, groups:
 def quota_selection(rows: list[dict], vectors: np.ndarray, ranks: list[str], features: list[tuple[str, int]], strata: dict[str, int], cap: int) -> list[int]:
     """Diverse rows that meet feature minimums in order, then fill strata. A row counts for
     each of its features; a stratum takes its number and no more; groups are capped."""
+    place, closest = _places(ranks), np.full(len(rows), -np.inf)
+    names, group = _coded([r["group"] for r in rows])
+    kinds, stratum = _coded([r["stratum"] for r in rows])
+    room = np.array([strata.get(k, 0) for k in kinds], np.int64)
+    left = np.full(len(names), cap, np.int64)
+    free, have = np.ones(len(rows), bool), Counter()
     chosen: list[int] = []
-    filled, have, used = Counter(), Counter(), Counter()
-
-    def add(want: Callable[[int], bool]) -> bool:
-        ok = lambda i: i not in taken and want(i) and filled[rows[i]["stratum"]] < strata.get(rows[i]["stratum"], 0)
-        taken = set(chosen)
-        found = farthest_first(vectors, ranks, 1, groups=[r["group"] for r in rows], cap=cap, seeds=vectors[chosen] if chosen else None, used=used, eligible=ok)
-        for i in found:
-            chosen.append(i)
-            filled[rows[i]["stratum"]] += 1
-            used[rows[i]["group"]] += 1
-            have.update(rows[i]["features"])
-        return bool(found)
+
+    def add(want: np.ndarray) -> bool:
+        nonlocal closest
+        best = _farthest(free & want & (left[group] > 0) & (room[stratum] > 0), closest, place)
+        if best is None:
+            return False
+        chosen.append(best)
+        free[best] = False
+        room[stratum[best]] -= 1
+        left[group[best]] -= 1
+        have.update(rows[best]["features"])
+        closest = np.maximum(closest, vectors @ vectors[best])
+        return True
 
     for feature, least in features:
-        while have[feature] < least and add(lambda i, f=feature: f in rows[i]["features"]):
-            pass
-    for stratum, number in strata.items():
-        while filled[stratum] < number and add(lambda i, s=stratum: rows[i]["stratum"] == s):
+        holds = np.fromiter((feature in r["features"] for r in rows), bool, len(rows))
+        while have[feature] < least and add(holds):
             pass
+    for name, number in strata.items():
+        of = np.fromiter((r["stratum"] == name for r in rows), bool, len(rows))
+        filled = sum(rows[i]["stratum"] == name for i in chosen)
+        while filled < number and add(of):
+            filled += 1
     return chosen
 
 

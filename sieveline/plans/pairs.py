@@ -17,9 +17,10 @@ from sieveline.plans.catalog import register, table
 _DOT = "list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"
 
 
-@register("duplicate_pairs_equal", "SELECT a.doc_id AS left_id, b.doc_id AS right_id FROM documents a JOIN documents b ON a.text = b.text AND a.doc_id < b.doc_id")
+@register("duplicate_pairs_equal", "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS class_id, count(*) OVER (PARTITION BY text) - 1 AS links FROM documents WHERE text IS NOT NULL QUALIFY count(*) OVER (PARTITION BY text) > 1")
 def duplicate_pairs_equal(spark: SparkSession, d: str) -> DataFrame:
-    return J.equal_pairs(table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("k")), "k", "doc_id")
+    """Each copy's class and the number of its pairs: the pairs themselves grow with the square."""
+    return J.class_links(table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("k")), "k", "doc_id")
 
 
 @register("duplicate_class_pairs", "SELECT min(doc_id) OVER (PARTITION BY text) AS left_id, doc_id AS right_id FROM documents QUALIFY doc_id > min(doc_id) OVER (PARTITION BY text)")
@@ -29,9 +30,14 @@ def duplicate_class_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "hamming_pairs",
-    "WITH h AS (SELECT doc_id, ('0x' || substr(sha256(text), 1, 15))::BIGINT AS b FROM documents) SELECT x.doc_id AS left_id, y.doc_id AS right_id, bit_count(xor(x.b, y.b)) AS hamming FROM h x JOIN h y ON x.doc_id < y.doc_id WHERE bit_count(xor(x.b, y.b)) <= 12",
+    """
+    WITH h AS (SELECT doc_id, ('0x' || substr(sha256(text), 1, 15))::BIGINT AS b FROM documents WHERE text IS NOT NULL), k AS (SELECT b, min(doc_id) AS id FROM h GROUP BY b)
+    SELECT x.id AS left_id, y.id AS right_id, bit_count(xor(x.b, y.b)) AS hamming FROM k x JOIN k y ON x.id < y.id WHERE bit_count(xor(x.b, y.b)) <= 12
+    UNION ALL SELECT k.id, h.doc_id, 0 FROM h JOIN k USING (b) WHERE h.doc_id > k.id
+    """,
 )
 def hamming_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of classes of equal bits, and each copy with its class."""
     bits = table(spark, d, "documents").select("doc_id", F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("bigint").alias("b"))
     return J.hamming_pairs(bits, "b", "doc_id", 12, 60)
 
@@ -78,7 +84,11 @@ def nearest_existing(spark: SparkSession, d: str) -> DataFrame:
     """,
 )
 def connected_components(spark: SparkSession, d: str) -> DataFrame:
-    pairs = J.cosine_pairs(table(spark, d, "embeddings"), "embedding", "vec_id", 0.4)
+    """Equal vectors are linked to their first, which alone is compared with others."""
+    vectors = table(spark, d, "embeddings").where("embedding IS NOT NULL").select("vec_id", "embedding")
+    copies = J.class_pairs(vectors.where(S.dot("embedding", "embedding") >= 0.4), "embedding", "vec_id")
+    first = vectors.groupBy("embedding").agg(F.min("vec_id").alias("vec_id"))
+    pairs = J.cosine_pairs(first, "embedding", "vec_id", 0.4).select("left_id", "right_id").unionByName(copies)
     return components(pairs.select(F.col("left_id").alias("a"), F.col("right_id").alias("b")))
 
 
@@ -96,11 +106,16 @@ def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "signalled_pairs",
-    "WITH p AS (SELECT a.doc_id AS l, b.doc_id AS r, a.text = b.text AS same, a.source = b.source AND a.n_chars = b.n_chars AS alike FROM documents a JOIN documents b ON a.doc_id < b.doc_id AND (a.text = b.text OR (a.source = b.source AND a.n_chars = b.n_chars))) SELECT l AS left_id, r AS right_id, concat_ws(';', CASE WHEN alike THEN 'phash' END, CASE WHEN same THEN 'source_sha256' END) AS signals FROM p",
+    """
+    WITH p AS (SELECT min(doc_id) OVER (PARTITION BY text) AS l, doc_id AS r, 'source_sha256' AS s FROM documents WHERE text IS NOT NULL
+    UNION ALL SELECT min(doc_id) OVER (PARTITION BY source, n_chars), doc_id, 'phash' FROM documents WHERE source IS NOT NULL AND n_chars IS NOT NULL)
+    SELECT l AS left_id, r AS right_id, string_agg(s, ';' ORDER BY s) AS signals FROM p WHERE l < r GROUP BY l, r
+    """,
 )
 def signalled_pairs(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("k"), F.concat_ws(":", "source", "n_chars").alias("h"))
-    return D.signalled({"source_sha256": J.equal_pairs(docs, "k", "doc_id"), "phash": J.equal_pairs(docs, "h", "doc_id")})
+    """Each signal links a row to its class's first, not all rows of a class to each other."""
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("k"), F.concat("source", F.lit(":"), F.col("n_chars").cast("string")).alias("h"))
+    return D.signalled({"source_sha256": J.class_pairs(docs, "k", "doc_id"), "phash": J.class_pairs(docs, "h", "doc_id")})
 
 
 @register("calibration_sample")

@@ -100,6 +100,31 @@ def test_hamming_pairs_equal_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [0, 2, 12])
+def test_hamming_pairs_link_copies_to_their_class(spark, most):
+    rng = np.random.default_rng(most)
+    base = [int(x) for x in rng.integers(0, 2**60, 30)]
+    values = [*base, *base[:9], *base[:9], *(b ^ sum(1 << int(k) for k in rng.choice(60, n, replace=False)) for b in base for n in (1, 2, 6, 12)), None, None]
+    got = [(r["left_id"], r["right_id"], r["hamming"]) for r in joins.hamming_pairs(spark.createDataFrame(list(enumerate(values)), "id long, b long"), "b", "id", most, 60).collect()]
+    first = {v: i for i, v in reversed(list(enumerate(values))) if v is not None}
+    want = {(i, j, n) for a, i in first.items() for b, j in first.items() if i < j and (n := (a ^ b).bit_count()) <= most}
+    want |= {(first[v], i, 0) for i, v in enumerate(values) if v is not None and i != first[v]}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_class_links_count_what_pairs_would(spark):
+    df = spark.createDataFrame([(5, "a"), (3, "a"), (9, "a"), (1, "b"), (2, None), (4, None)], "id int, k string")
+    assert sorted(map(tuple, joins.class_links(df, "k", "id").collect())) == [(3, 3, 2), (5, 3, 2), (9, 3, 2)]
+    assert not joins.class_links(df.limit(0), "k", "id").collect()
+
+
+def test_vectors_of_other_lengths_do_not_pair(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [1.0, 0.1]), (4, None), (5, [None, 1.0]), (6, [1.0, 0.0, 0.2])], "id long, v array<double>")
+    assert sorted((r["left_id"], r["right_id"]) for r in joins.cosine_pairs(df, "v", "id", 0.5, 2).collect()) == [(1, 3), (2, 6)]
+    near = {r["id"]: r["similarity"] for r in joins.nearest_existing(df.where("id IN (1, 2, 4)"), df.where("id = 3"), "v", "id").collect()}
+    assert near == {1: 1.0, 2: None, 4: None}
+
+
 @pytest.mark.parametrize("blocks", [1, 3])
 def test_most_similar_pairs_have_no_floor(spark, tmp_path, blocks):
     from sieveline.plans.pairs import topk_pairs
