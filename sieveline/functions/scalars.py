@@ -66,6 +66,12 @@ def iso_stamp(year: Column, month: Column, day: Column, clock: Column) -> Column
     return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit("T"), F.substring(clock, 1, 2), F.lit(":"), F.substring(clock, 3, 2), F.lit(":"), F.substring(clock, 5, 2))
 
 
+def utc_stamp(at: Column | None = None) -> Column:
+    """An instant as yyyy-mm-ddThh:mm:ssZ in UTC, whatever the session's zone; of the query's
+    start if none is given. Pass an instant where a result must repeat."""
+    return F.date_format(F.convert_timezone(None, F.lit("UTC"), (F.now() if at is None else at).cast("timestamp").cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def seconds_apart(a: Column, b: Column) -> Column:
     return F.abs(F.unix_seconds(a.cast("timestamp")) - F.unix_seconds(b.cast("timestamp")))
 

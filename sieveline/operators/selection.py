@@ -300,19 +300,27 @@ def floors_with_swaps(rows: list[dict], count: int, floors: dict[str, int], grou
     return chosen, {c: max(0, f - have[c]) for c, f in floors.items()}
 
 
-def one_swap(frames: list[dict], incoming: list[dict], floors: dict[str, int], group_cap: int) -> tuple[int, int] | None:
+def one_swap(frames: list[dict], incoming: list[dict], floors: dict[str, int], group_cap: int, *, have: dict[str, int] | None = None, groups: dict[str, int] | None = None) -> tuple[int, int] | None:
     """The swap (out, in) that meets all floors and the cap with the fewest boxes changed,
-    then by rank; locked frames stay. None if no swap does."""
-    have = Counter(c for f in frames for c in f["classes"])
-    groups = Counter(f["group"] for f in frames)
-    options = []
+    then by rank; locked frames stay. None if no swap does. ``have`` and ``groups`` count
+    boxes and frames where ``frames`` are only some of them."""
+    have = Counter(c for f in frames for c in f["classes"]) if have is None else have
+    groups = Counter(f["group"] for f in frames) if groups is None else groups
+    names = list(floors)
+    boxes = lambda rows: np.array([[r["classes"].count(c) for c in names] for r in rows], np.int64).reshape(len(rows), len(names))
+    order = np.array(sorted(range(len(incoming)), key=lambda i: (len(incoming[i]["classes"]), incoming[i]["rank"])), np.int64)
+    more, size = boxes(incoming)[order], np.array([len(incoming[i]["classes"]) for i in order], np.int64)
+    _, code = _coded([incoming[i]["group"] for i in order] + [f["group"] for f in frames])
+    full = np.array([groups.get(incoming[i]["group"], 0) for i in order], np.int64)
+    spare = np.array([have.get(c, 0) - floors[c] for c in names], np.int64)
+    less, options = boxes(frames), []
     for o, out in enumerate(frames):
         if out["locked"]:
             continue
-        for i, into in enumerate(incoming):
-            after = have - Counter(out["classes"]) + Counter(into["classes"])
-            if all(after[c] >= f for c, f in floors.items()) and groups[into["group"]] - (into["group"] == out["group"]) < group_cap:
-                options.append((len(out["classes"]) + len(into["classes"]), out["rank"], into["rank"], o, i))
+        fits = (spare - less[o] + more >= 0).all(axis=1) & (full - (code[: len(order)] == code[len(order) + o]) < group_cap)
+        if fits.any():
+            i = int(np.argmax(fits))
+            options.append((len(out["classes"]) + int(size[i]), out["rank"], incoming[order[i]]["rank"], o, int(order[i])))
     return min(options)[3:] if options else None
 
 
@@ -478,3 +486,26 @@ def select_frames(frames: DataFrame, identity: str, *, targets: dict[tuple[str,
         return pd.DataFrame({identity: [r["who"] for r in chosen], "position": np.arange(1, len(chosen) + 1), "phase": ["dealt"] * len(dealt) + ["fill"] * len(filled)})
 
     return over_pool(each.drop("_i", "_j"), kernel, f"{identity} {kind}, position long, phase string", pool_rows=pool_rows)
+
+
+def swap_repair(frames: DataFrame, incoming: DataFrame, identity: str, classes: str, group: str, *, floors: dict[str, int], group_cap: int, locked: str | None = None, pool_rows: int = POOL_ROWS) -> DataFrame:
+    """out_id and in_id of the swap that ``one_swap`` finds; no row if no swap does.
+
+    Only the first of the rows with the same classes and group can be part of the best
+    swap, so each side is cut to these before the kernel takes them. Null classes are none;
+    a null group is a group.
+    """
+    kind = dict(frames.dtypes)[identity]
+    held = [df.select(F.col(identity).alias("_id"), F.array_sort(F.coalesce(F.col(classes), F.array())).cast("array<string>").alias("_c"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("_g"), (F.col(locked) if locked and locked in df.columns else F.lit(False)).alias("_l")) for df in (frames, incoming)]
+    have = {r["c"]: r["count"] for r in held[0].select(F.explode("_c").alias("c")).where(F.col("c").isin(*floors)).groupBy("c").count().collect()}
+    counts = held[0].groupBy("_g").agg(F.count("*").alias("_n"))
+    first = F.min(F.struct(stable_rank("_id").alias("r"), F.col("_id").alias("id"))).alias("_f")
+    sides = [df.where("NOT _l").groupBy("_c", "_g").agg(first).select(F.lit(side).alias("_s"), "_c", "_g", "_f.*") for side, df in zip(("out", "in"), held, strict=True)]
+    pool = sides[0].unionByName(sides[1]).join(counts, "_g", "left").na.fill(0, ["_n"])
+
+    def kernel(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [[{"id": i, "classes": list(c), "group": g, "rank": r, "locked": False} for i, c, g, r in zip(some["id"], some["_c"], some["_g"], some["r"], strict=True)] for some in (rows[rows["_s"] == "out"], rows[rows["_s"] == "in"])]
+        found = one_swap(*parts, floors, group_cap, have=have, groups=dict(zip(rows["_g"], rows["_n"], strict=True)))
+        return pd.DataFrame([(parts[0][found[0]]["id"], parts[1][found[1]]["id"])] if found else [], columns=["out_id", "in_id"])
+
+    return over_pool(pool, kernel, f"out_id {kind}, in_id {kind}", pool_rows=pool_rows)

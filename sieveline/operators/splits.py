@@ -30,16 +30,40 @@ def leakage(rows: DataFrame, split: str, keys: dict[str, list[str]]) -> DataFram
     return each.groupBy("domain", "value").agg(F.count_distinct(split).alias("splits")).where("splits > 1")
 
 
-def bootstrap(rows: DataFrame, group: str, value: Column, resamples: int, seed: str = "20260915") -> DataFrame:
-    """The mean of ``value`` in each resample of groups. A group's weight in a resample
-    is a Poisson draw from the hash of both, so no resample is drawn from a list."""
-    sums = rows.groupBy(group).agg(F.sum(value).alias("_s"), F.count("*").alias("_c"))
-    draws = sums.withColumn("resample", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))))
-    u = F.conv(F.substring(stable_rank(group, "resample", seed=seed), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+def poisson_steps() -> list[float]:
+    """Where a uniform number becomes one more draw of a Poisson variable of mean 1."""
     steps, total, p = [], 0.0, 2.718281828459045**-1
     for k in range(12):
         total += p
         steps.append(total)
         p /= k + 1
-    weight = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= u))
-    return draws.withColumn("_w", weight).groupBy("resample").agg((F.sum(F.col("_w") * F.col("_s")) / F.nullif(F.sum(F.col("_w") * F.col("_c")), F.lit(0))).alias("mean"))
+    return steps
+
+
+def _resampled(sums: DataFrame, group: str, resamples: int, seed: str) -> DataFrame:
+    """The mean _m of each resample; sums: group, _s and _c. A group's weight is a Poisson draw
+    from the hash of it and the resample, 1 in resample -1, which is the rows as they are."""
+    draws = sums.withColumn("resample", F.explode(F.sequence(F.lit(-1), F.lit(resamples - 1))))
+    u = F.conv(F.substring(stable_rank(group, "resample", seed=seed), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+    drawn = F.size(F.filter(F.array(*[F.lit(s) for s in poisson_steps()]), lambda s: s <= u))
+    weighed = draws.withColumn("_w", F.when(F.col("resample") < 0, 1).otherwise(drawn))
+    return weighed.groupBy("resample").agg((F.sum(F.col("_w") * F.col("_s")) / F.nullif(F.sum(F.col("_w") * F.col("_c")), F.lit(0))).alias("_m"))
+
+
+def bootstrap(rows: DataFrame, group: str, value: Column, resamples: int, seed: str = "20260915") -> DataFrame:
+    """The mean of ``value`` in each resample of groups. A group's weight in a resample
+    is a Poisson draw from the hash of both, so no resample is drawn from a list."""
+    sums = rows.groupBy(group).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
+    return _resampled(sums, group, resamples, seed).where("resample >= 0").select("resample", F.col("_m").alias("mean"))
+
+
+def paired_bootstrap(rows: DataFrame, group: str, left: Column, right: Column, resamples: int = 10_000, seed: str = "20260915", share: float = 0.95) -> DataFrame:
+    """One row: the mean of left less right, and the bounds between which the middle ``share``
+    of the resamples' means lie. Both values of a row are drawn together, by group; rows that
+    lack either take no part. No rows give nulls."""
+    both = rows.select(F.col(group).alias("_g"), (left - right).cast("double").alias("_d")).where("_d IS NOT NULL")
+    sums = both.groupBy("_g").agg(F.sum("_d").alias("_s"), F.count("*").alias("_c"))
+    means = _resampled(sums, "_g", resamples, seed)
+    tail, drawn = (1 - share) / 2, F.when(F.col("resample") >= 0, F.col("_m"))
+    found = means.agg(F.max(F.when(F.col("resample") < 0, F.col("_m"))).alias("difference"), F.percentile(drawn, F.array(F.lit(tail), F.lit(1 - tail))).alias("_p"), F.count(drawn).alias("resamples"))
+    return found.select("difference", F.get("_p", F.lit(0)).alias("low"), F.get("_p", F.lit(1)).alias("high"), "resamples")

@@ -125,3 +125,86 @@ def feature_sites(spark: SparkSession, d: str) -> DataFrame:
 def artifact_names(spark: SparkSession, d: str) -> DataFrame:
     name = S.slug(F.concat(F.col("source"), F.lit("  "), F.col("doc_id").cast("string")))
     return table(spark, d, "documents").select("doc_id", S.identity3(F.col("doc_id"), F.col("source"), F.col("lang")).alias("identity"), name.alias("name"))
+
+
+@register("settings_round_trip", "SELECT count(*) AS documents, sum(n_chars)::BIGINT AS chars FROM documents")
+def settings_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """One row of statistics as sorted JSON, read back as an object."""
+    found = table(spark, d, "documents").agg(F.count("*").alias("documents"), F.sum("n_chars").cast("long").alias("chars"))
+    path = _path(spark, "statistics")
+    spark.createDataFrame([(writers.statistics_json(found),)], "value string").coalesce(1).write.text(path)
+    read = readers.json_object(spark, path)
+    return spark.createDataFrame([(read["documents"], read["chars"])], "documents long, chars long")
+
+
+@register("zip_members", "SELECT doc_id, member, CASE member WHEN 'a/lang.txt' THEN sha256(coalesce(lang, '')) ELSE sha256(coalesce(text, '')) END AS sha256, true AS repeats FROM documents, (VALUES ('a/lang.txt'), ('b/text.txt')) m(member)")
+def zip_members(spark: SparkSession, d: str) -> DataFrame:
+    """An archive for each document: the members' order in memory doesn't show in the bytes."""
+
+    def run(batches):
+        import hashlib
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for held in batches:
+            rows = []
+            for doc, lang, text in zip(held["doc_id"], held["lang"], held["text"], strict=True):
+                members = {"b/text.txt": (text or "").encode(), "a/lang.txt": (lang or "").encode()}
+                made = writers.reproducible_zip(members)
+                same = made == writers.reproducible_zip(dict(reversed(members.items())))
+                with zipfile.ZipFile(io.BytesIO(made)) as z:
+                    rows += [(doc, i.filename, hashlib.sha256(z.read(i)).hexdigest(), same and i.date_time == (1980, 1, 1, 0, 0, 0)) for i in z.infolist()]
+            yield pd.DataFrame(rows, columns=["doc_id", "member", "sha256", "repeats"])
+
+    return table(spark, d, "documents").select("doc_id", "lang", "text").mapInPandas(run, "doc_id long, member string, sha256 string, repeats boolean")
+
+
+@register(
+    "tar_members",
+    """
+    SELECT doc_id, 'text.txt' AS member, strlen(coalesce(text, '')) AS bytes, sha256(coalesce(text, '')) AS sha256, NULL AS reason_code FROM documents WHERE doc_id % 11 <> 0
+    UNION ALL SELECT doc_id, '../lang.txt', strlen(coalesce(lang, '')), NULL, 'traversal' FROM documents WHERE doc_id % 11 <> 0
+    UNION ALL SELECT doc_id, 'link.jpg', 0, NULL, 'link' FROM documents WHERE doc_id % 11 <> 0
+    UNION ALL SELECT doc_id, NULL, NULL, NULL, 'archive_read_failed' FROM documents WHERE doc_id % 11 = 0
+    """,
+)
+def tar_members(spark: SparkSession, d: str) -> DataFrame:
+    """An archive for each document, with members that aren't safe; every eleventh isn't an archive."""
+
+    def run(batches):
+        import io
+        import tarfile
+
+        import pandas as pd
+
+        for held in batches:
+            rows = []
+            for doc, lang, text in zip(held["doc_id"], held["lang"], held["text"], strict=True):
+                out = io.BytesIO()
+                with tarfile.open(fileobj=out, mode="w:gz", compresslevel=1) as archive:
+                    for name, content in (("text.txt", text), ("x_IR_y.jpg", text), ("../lang.txt", lang)):
+                        info = tarfile.TarInfo(name)
+                        info.size = len((content or "").encode())
+                        archive.addfile(info, io.BytesIO((content or "").encode()))
+                    info = tarfile.TarInfo("link.jpg")
+                    info.type, info.linkname = tarfile.SYMTYPE, "text.txt"
+                    archive.addfile(info)
+                rows.append((str(doc), b"no archive" if doc % 11 == 0 else out.getvalue()))
+            yield pd.DataFrame(rows, columns=["path", "content"])
+
+    files = table(spark, d, "documents").select("doc_id", "lang", "text").mapInPandas(run, "path string, content binary")
+    return readers.tar_members(files).select(F.col("path").cast("long").alias("doc_id"), "member", "bytes", F.sha2("content", 256).alias("sha256"), "reason_code")
+
+
+@register("file_inventory", "SELECT c_nationkey AS nation, suffix, sum(strlen(c_name) + CASE WHEN suffix = 'txt' THEN 1 ELSE 13 END)::BIGINT AS bytes, CASE WHEN suffix = 'txt' THEN 'suffix' END AS reason_code FROM customer, (VALUES ('txt'), ('json')) s(suffix) GROUP BY ALL")
+def file_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """Files below a folder, those of another suffix told apart."""
+    path = _path(spark, "inventory")
+    rows = table(spark, d, "customer").select(F.col("c_name").alias("value"), F.col("c_nationkey").alias("nation"))
+    rows.write.partitionBy("nation").text(f"{path}/texts")
+    rows.write.partitionBy("nation").json(f"{path}/objects")
+    found = readers.inventory(spark, path, suffixes=("json",)).where("name <> '_SUCCESS'")
+    nation, suffix = F.regexp_extract("path", r"/nation=(\d+)/", 1).cast("int"), F.element_at(F.split("name", r"\."), -1)
+    return found.groupBy(nation.alias("nation"), suffix.alias("suffix"), "reason_code").agg(F.sum("bytes").alias("bytes"))

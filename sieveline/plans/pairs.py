@@ -11,7 +11,7 @@ from sieveline.operators import joins as J
 from sieveline.operators.graph import components
 from sieveline.operators.ranking import banded
 from sieveline.operators.selection import select_diverse
-from sieveline.operators.splits import bootstrap
+from sieveline.operators.splits import bootstrap, paired_bootstrap, poisson_steps
 from sieveline.plans.catalog import register, table
 
 _DOT = "list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"
@@ -129,6 +129,25 @@ def kcenter_select(spark: SparkSession, d: str) -> DataFrame:
     return select_diverse(table(spark, d, "embeddings"), "embedding", "vec_id", 8, by=["label"])
 
 
-@register("group_bootstrap")
+def _resamples(value: str, number: int) -> str:
+    """SQL: m(resample, mean), the mean of a value of labels in resamples of documents' sources."""
+    drawn = " + ".join(f"(u >= {step!r}::DOUBLE)::INT" for step in poisson_steps())
+    return f"""
+    g AS (SELECT source, sum({value}) AS s, count(*) AS c FROM labels JOIN documents USING (doc_id) WHERE ({value}) IS NOT NULL GROUP BY source),
+    u AS (SELECT resample, s, c, ('0x' || substr(sha256('20260915' || chr(31) || coalesce(source, '') || chr(31) || resample), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM g, range({number}) r(resample)),
+    w AS (SELECT resample, s, c, {drawn} AS n FROM u),
+    m AS (SELECT resample::INT AS resample, (sum(n * s) / nullif(sum(n * c), 0))::DOUBLE AS mean FROM w GROUP BY resample)"""
+
+
+@register("group_bootstrap", f"WITH {_resamples('quality', 50)} SELECT resample, round(mean, 9) AS mean FROM m")
 def group_bootstrap(spark: SparkSession, d: str) -> DataFrame:
-    return bootstrap(table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id"), "source", F.col("quality").cast("double"), 50)
+    means = bootstrap(table(spark, d, "labels").join(table(spark, d, "documents"), "doc_id"), "source", F.col("quality").cast("double"), 50)
+    return means.select("resample", F.round("mean", 9).alias("mean"))
+
+
+@register("paired_bootstrap", f"WITH {_resamples('quality - toxic', 10_000)} SELECT round((SELECT sum(s) / sum(c) FROM g), 9) AS difference, round(quantile_cont(mean, 0.025), 9) AS low, round(quantile_cont(mean, 0.975), 9) AS high, count(mean) AS resamples FROM m")
+def paired_differences(spark: SparkSession, d: str) -> DataFrame:
+    """How much likelier a good label is than a toxic one, with bounds over resampled sources."""
+    rows = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    found = paired_bootstrap(rows, "source", F.col("quality"), F.col("toxic"))
+    return found.select(*[F.round(c, 9).alias(c) for c in ("difference", "low", "high")], "resamples")

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from sieveline.functions import pixels
 from sieveline.functions import scalars as S
 from sieveline.operators import aggregates as A
+from sieveline.operators import ledger as L
 from sieveline.operators import projections as P
 from sieveline.operators import selection as X
 from sieveline.plans.boxes import BOXES, boxes
 from sieveline.plans.catalog import register, table
 from sieveline.session import shared_dir
+from sieveline.sources import readers
 from sieveline.streaming import incremental as I
 
 
@@ -161,6 +163,75 @@ def floor_supplement(spark: SparkSession, d: str) -> DataFrame:
     return X.supplement(pool, "p_partkey", "classes", "p_brand", count=20, floors={"PROMO": 4, "STANDARD": 4}, cap=3)
 
 
+@register(
+    "swap_repair",
+    """
+    WITH p AS (SELECT p_partkey AS id, string_split(p_type, ' ') AS classes, p_brand AS g, p_size <= 25 AS inside, p_partkey % 9 = 0 AS locked, sha256('20260826' || chr(31) || p_partkey) AS r FROM part),
+    n AS (SELECT g, count(*) AS n FROM p WHERE inside GROUP BY g), t AS (SELECT (SELECT max(n) FROM n) AS cap, (SELECT count(*) FROM p WHERE inside AND list_contains(classes, 'PROMO')) AS have)
+    SELECT o.id AS out_id, i.id AS in_id FROM t, p o, p i LEFT JOIN n ON n.g = i.g
+    WHERE o.inside AND NOT o.locked AND NOT i.inside AND have - list_contains(o.classes, 'PROMO')::INT + list_contains(i.classes, 'PROMO')::INT >= have + 1 AND coalesce(n.n, 0) - (o.g = i.g)::INT < cap
+    ORDER BY len(o.classes) + len(i.classes), o.r, i.r LIMIT 1
+    """,
+)
+def swap_repair(spark: SparkSession, d: str) -> DataFrame:
+    """One box of a class is missing in the parts of small size; no brand may grow beyond the largest."""
+    parts = table(spark, d, "part").select("p_partkey", F.split("p_type", " ").alias("classes"), "p_brand", "p_size", (F.col("p_partkey") % 9 == 0).alias("locked"))
+    inside, outside = parts.where("p_size <= 25"), parts.where("p_size > 25")
+    have = inside.where(F.array_contains("classes", "PROMO")).count()
+    cap = inside.groupBy("p_brand").count().agg(F.max("count")).first()[0] or 0
+    return X.swap_repair(inside, outside.drop("locked"), "p_partkey", "classes", "p_brand", floors={"PROMO": have + 1}, group_cap=cap, locked="locked")
+
+
+@register("frame_rows", "SELECT p_partkey, 'cam' || p_size AS site_id, '2020-' || lpad((1 + p_size % 12)::VARCHAR, 2, '0') || '-05T10:20:30' AS timestamp, CASE WHEN p_size % 2 = 0 THEN 'winter' ELSE 'summer' END AS season, 'cam' || p_size || ':2020-' || lpad((1 + p_size % 12)::VARCHAR, 2, '0') || '-05' AS group_id FROM part")
+def frame_rows(spark: SparkSession, d: str) -> DataFrame:
+    members = table(spark, d, "part").select("p_partkey", "p_size", F.format_string("cam%d_2020_%02d_05_102030.jpg", "p_size", 1 + F.col("p_size") % 12).alias("member"))
+    rows = P.frame_rows(members, readers.frame_parts(F.col("member")), S.season(F.when(F.col("p_size") % 2 == 0, 1).otherwise(7)))
+    return rows.select("p_partkey", "site_id", "timestamp", "season", "group_id")
+
+
+@register("review_rows", "SELECT doc_id, CASE WHEN toxic = 1 THEN 'positive' ELSE 'negative' END AS provisional_role, CASE WHEN toxic = 1 THEN 'boxes' ELSE 'absence' END AS review_scope, 'pending' AS review_status, '' AS decision, '' AS reviewer, '' AS reviewed_at, '' AS note FROM labels WHERE toxic IS NOT NULL")
+def review_rows(spark: SparkSession, d: str) -> DataFrame:
+    labels = table(spark, d, "labels").select("doc_id", "toxic")
+    return P.review_rows(labels.where("toxic = 1"), "positive").unionByName(P.review_rows(labels.where("toxic <> 1"), "negative")).drop("toxic")
+
+
+@register("utc_stamps", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS stamp FROM events")
+def utc_stamps(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    return e.select("event_id", S.utc_stamp(F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")).alias("stamp"))
+
+
+@register(
+    "guards",
+    """
+    SELECT 'sealed, closed' AS guard, EXISTS (FROM documents WHERE lang = 'en') AS refused UNION ALL SELECT 'sealed, opened', false
+    UNION ALL SELECT 'human progress', EXISTS (FROM labels WHERE toxic = 1) UNION ALL SELECT 'no progress', false
+    UNION ALL SELECT 'other run', (SELECT count(*) FROM documents) <> (SELECT count(*) FROM labels) UNION ALL SELECT 'same run', false
+    """,
+)
+def guards(spark: SparkSession, d: str) -> DataFrame:
+    """Which of the steps that must not go on are refused."""
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    noted = labels.select("doc_id", F.when(F.col("toxic") == 1, "seen").otherwise(" ").alias("note"), F.lit("").alias("decision"))
+    steps = {
+        "sealed, closed": lambda: L.guard_sealed(docs, "lang", "en", False),
+        "sealed, opened": lambda: L.guard_sealed(docs, "lang", "en", True),
+        "human progress": lambda: I.guard_human_progress(noted, ["decision", "note"]),
+        "no progress": lambda: I.guard_human_progress(noted, ["decision"]),
+        "other run": lambda: I.same_run({"rows": docs.count()}, {"rows": labels.count()}),
+        "same run": lambda: I.same_run({"rows": 1}, {"rows": 1}),
+    }
+
+    def refused(step) -> bool:
+        try:
+            step()
+        except (PermissionError, ValueError):
+            return True
+        return False
+
+    return spark.createDataFrame([(name, refused(step)) for name, step in steps.items()], "guard string, refused boolean")
+
+
 @register("budgeted_plan")
 def budgeted_plan(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select((F.col("o_custkey") % 97).alias("site"), S.season(F.month("o_orderdate")).alias("season"), F.col("o_totalprice").cast("long").alias("bytes"))

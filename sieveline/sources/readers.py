@@ -19,6 +19,8 @@ from sieveline.operators.ledger import require_columns
 ARCHIVE_NAME = r"^([A-Za-z0-9_.-]+?)_(\d{4})_(\d{2})\.tar\.gz$"
 FRAME_NAME = r"(?i)^([a-z0-9._-]+?)_(\d{4})_(\d{2})_(\d{2})_(\d{6})\.jpg$"
 STAMPED_NAME = r"^(.+?)_(\d{4})[-_](\d{2})[-_](\d{2})_(\d{6})$"
+#: Members are handed on when so many bytes of them are held.
+MEMBER_BATCH = 32 << 20
 BOM = "﻿"
 
 
@@ -104,13 +106,14 @@ def inventory(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("jpg"
 def tar_members(files: DataFrame, *, most_members: int = 10_000, most_bytes: int = 2 << 30, skip: str = "_IR_") -> DataFrame:
     """Members of tar.gz files (path, content): member, bytes, content and a reason code for
     those that aren't safe (link, traversal, too_large, too_many); an archive that
-    can't be read gives one row of reason archive_read_failed."""
+    can't be read gives a row of reason archive_read_failed after those read before."""
+    columns = ["path", "member", "bytes", "content", "reason_code"]
 
     def run(batches: Iterator) -> Iterator:
         import pandas as pd
 
         for held in batches:
-            rows = []
+            rows, size = [], 0
             for path, content in zip(held["path"], held["content"], strict=True):
                 try:
                     with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as archive:
@@ -121,9 +124,13 @@ def tar_members(files: DataFrame, *, most_members: int = 10_000, most_bytes: int
                             total += m.size
                             bad = "link" if not m.isfile() else "traversal" if m.name.startswith("/") or ".." in m.name.split("/") else "too_many" if number >= most_members else "too_large" if total > most_bytes else None
                             rows.append((path, m.name, m.size, None if bad else archive.extractfile(m).read(), bad))
+                            size += 0 if bad else m.size
+                            if size >= MEMBER_BATCH:
+                                yield pd.DataFrame(rows, columns=columns)
+                                rows, size = [], 0
                 except (tarfile.TarError, OSError, EOFError):
                     rows.append((path, None, None, None, "archive_read_failed"))
-            yield pd.DataFrame(rows, columns=["path", "member", "bytes", "content", "reason_code"])
+            yield pd.DataFrame(rows, columns=columns)
 
     return files.select("path", "content").mapInPandas(run, "path string, member string, bytes long, content binary, reason_code string")
 

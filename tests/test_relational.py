@@ -1,5 +1,6 @@
 """Relational operators, selections, files and incremental runs."""
 
+import hashlib
 import io
 import json
 import tarfile
@@ -266,6 +267,66 @@ def test_one_swap_keeps_locked_frames():
     assert selection.one_swap(frames, incoming, {"bicycle": 2}, 5) is None
 
 
+def slow_swap(frames, incoming, floors, cap):
+    found = []
+    for o, out in enumerate(frames):
+        for i, into in enumerate(incoming):
+            after = [f for f in frames if f is not out] + [into]
+            boxes, groups = Counter(c for f in after for c in f["classes"]), Counter(f["group"] for f in after)
+            if not out["locked"] and all(boxes[c] >= n for c, n in floors.items()) and groups[into["group"]] <= cap:
+                found.append((len(out["classes"]) + len(into["classes"]), out["rank"], into["rank"], o, i))
+    return min(found)[3:] if found else None
+
+
+def test_one_swap_equals_the_slow_version():
+    rng = np.random.default_rng(4)
+    none = 0
+    for turn in range(40):
+        made = [{"classes": rng.choice(list("abc"), rng.integers(0, 4)).tolist(), "group": str(rng.integers(4)), "rank": f"{k:02}", "locked": bool(rng.random() < 0.3)} for k in rng.permutation(24)]
+        frames, incoming = made[:12], made[12:]
+        floors, cap = {"a": 5 + turn % 4, "b": 4}, 3 + turn % 3
+        want = slow_swap(frames, incoming, floors, cap)
+        none += want is None
+        assert selection.one_swap(frames, incoming, floors, cap) == want
+    assert 0 < none < 40
+
+
+def test_swap_repair_of_tables(spark):
+    rng = np.random.default_rng(8)
+    kind = "id long, classes array<string>, grp string, locked boolean"
+    for turn in range(3):
+        rows = [(k, rng.choice(list("abc"), rng.integers(0, 4)).tolist(), str(rng.integers(4)), bool(rng.random() < 0.3)) for k in range(30)] + [(30, None, None, False), (31, ["a"] * 3, None, False)]
+        order = rng.permutation(len(rows))
+        frames, incoming = [rows[i] for i in order[:16]], [rows[i] for i in order[16:]]
+        ranked = [[{"classes": r[1] or [], "group": r[2], "rank": hashlib.sha256(f"20260826\x1f{r[0]}".encode()).hexdigest(), "locked": r[3], "id": r[0]} for r in some] for some in (frames, incoming)]
+        have = Counter(c for f in ranked[0] for c in f["classes"])
+        want = slow_swap(*[ranked[0], [dict(r, locked=False) for r in ranked[1]]], {"a": have["a"] + 1, "b": have["b"]}, 6)
+        got = selection.swap_repair(spark.createDataFrame(frames, kind), spark.createDataFrame(incoming, kind).drop("locked"), "id", "classes", "grp", floors={"a": have["a"] + 1, "b": have["b"]}, group_cap=6, locked="locked").collect()
+        assert [tuple(r) for r in got] == ([(ranked[0][want[0]]["id"], ranked[1][want[1]]["id"])] if want else [])
+    empty = spark.createDataFrame([], kind)
+    assert not selection.swap_repair(empty, empty, "id", "classes", "grp", floors={"a": 1}, group_cap=1).collect()
+
+
+def test_paired_bootstrap_of_odd_rows(spark):
+    from sieveline.operators.splits import paired_bootstrap
+
+    df = spark.createDataFrame([("a", 1.0, 0.0), ("b", 1.0, 0.0), (None, 1.0, 0.0), ("c", None, 1.0)], "g string, l double, r double")
+    assert tuple(paired_bootstrap(df, "g", F.col("l"), F.col("r"), 200).first()[:3]) == (1.0, 1.0, 1.0)
+    assert tuple(paired_bootstrap(df.limit(0), "g", F.col("l"), F.col("r"), 20).first()) == (None, None, None, 0)
+
+
+def test_utc_stamp_follows_no_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        from sieveline.functions.scalars import utc_stamp
+
+        assert spark.sql("SELECT TIMESTAMP '2026-08-26 03:04:05+02:00' AS t").select(utc_stamp(F.col("t"))).first()[0] == "2026-08-26T01:04:05Z"
+        assert len(spark.range(1).select(utc_stamp()).first()[0]) == 20
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_admission_order_of_reasons():
     x = np.array([[1.0, 0, 0], [0.99, 0.1, 0], [0, 0, 1.0], [0, 0.7, 0.7]])
     limits = {"most": 0.95, "group_cap": 9, "site_cap": 9, "existing": np.array([[0, 1.0, 0]])}
