@@ -1,8 +1,11 @@
 """Operators over documents: brute force, nulls, empty and long texts, ties, repeats, clashes."""
 
 import hashlib
+import math
 import re
+import string
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -430,6 +433,58 @@ def test_classifiers(spark, run, label):
     assert len(held) > 10 and np.mean([a == b for a, b in held]) > 0.95
 
 
+def slow_statistics(text):
+    text, found = text or "", words(text)
+    n, size, some = len(found), len(text.encode()), max(len(found), 1)
+    marks, digits = [c for c in text if c in string.punctuation], [c for c in text if c in string.digits]
+    capitals = sum("A" <= c <= "Z" or "\xc0" <= c <= "\xde" for c in text)
+    letters = sum(ord(c) > 32 and c not in string.punctuation + string.digits for c in text)
+    repeated = sum(a == b for a, b in zip(found, found[1:]))
+    bare = sum(all(c in string.punctuation for c in w) for w in found)
+    ends = sum(len(w.encode()) >= 3 and w[-1] in string.punctuation and w[-2] in string.punctuation for w in found)
+    rate = lambda k, of, room=20: math.log((k + 0.5) / (of + room))
+    commonest = max(Counter(found).values(), default=0)
+    return [math.log1p(n), math.log((size + 1) / (n + 1)), math.sqrt(repeated / some), math.log1p(len(set(found))) / math.log1p(some), math.sqrt(commonest / some), rate(len(marks), size), rate(capitals, letters), rate(len(digits), size), math.sqrt(bare / some), rate(text.count("\n") + 1, n, 1), math.log1p(max((len(w.encode()) for w in found), default=0)), math.sqrt(ends / some)]
+
+
+def test_quality_equals_the_discriminant_worked_out_directly(spark):
+    df, labels = labelled(spark)
+    odd = [(2000, "\xc0 la Carte!! ... 12,5 a A a\n\n", "en", "s", 0), (2001, "!?", "en", "s", 0), (2003, "x" * 50 + " \u4e2d\u6587 \u2026", "en", "s", 0)]
+    df = df.unionByName(spark.createDataFrame(odd, SCHEMA))
+    rows = [(r["doc_id"], slow_statistics(r["text"])) for r in df.collect()]
+    known = {}
+    for r in labels.collect():
+        if r["doc_id"] is not None and r["quality"] in (0, 1):
+            known[r["doc_id"]] = max(r["quality"], known.get(r["doc_id"], 0))
+    learnt = [(x, known[i]) for i, x in rows if i in known and zlib.crc32(str(i).encode()) % 5]
+    x, y = np.array([a for a, _ in learnt]), np.array([b for _, b in learnt])
+    sides = [x[y == k] for k in (0, 1)]
+    cov = [np.cov(part.T, bias=True) for part in sides]
+    pooled = sum(len(part) * c for part, c in zip(sides, cov)) / len(x)
+    scale = np.sqrt(np.maximum(np.diag(pooled), 1e-12))
+    densities = []
+    for part, c in zip(sides, cov):
+        shrink = max(quality.SHRINK, len(scale) / (len(scale) + len(part)))
+        sigma = ((1 - shrink) * c + shrink * pooled) / np.outer(scale, scale)
+        sigma = (1 - quality.RIDGE) * sigma + quality.RIDGE * np.diag(np.maximum(np.diag(sigma), 1e-6)) + 1e-9 * np.eye(len(scale))
+        away = lambda v, part=part, sigma=sigma: (v / scale - part.mean(axis=0) / scale) @ np.linalg.solve(sigma, v / scale - part.mean(axis=0) / scale)
+        densities.append(lambda v, part=part, sigma=sigma, away=away: math.log(len(part) / len(x)) - (np.linalg.slogdet(sigma)[1] + away(v)) / 2)
+    margin = lambda v: (d := densities[1](np.array(v)) - densities[0](np.array(v))) and math.copysign(math.log1p(abs(d)), d)
+    got = sorted((str(r["doc_id"]), r["score"]) for r in quality.score_quality(df, labels).collect())
+
+    # the curve is the one whose penalised likelihood is stationary, and each score lies on it
+    m = np.array([margin(v) for v in x])
+    a, b = 1.0, 0.0
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-(a * m + b)))
+        gradient = np.array([(m * (p - y)).sum() + (a - 1), (p - y).sum() + 0.01 * b])
+        w = p * (1 - p)
+        a, b = np.array([a, b]) - np.linalg.solve([[(m * m * w).sum() + 1, (m * w).sum()], [(m * w).sum(), w.sum() + 0.01]], gradient) / 2
+    want = sorted((str(i), 1 / (1 + math.exp(-max(-60, min(60, a * margin(v) + b))))) for i, v in rows)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], atol=1e-6)
+
+
 @pytest.mark.parametrize("run", [quality.score_quality, toxicity.score_toxicity])
 def test_classifiers_never_see_held_out_labels(spark, run):
     from pyspark.sql import functions as F
