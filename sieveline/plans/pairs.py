@@ -9,8 +9,8 @@ from sieveline.functions import scalars as S
 from sieveline.operators import dedup as D
 from sieveline.operators import joins as J
 from sieveline.operators.graph import components
+from sieveline.operators.lazy import diverse
 from sieveline.operators.ranking import banded
-from sieveline.operators.selection import select_diverse
 from sieveline.operators.splits import bootstrap, paired_bootstrap, poisson_steps
 from sieveline.plans.catalog import register, table
 
@@ -123,10 +123,21 @@ def calibration_sample(spark: SparkSession, d: str) -> DataFrame:
     return D.calibration_sample(table(spark, d, "embeddings"), "embedding", "vec_id", [("high", 0.4, 2, 8), ("middle", 0.35, 0.4, 8), ("low", 0.3, 0.35, 4)], 40)
 
 
-@register("kcenter_select")
+def _kcenter_sql(count: int) -> str:
+    """Step by step: c, the choice of each label, and s, the rows left with their largest similarity to all chosen."""
+    parts = ["s0 AS MATERIALIZED (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v, sha256('20260826' || chr(31) || vec_id) AS r, '-infinity'::DOUBLE AS near FROM embeddings)"]
+    for k in range(count):
+        parts += [
+            f"c{k} AS MATERIALIZED (SELECT * FROM s{k} QUALIFY row_number() OVER (PARTITION BY label ORDER BY near, r) = 1)",
+            f"s{k + 1} AS MATERIALIZED (SELECT s.* REPLACE (greatest(s.near, list_dot_product(s.v, c.v)) AS near) FROM s{k} s JOIN c{k} c ON s.label = c.label WHERE s.id <> c.id)",
+        ]
+    return f"WITH {', '.join(parts)} {' UNION ALL '.join(f'SELECT label, id AS vec_id, {k + 1} AS position FROM c{k}' for k in range(count))}"
+
+
+@register("kcenter_select", _kcenter_sql(8))
 def kcenter_select(spark: SparkSession, d: str) -> DataFrame:
     """The farthest-first choice within each label."""
-    return select_diverse(table(spark, d, "embeddings"), "embedding", "vec_id", 8, by=["label"])
+    return diverse(table(spark, d, "embeddings"), "embedding", "vec_id", 8, by=["label"])
 
 
 def _resamples(value: str, number: int) -> str:

@@ -12,7 +12,9 @@ from sieveline.functions import scalars as S
 from sieveline.operators import aggregates as A
 from sieveline.operators import ledger as L
 from sieveline.operators import projections as P
+from sieveline.operators import lazy as G
 from sieveline.operators import selection as X
+from sieveline.operators.program import exact_supplement
 from sieveline.plans.boxes import BOXES, boxes
 from sieveline.plans.catalog import register, table
 from sieveline.session import shared_dir
@@ -130,25 +132,78 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", "embedding", "label", (F.col("vec_id") % 40).alias("grp"), S.stable_rank("vec_id").alias("position"), F.concat(F.lit("s"), F.col("vec_id") % 3).alias("stratum"), F.array_compact(F.array(F.when(F.col("vec_id") % 5 == 0, "small"), F.when(F.col("vec_id") % 7 == 0, "occluded"))).alias("features"))
 
 
-@register("reviewed_admission")
+def _greedy_sql(start: str, steps: list[tuple[str, str, str]], output: str, cap: int | None = None) -> str:
+    """Farthest-first choices written out step by step. start: rows s0 (id, key, g, v, r, and near, the
+    similarity to what was there before); a step: its condition, the order, and a name."""
+    parts, found = [f"s0 AS MATERIALIZED (SELECT *, '-infinity'::DOUBLE AS own, 0 AS used FROM ({start}))"], []
+    for k, (condition, order, name) in enumerate(steps):
+        room = "" if cap is None else f" AND used < {cap}"
+        parts += [
+            f"c{k} AS MATERIALIZED (SELECT * FROM s{k} WHERE {condition}{room} QUALIFY row_number() OVER (PARTITION BY key ORDER BY {order}, r) = 1)",
+            f"s{k + 1} AS MATERIALIZED (SELECT s.* REPLACE (greatest(s.own, coalesce(list_dot_product(s.v, c.v), '-infinity'::DOUBLE)) AS own, s.used + coalesce(s.g = c.g, false)::INT AS used) FROM s{k} s LEFT JOIN c{k} c ON s.key = c.key WHERE s.id IS DISTINCT FROM c.id)",
+        ]
+        found.append(f"SELECT id, key, '{name}' AS name, {k + 1} AS position FROM c{k}")
+    return f"WITH {', '.join(parts)} SELECT {output} FROM ({' UNION ALL '.join(found)})"
+
+
+_RANKED = "sha256('20260826' || chr(31) || vec_id)"
+_POOL = f"SELECT vec_id AS id, '' AS key, vec_id % 40 AS g, embedding::DOUBLE[] AS v, {_RANKED} AS r, label, '-infinity'::DOUBLE AS near FROM embeddings"
+_SEEDED = f"SELECT a.vec_id AS id, '' AS key, a.vec_id % 40 AS g, a.embedding::DOUBLE[] AS v, sha256('20260826' || chr(31) || a.vec_id) AS r, a.label, max(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS near FROM embeddings a, embeddings b WHERE a.label <> 0 AND b.label = 0 GROUP BY ALL"
+
+
+@register(
+    "reviewed_admission",
+    f"""
+    WITH RECURSIVE p AS (SELECT row_number() OVER (ORDER BY {_RANKED}) AS n, vec_id, embedding::DOUBLE[] AS v, vec_id % 40 AS g, label AS s FROM embeddings),
+    r AS (
+      SELECT 0::BIGINT AS n, NULL::BIGINT AS vec_id, NULL::VARCHAR AS decision, []::DOUBLE[][] AS vs, []::BIGINT[] AS gs, []::INT[] AS ss
+      UNION ALL
+      SELECT n, vec_id, decision, CASE WHEN decision = 'included' THEN list_append(vs, v) ELSE vs END, CASE WHEN decision = 'included' THEN list_append(gs, g) ELSE gs END, CASE WHEN decision = 'included' THEN list_append(ss, s) ELSE ss END
+      FROM (SELECT p.*, r.vs, r.gs, r.ss,
+              CASE WHEN len(r.vs) >= 80 THEN 'capacity' WHEN len(list_filter(r.ss, lambda x: x = p.s)) >= 12 THEN 'site' WHEN len(list_filter(r.gs, lambda x: x = p.g)) >= 3 THEN 'group'
+                   WHEN len(r.vs) > 0 AND list_max(list_transform(r.vs, lambda x: list_dot_product(x, p.v))) >= 0.35 THEN 'near' ELSE 'included' END AS decision
+            FROM r JOIN p ON p.n = r.n + 1))
+    SELECT vec_id, decision FROM r WHERE n > 0
+    """,
+)
 def reviewed_admission(spark: SparkSession, d: str) -> DataFrame:
-    return X.admit(_vectors(spark, d), "vec_id", "embedding", "grp", "label", "position", most=0.35, group_cap=3, site_cap=12, maximum=80)
+    return G.admitted(_vectors(spark, d), "vec_id", "embedding", "grp", "label", [F.col("position")], most=0.35, group_cap=3, site_cap=12, maximum=80)
 
 
 @register("validation_queue")
 def validation_queue(spark: SparkSession, d: str) -> DataFrame:
     rows = _vectors(spark, d).withColumns({"phash": pixels.perceptual_hash(F.flatten(F.array_repeat("embedding", 16))), "confidence": F.round(F.abs(F.get("embedding", F.lit(0))), 3), "small": F.col("vec_id") % 3})
-    return X.validation_queue(rows, "vec_id", "phash", "grp", "label", "confidence", "small", most=10, group_cap=3, site_cap=12, maximum=60)
+    return G.validation_queue(rows, "vec_id", "phash", "grp", "label", "confidence", "small", most=10, group_cap=3, site_cap=12, maximum=60)
 
 
 @register("quota_selection")
 def quota_selection(spark: SparkSession, d: str) -> DataFrame:
-    return X.select_by_quota(_vectors(spark, d), "vec_id", "embedding", "grp", "stratum", "features", minimums=[("small", 10), ("occluded", 8)], strata={"s0": 12, "s1": 10, "s2": 8}, cap=2)
+    return G.diverse_by_quota(_vectors(spark, d), "vec_id", "embedding", "grp", "stratum", "features", minimums=[("small", 10), ("occluded", 8)], strata={"s0": 12, "s1": 10, "s2": 8}, cap=2)
 
 
-@register("capped_diverse")
+@register("capped_diverse", _greedy_sql(_POOL, [("true", "own", "")] * 40, "id AS vec_id, position", cap=2))
 def capped_diverse(spark: SparkSession, d: str) -> DataFrame:
-    return X.select_diverse(_vectors(spark, d), "embedding", "vec_id", 40, group="grp", cap=2)
+    return G.diverse(_vectors(spark, d), "embedding", "vec_id", 40, group="grp", cap=2)
+
+
+@register("seeded_diverse", _greedy_sql(_SEEDED, [("true", "greatest(own, near)", "")] * 12, "id AS vec_id, position"))
+def seeded_diverse(spark: SparkSession, d: str) -> DataFrame:
+    """All of label 0 is there before; the others are filled up with what is least like it and like each other."""
+    rows = table(spark, d, "embeddings")
+    return G.diverse(rows.where("label <> 0"), "embedding", "vec_id", 12, seeds=rows.where("label = 0"), shortfall=False)
+
+
+@register(
+    "category_quotas",
+    _greedy_sql(_SEEDED, [("label <= 3", "greatest(own, near)", "low")] * 6 + [("id % 3 = 0", "own", "third")] * 5 + [("label > 3", "own", "fill")] * 9, "id AS vec_id, name AS category, position", cap=2),
+)
+def category_quotas(spark: SparkSession, d: str) -> DataFrame:
+    """Quotas of categories in turn, then a fill; only the first compares with what was there before."""
+    rows = _vectors(spark, d)
+    return G.diverse_by_category(
+        rows.where("label <> 0"), "vec_id", "embedding", "grp", categories=[("low", F.col("label") <= 3, 6), ("third", F.col("vec_id") % 3 == 0, 5)],
+        fill=("fill", F.col("label") > 3), total=20, cap=2, seeds=rows.where("label = 0"),
+    )
 
 
 @register("shortlist")
@@ -159,8 +214,10 @@ def shortlist(spark: SparkSession, d: str) -> DataFrame:
 
 @register("floor_supplement")
 def floor_supplement(spark: SparkSession, d: str) -> DataFrame:
+    """The best 20 parts by their types' words, with floors and at most 3 of a brand."""
     pool = table(spark, d, "part").select("p_partkey", F.split("p_type", " ").alias("classes"), "p_brand")
-    return X.supplement(pool, "p_partkey", "classes", "p_brand", count=20, floors={"PROMO": 4, "STANDARD": 4}, cap=3)
+    weights = {"PROMO": 100, "STANDARD": 70, "LARGE": 10, "ECONOMY": 25, "MEDIUM": 1}
+    return exact_supplement(pool, "p_partkey", "classes", "p_brand", count=20, floors={"PROMO": 4, "STANDARD": 4, "LARGE": 6, "MEDIUM": 3}, cap=3, weights=weights)
 
 
 @register(

@@ -5,10 +5,11 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 _own_dir: str | None = None
@@ -32,6 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for what several jobs read: the same
+    rows in each of them, also after an executor is lost."""
+    path = f"{shared_dir(df.sparkSession)}/sieveline/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Give the workers this package, once for each application."""
     context = spark.sparkContext
