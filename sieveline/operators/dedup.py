@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sieveline.functions.scalars import SEED, UNIT, dot, stable_rank
+from sieveline.operators import metric
 from sieveline.operators.graph import components
 from sieveline.operators.joins import cosine_pairs, redealt
 
@@ -83,16 +86,23 @@ def _controls(df: DataFrame, vector: str, identity: str, number: int) -> DataFra
     return pairs.join(left, "left_id").join(right, "right_id").select("left_id", "right_id", dot("_left", "_right").alias("cosine"), "_h")
 
 
+def banded_sample(held: metric.Blocks, bands: list[tuple[str, float, float, int]]) -> DataFrame:
+    """left_id, right_id, cosine, band, h and rank: of each band the pairs of the least stable hash. Every
+    two blocks bring as many at most, so no band's pairs are ever rows."""
+    rank = lambda *parts: hashlib.sha256(UNIT.join([SEED, *map(str, parts)]).encode()).hexdigest()
+    most = F.coalesce(*[F.when(F.col("band") == name, F.lit(n)) for name, *_, n in bands])
+    found = metric.banded_pairs(held, bands, rank).withColumn("rank", F.row_number().over(Window.partitionBy("band").orderBy("h")))
+    return found.where(F.col("rank") <= most)
+
+
 def calibration_sample(df: DataFrame, vector: str, identity: str, bands: list[tuple[str, float, float, int]], minimum: int) -> DataFrame:
     """Pairs to review: so many of each band by hash, then the most similar of the rest until
     there are half of ``minimum``, then controls up to ``minimum``, drawn from all row pairs."""
     named = F.coalesce(*[F.when((F.col("cosine") >= low) & (F.col("cosine") < high), F.lit(name)) for name, low, high, _ in bands], F.lit("control"))
-    most = F.coalesce(*[F.when(F.col("band") == name, F.lit(n)) for name, _, _, n in bands], F.lit(0))
-    rows = cosine_pairs(df, vector, identity, min(low for _, low, _, _ in bands)).withColumn("band", named).withColumn("_h", stable_rank("band", "left_id", "right_id"))
-    rows = rows.where(most > 0).withColumn("_r", F.row_number().over(Window.partitionBy("band").orderBy("_h")))
-    banded = rows.where(F.col("_r") <= most).select("left_id", "right_id", "cosine", "_h", F.lit("band").alias("kind"))
+    held = metric.Blocks(df, vector, identity)
+    banded = banded_sample(held, bands).select("left_id", "right_id", "cosine", F.col("h").alias("_h"), F.lit("band").alias("kind"))
     top = minimum // 2 + sum(n for *_, n in bands)
-    similar = cosine_pairs(df, vector, identity, float("-inf"), best=top).orderBy(F.desc("cosine"), "left_id", "right_id").limit(top).select("left_id", "right_id", "cosine", F.lit("").alias("_h"), F.lit("similar").alias("kind"))
+    similar = metric.best_pairs(held, top).select("left_id", "right_id", "cosine", F.lit("").alias("_h"), F.lit("similar").alias("kind"))
     controls = _controls(df, vector, identity, minimum + top).select("left_id", "right_id", "cosine", "_h", F.lit("control").alias("kind"))
 
     # a few hundred rows from here on; a pair counts where it comes first

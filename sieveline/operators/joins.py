@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveline.functions.scalars import dot
+from sieveline.operators import metric
+from sieveline.session import written
 
 
 def redealt(summed: DataFrame) -> DataFrame:
@@ -104,73 +103,27 @@ def hamming_pairs(df: DataFrame, bits: str, identity: str, most: int, width: int
 def cosine_pairs(df: DataFrame, vector: str, identity: str, least: float, blocks: int | None = None, best: int | None = None) -> DataFrame:
     """Pairs of vectors whose inner product is at least ``least``, in double precision.
 
-    Vectors are dealt to blocks by hash and each two blocks meet in one task, a
-    matrix product at a time; rows travel once for each block, and no task holds
-    more than two. Exact for any data, so its work grows with the square of the rows.
-    Vectors of different lengths don't pair; null ones, and those with null components, pair with none.
-    With ``best``, each task returns that many pairs at most, the most similar, ties
-    to the smaller identities: the table's first ``best`` pairs are among them.
+    Exact, by metric partitioning (module ``metric``): only blocks whose distances to the
+    pivots leave room for such a pair meet. Vectors of different lengths don't pair; null ones, and those with null or
+    non-finite components, pair with none. With ``best`` only that many pairs, the most
+    similar, ties to the smaller identities. ``blocks``: how many blocks to make, at least.
     """
-    n = df.count()
-    k = blocks or max(1, -(-n // 4096))
-    rows = df.where(F.col(vector).isNotNull()).select(F.col(identity).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.size(vector).alias("dims")).withColumn("own", F.pmod(F.xxhash64("id"), F.lit(k)).cast("int"))
-    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")}).drop("other")
-
-    def near(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
-        ids, own = held.column("id").to_numpy(), held.column("own").to_numpy()
-        flat = held.column("v").combine_chunks()
-        x = np.asarray(flat.flatten()).reshape(len(ids), -1)
-        a, b = key[0].as_py(), key[1].as_py()
-        left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
-        if best is not None:
-            l, r, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-            for at in range(0, len(left), 256):
-                p, q = ids[left[at : at + 256], None], ids[None, right]
-                score = x[left[at : at + 256]] @ x[right].T
-                score[~((p != q if a != b else p < q) & (score >= least))] = -np.inf
-                held = score[score > -np.inf]
-                i, j = np.nonzero(score >= np.partition(held, -best)[-best] if len(held) > best else score > -np.inf)
-                l, r, s = np.append(l, np.minimum(p[i, 0], q[0, j])), np.append(r, np.maximum(p[i, 0], q[0, j])), np.append(s, score[i, j])
-                first = np.lexsort((r, l, -s))[:best]
-                l, r, s = l[first], r[first], s[first]
-            return pa.table({"left_id": l, "right_id": r, "cosine": s})
-        out = []
-        for at in range(0, len(left), 1024):
-            score = x[left[at : at + 1024]] @ x[right].T
-            i, j = np.nonzero(score >= least)
-            out.append((ids[left[at + i]], ids[right[j]], score[i, j]))
-        l, r, s = (np.concatenate(c) for c in zip(*out, strict=True)) if out else ([np.zeros(0, np.int64)] * 2 + [np.zeros(0)])
-        keep = l != r if a != b else l < r
-        return pa.table({"left_id": np.minimum(l, r)[keep], "right_id": np.maximum(l, r)[keep], "cosine": s[keep]})
-
-    return dealt.groupBy("a", "b", "dims").applyInArrow(near, "left_id long, right_id long, cosine double")
-
-
-def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, identity: str, block: int = 4096) -> DataFrame:
+    held = metric.Blocks(df, vector, identity, parts=blocks)
+    return metric.similar_pairs(held, least) if best is None else metric.best_pairs(held, best, least)
+
+
+def nearest_existing(candidates: DataFrame, existing: DataFrame, vector: str, identity: str) -> DataFrame:
     """Each candidate's largest inner product with the existing set, in double precision.
 
-    Both sides are dealt to blocks by hash; each two blocks meet in one task, as a
-    matrix product that returns one number per candidate. No pair is a row. Null
-    without a vector, or without an existing one of its length.
+    Exact, by metric partitioning: see ``metric.nearest``. No pair is a row. Null without a
+    vector of finite components, or without an existing one of its length.
     """
-    ids = {name: max(1, -(-df.count() // block)) for name, df in (("c", candidates), ("e", existing))}
-    kind = dict(candidates.dtypes)[identity]
-    spread = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    meet = ["_c", "_e", F.size("_v")]
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    held = candidates.select(F.col(identity).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
-    left = held.where("_v IS NOT NULL").withColumn("_c", spread("_id", ids["c"])).withColumn("_e", every(ids["e"]))
-    right = existing.select(F.col(vector).cast("array<double>").alias("_v")).where("_v IS NOT NULL").withColumn("_e", spread("_v", ids["e"])).withColumn("_c", every(ids["c"]))
-
-    def best(asks: pa.Table, known: pa.Table) -> pa.Table:
-        x, y = (np.asarray(t.column("_v").combine_chunks().flatten()).reshape(t.num_rows, -1) if t.num_rows else None for t in (asks, known))
-        if x is None or y is None:
-            return pa.table({"_id": asks.column("_id").slice(0, 0), "_s": pa.array([], pa.float64())})
-        return pa.table({"_id": asks.column("_id"), "_s": (x @ y.T).max(axis=1)})
-
-    found = left.groupBy(*meet).cogroup(right.groupBy(*meet)).applyInArrow(best, f"_id {kind}, _s double")
-    most = found.groupBy("_id").agg(F.max("_s").alias("similarity"))
-    return held.select("_id").distinct().join(most, "_id", "left").select(F.col("_id").alias(identity), "similarity")
+    number = F.monotonically_increasing_id()
+    known = metric.Blocks(existing.select(F.col(vector).alias("v")).withColumn("n", number), "v", "n")
+    held = written(candidates.select(F.col(identity).alias("_id"), F.col(vector).alias("v")).withColumn("n", number), "nearest-rows")
+    found = metric.nearest(metric.Blocks(held, "v", "n", pivots=known.pivots), known)
+    joined = held.select("_id", "n").join(found, held["n"] == found["id"], "left")
+    return joined.groupBy("_id").agg(F.max("similarity").alias("similarity")).select(F.col("_id").alias(identity), "similarity")
 
 
 def time_neighbours(df: DataFrame, group: str, stamp: str, strong: Column, seconds: int = 3600) -> DataFrame:

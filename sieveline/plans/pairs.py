@@ -10,7 +10,7 @@ from sieveline.operators import dedup as D
 from sieveline.operators import joins as J
 from sieveline.operators.graph import components
 from sieveline.operators.lazy import diverse
-from sieveline.operators.ranking import banded
+from sieveline.operators.metric import Blocks
 from sieveline.operators.splits import bootstrap, paired_bootstrap, poisson_steps
 from sieveline.plans.catalog import register, table
 
@@ -57,8 +57,8 @@ def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
     """,
 )
 def cosine_bands(spark: SparkSession, d: str) -> DataFrame:
-    pairs = J.cosine_pairs(table(spark, d, "embeddings"), "embedding", "vec_id", 0.3)
-    return banded(pairs, "cosine", [("high", 0.4, 2, 20), ("middle", 0.35, 0.4, 20), ("low", 0.3, 0.35, 20)], [S.stable_rank("band", "left_id", "right_id")]).select("left_id", "right_id", "band", "rank")
+    held = Blocks(table(spark, d, "embeddings"), "embedding", "vec_id")
+    return D.banded_sample(held, [("high", 0.4, 2, 20), ("middle", 0.35, 0.4, 20), ("low", 0.3, 0.35, 20)]).select("left_id", "right_id", "band", "rank")
 
 
 @register("topk_pairs", f"SELECT a.vec_id AS left_id, b.vec_id AS right_id, round({_DOT}, 5) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id ORDER BY {_DOT} DESC, 1, 2 LIMIT 50")
