@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from sieveline.plans import boxes, catalog, composed, files, ordering, pairs, relational, selecting  # noqa: F401
+from sieveline.plans import boxes, catalog, composed, files, ordering, pairs, relational, runs, selecting  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from sieveline.plans import boxes, catalog, composed, files, ordering, pairs, relational, selecting  # noqa: F401
+from sieveline.plans import boxes, catalog, composed, files, ordering, pairs, relational, runs, selecting  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
