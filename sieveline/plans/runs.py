@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sieveline.plans.catalog import register, table
 from sieveline.session import shared_dir
+from sieveline.sources import archives as A
 from sieveline.streaming import screening as Z
 
 #: Rows of one start of the screening stream, at most about.
@@ -59,3 +60,22 @@ def screening_run(spark: SparkSession, d: str) -> DataFrame:
         (now.unionByName(last) if last is not None else now).write.mode("append").parquet(inbox)
         found = Z.run_screening(spark, inbox, root, screen_value, run, delay_seconds=6 * 3600, flush_every=20)
     return found.select("identity", "status", "reason_code", "result", "context", "attempts", "skipped")
+
+
+@register("vector_archive_round_trip", "SELECT vec_id::VARCHAR AS identity, embedding FROM embeddings WHERE embedding IS NOT NULL")
+def vector_archive_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """All vectors as archives, published whole and read back by ranges of rows."""
+    rows = table(spark, d, "embeddings").where("embedding IS NOT NULL").select(F.col("vec_id").cast("string").alias("identity"), "embedding")
+    path = _folder(spark, "vectors")
+    A.write_vector_archives(rows, path, rows_per_archive=4096)
+    return A.vector_archives(spark, path, rows_per_task=2048).select("identity", "embedding")
+
+
+@register("vector_archive_checks", "SELECT 'kept' AS what, count(*) AS n FROM embeddings WHERE embedding IS NOT NULL UNION ALL SELECT 'damaged', 0")
+def vector_archive_checks(spark: SparkSession, d: str) -> DataFrame:
+    """The same, compressed, with every archive's digest compared as it is read."""
+    rows = table(spark, d, "embeddings").where("embedding IS NOT NULL").select(F.col("vec_id").cast("string").alias("identity"), "embedding")
+    path = _folder(spark, "vectors")
+    A.write_vector_archives(rows, path, compressed=True)
+    found = A.vector_archives(spark, path, verify=True).agg(F.count_if(F.col("reason_code").isNull()).alias("kept"), F.count_if(F.col("reason_code").isNotNull()).alias("damaged"))
+    return found.unpivot([], ["kept", "damaged"], "what", "n")
