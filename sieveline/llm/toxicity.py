@@ -20,6 +20,7 @@ their texts take ``SAMPLE_BYTES`` in all; whole texts of all rows are scored.
 from __future__ import annotations
 
 import math
+import re
 import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -54,7 +55,12 @@ WINDOW = 8
 QUOTED, REPORTED, ADDRESSED = 0.35, 0.6, 1.25
 CACHE_WORDS = 200_000
 
-QUOTES = "\"“”„«»‹›"
+QUOTES = re.compile("[\"“”„«»‹›]")
+CHUNKS = re.compile(r"[^ \t\n\r\f\v]+")
+#: Marks that end a quotation, with those that may have begun it. A mark that ends nothing begins one
+#: if it is listed here as a beginning.
+ENDS = {"”": "“„", "“": "„", "»": "«", "«": "»", "›": "‹", "‹": "›"}
+BEGINS = "“„«»‹›"
 REPORTS = frozenset("said says say wrote writes quoted quote quotes called reported reports according dijo dice escribió dit écrit sagte sagt schrieb".split())
 ADDRESS = frozenset("you your you're u ur yourself du dich dein sie ihr tu te tú usted toi vous votre".split())
 _EDGE = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "“”„«»‹›‘’¡¿…–—"
@@ -65,6 +71,32 @@ def plain(chunk: str) -> str:
     return chunk.strip(_EDGE).lower()
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Where the text's quotations begin and end, in order of their ends.
+
+    Marks with a side are taken by it. A straight mark begins a quotation after white space, a
+    bracket or at the start, if a word follows, and ends one after a word. A mark that nothing
+    ends quotes nothing, as doesn't one that ends what has not begun.
+    """
+    opened: dict[str, int] = {}
+    found = []
+    for mark in QUOTES.finditer(text):
+        m, at = mark.group(), mark.start()
+        before, after = text[at - 1 : at] if at else "", text[at + 1 : at + 2]
+        if m == '"':
+            if m in opened and before.strip():
+                found.append((opened.pop(m), at))
+            elif (not before.strip() or before in "([{—–-:") and after.strip():
+                opened[m] = at
+            continue
+        begun = [b for b in ENDS[m] if b in opened] if m in ENDS else []
+        if begun:
+            found.append((max(opened.pop(b) for b in begun), at))
+        elif m in BEGINS:
+            opened[m] = at
+    return found
+
+
 class _State:
     __slots__ = ("cells", "next", "hits")
 
@@ -184,14 +216,11 @@ class Scorer:
         """Drop the words remembered."""
         self._matches = None
 
-    def _context(self, chunks: list[bytes], at: int) -> float:
+    def _context(self, chunks: list[bytes], at: int, quoted: bool) -> float:
         before = [c.decode("utf-8", "replace") for c in chunks[max(0, at - WINDOW) : at]]
         after = [c.decode("utf-8", "replace") for c in chunks[at + 1 : at + 1 + WINDOW]]
-        own = chunks[at].decode("utf-8", "replace")
-        opened = sum(own.lstrip(_EDGE) != own and c in QUOTES for c in own[:3]) + sum(c in QUOTES for w in before for c in w)
-        closed = sum(c in QUOTES for c in own[-3:]) + sum(c in QUOTES for w in after for c in w)
         factor = 1.0
-        if opened % 2 and closed:
+        if quoted:
             factor *= QUOTED
         elif any(plain(w) in REPORTS for w in before[-4:]):
             factor *= REPORTED
@@ -199,6 +228,18 @@ class Scorer:
             factor *= ADDRESSED
         return factor
 
+    @staticmethod
+    def _quoted(text: str, numbers: np.ndarray) -> list[bool]:
+        """Which of the text's words, by ascending number, lie within a quotation."""
+        spans = quotations(text)
+        if not spans:
+            return [False] * len(numbers)
+        begins, ends = (np.array(x) for x in zip(*sorted(spans), strict=True))
+        ends = np.maximum.accumulate(ends)
+        words = np.array([m.span() for m in CHUNKS.finditer(text)])[numbers]
+        at = np.searchsorted(begins, words[:, 1] - 1) - 1
+        return ((at >= 0) & (ends[at] > words[:, 0])).tolist()
+
     def features(self, texts: list[str | None]) -> tuple[np.ndarray, list[int]]:
         """Per text: summed weight (in logs), strongest weight, 1; and its number of matches."""
         if self._matches is None or len(self._matches) > CACHE_WORDS:
@@ -212,9 +253,11 @@ class Scorer:
         x, n = np.zeros((len(texts), 3)), [0] * len(texts)
         x[:, 2] = 1
         hits = np.flatnonzero(codes)
-        for i, at in zip((np.searchsorted(edges, hits, "right") - 1).tolist(), hits.tolist(), strict=True):
+        owners = np.searchsorted(edges, hits, "right") - 1
+        quoted = [q for i in np.unique(owners).tolist() for q in self._quoted(texts[i], hits[owners == i] - edges[i])]
+        for i, at, within in zip(owners.tolist(), hits.tolist(), quoted, strict=True):
             near = chunks[max(edges[i], at - WINDOW) : edges[i + 1] if at + WINDOW + 1 > edges[i + 1] else at + WINDOW + 1]
-            weight = self._matches.found[codes[at]][0] * self._context(near, at - max(edges[i], at - WINDOW))
+            weight = self._matches.found[codes[at]][0] * self._context(near, at - max(edges[i], at - WINDOW), within)
             x[i, 0] += weight
             x[i, 1] = max(x[i, 1], weight)
             n[i] += 1
@@ -362,17 +405,19 @@ def fit(sample: list[tuple[str | None, int]]) -> Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Scorer:
     """The scorer learnt from a bounded sample of the labelled rows that aren't held out.
-    Of several texts of an id the least is learnt from; one that is longer than what is
-    left of ``sample_bytes`` ends its label's sample."""
+    Of several texts of an id the least is learnt from. Texts of more than ``sample_bytes`` are passed
+    over; of the others a label takes as many, in the order of their hash, as have so many bytes in all."""
     marked = labels.select(F.col("doc_id").cast("long").alias("__id"), F.col(f"`{label_col}`").cast("int").alias("y")).where("y IN (0, 1)").groupBy("__id").agg(F.max("y").alias("y"))
     marked = marked.where(F.col("__id").isNotNull() & ~held_out(F.col("__id")))
     parts = [marked.where(F.col("y") == k).orderBy(F.xxhash64("__id"), "__id").limit(n) for k, n in ((1, toxic_rows), (0, clean_rows))]
     chosen = stored(parts[0].unionAll(parts[1]), "sample")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    own = texts.join(F.broadcast(chosen), F.col("id") == F.col("__id")).groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
-    # a window of toxic_rows or clean_rows rows at most
-    so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
-    rows = own.withColumn("bytes", so_far).where(F.col("bytes") <= sample_bytes).select("id", "text", "y").collect()
+    own = stored(texts.join(F.broadcast(chosen), F.col("id") == F.col("__id")).groupBy("id").agg(F.min("text").alias("text"), F.first("y").alias("y")), "texts")
+    # lengths alone meet in a window, of toxic_rows or clean_rows rows at most
+    lengths = own.select("id", "y", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).where(F.col("n") <= sample_bytes)
+    so_far = F.sum("n").over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
+    fitting = lengths.withColumn("bytes", so_far).where(F.col("bytes") <= sample_bytes).select("id")
+    rows = own.join(F.broadcast(fitting), "id").select("id", "text", "y").collect()
     return fit([(r["text"], r["y"]) for r in sorted(rows, key=lambda r: r["id"])])
 
 

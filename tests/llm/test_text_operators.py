@@ -529,6 +529,46 @@ def test_automaton_equals_edit_distance():
         assert set(automaton.match(word)) == want, word
 
 
+@pytest.mark.parametrize(
+    ("text", "quoted"),
+    [
+        ("c” this idiot “d e”", False),
+        ('"one two three four five six seven eight nine" this idiot "ok"', False),
+        ('"one two three four five six seven eight nine ten idiot" he wrote', True),
+        ("he said “you idiot”", True),
+        ("„so ein idiot“ sagte er", True),
+        ("„so“ ein idiot “x”", False),
+        ("« un idiot » dit-il", True),
+        ("»idiot« sagt", True),
+        ('a 5" idiot, a 6" one', False),
+        ('"never ended idiot', False),
+        ('("idiot")', True),
+        ('"a" idiot "b"', False),
+        ("“a «b» idiot”", True),
+        ("idiot", False),
+        ("“" + "word " * 5000 + "idiot”", True),
+    ],
+)
+def test_quotations_are_told_by_the_side_of_their_marks(text, quoted):
+    """By a plain walk over the characters between a beginning and its end."""
+    scorer = toxicity.Scorer(["idiot"], {(0, 0): 5.0}, [], 0.5)
+    x, n = scorer.features([None, text, "", text])
+    assert n == [0, 1, 0, 1]
+    at = text.index("idiot")
+    assert any(a < at < b for a, b in toxicity.quotations(text)) == quoted
+    assert (x[1, 1] < 5 * toxicity.REPORTED) == quoted and (x[1] == x[3]).all()
+
+
+def test_a_long_text_does_not_empty_the_sample(spark):
+    """Wherever the long text stands in the order, the others are learnt from."""
+    rows = [(i, ("you vile slugger go away " if i % 3 == 0 else "the weather was mild and calm today ") + f"w{i}", int(i % 3 == 0)) for i in range(300)]
+    long = [(1000 + k, "calm words " * 20_000, k % 2) for k in range(20)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows + long], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows + long], "doc_id long, toxic int")
+    found = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, labels, sample_bytes=50_000).collect()}
+    assert all(found[i] == y for i, _, y in rows)
+
+
 def test_quotation_counts_less():
     scorer = toxicity.Scorer(["idiot"], {(0, 0): 5.0, (1, 0): 4.0}, [1.0, 0.0, -1.0], 0.1)
     plain, quoted, wrong = scorer.score(scorer.features(["you are an idiot", 'he wrote "what an idiot" there', "an idi0t"])[0])
