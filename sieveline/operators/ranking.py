@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sieveline.session import written
+
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
     ranked = Window.partitionBy(*group).orderBy(*order)
@@ -67,9 +69,26 @@ def best_by(df: DataFrame, group: list[str], row: list[str], order: Column) -> D
     return found.select(*group, *[F.col(f"_b.{c}").alias(c) for c in row])
 
 
+def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFrame:
+    """``df`` numbered from 1 in a total order, by no single task: ranges of the order are sorted
+    each for itself and written, and each begins where the counts of those before it end.
+
+    The driver holds one count a range. Rows that tie get numbers in any order, the same
+    for every later reader; rows without an order (nulls) come as the sort has them.
+    """
+    spark = df.sparkSession
+    laid = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    part, inner = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
+    counts = sorted(laid.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect())
+    starts, so_far = [], 0
+    for p, n in counts:
+        starts.append((p, so_far))
+        so_far += n
+    begun = spark.createDataFrame(starts, "__p long, __begun long")
+    return laid.withColumn("__p", part).join(F.broadcast(begun), "__p").withColumn(name, F.col("__begun") + inner + 1).drop("__p", "__begun", "__at")
+
+
 def review_order(df: DataFrame, required: str, priority: str, rank: Column) -> DataFrame:
-    """Numbers rows: required first, then
-    priority (blank last), then rank. One total order needs one window; it is meant for
-    review queues, which people read."""
+    """Numbers rows: required first, then priority (blank last), then rank."""
     blank_last = F.coalesce(F.col(priority).try_cast("int"), F.lit(9))
-    return df.withColumn("review_order", F.row_number().over(Window.orderBy(F.desc(required), blank_last, rank)))
+    return numbered(df, [F.desc(required), blank_last, rank], "review_order").withColumn("review_order", F.col("review_order").cast("int"))

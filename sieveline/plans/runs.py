@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sieveline.operators import exact_parts as E
 from sieveline.plans.catalog import register, table
 from sieveline.session import shared_dir
 from sieveline.sources import archives as A
@@ -79,3 +80,13 @@ def vector_archive_checks(spark: SparkSession, d: str) -> DataFrame:
     A.write_vector_archives(rows, path, compressed=True)
     found = A.vector_archives(spark, path, verify=True).agg(F.count_if(F.col("reason_code").isNull()).alias("kept"), F.count_if(F.col("reason_code").isNotNull()).alias("damaged"))
     return found.unpivot([], ["kept", "damaged"], "what", "n")
+
+
+@register("exact_group_split", "WITH n AS (SELECT count(*) AS n FROM documents) SELECT split, rows, 1 AS parts_of_a_group FROM (SELECT 'train' AS split, n - 2 * (n // 10) AS rows FROM n UNION ALL SELECT 'val', n // 10 FROM n UNION ALL SELECT 'test', n // 10 FROM n) WHERE rows > 0")
+def exact_group_split(spark: SparkSession, d: str) -> DataFrame:
+    """Copies stay together, and the parts have exactly their sizes."""
+    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("copy"))
+    n = docs.count()
+    parts = E.exact_group_split(docs, "copy", [("val", n // 10), ("test", n // 10), ("train", n - 2 * (n // 10))])
+    each = parts.groupBy("copy").agg(F.count_distinct("split").alias("k"), F.first("split").alias("split"), F.count("*").alias("n"))
+    return each.groupBy("split").agg(F.sum("n").alias("rows"), F.max("k").alias("parts_of_a_group"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions import pixels
@@ -13,6 +13,7 @@ from sieveline.operators import aggregates as A
 from sieveline.operators import ledger as L
 from sieveline.operators import projections as P
 from sieveline.operators import lazy as G
+from sieveline.operators import ranking as R
 from sieveline.operators import selection as X
 from sieveline.operators.program import exact_supplement
 from sieveline.plans.boxes import BOXES, boxes
@@ -330,8 +331,8 @@ def distinct_events(spark: SparkSession, d: str) -> DataFrame:
 
 @register("hardest_first", "WITH r AS (SELECT doc_id, quality, toxic, row_number() OVER (ORDER BY toxic = 0, sha256('20260826' || chr(31) || 'rare' || chr(31) || doc_id)) AS a FROM labels), s AS (SELECT *, row_number() OVER (PARTITION BY a > 20 ORDER BY quality, sha256('20260826' || chr(31) || 'difficult' || chr(31) || doc_id)) AS b FROM r) SELECT doc_id, CASE WHEN a <= 20 THEN 'rare' WHEN b <= 30 THEN 'difficult' ELSE 'common' END AS stratum FROM s")
 def hardest_first(spark: SparkSession, d: str) -> DataFrame:
-    """Two cuts, the second over what the first left; the queue is one for people."""
-    first = Window.orderBy(F.col("toxic") == 0, S.stable_rank(F.lit("rare"), "doc_id"))
-    second = Window.partitionBy(F.col("a") > 20).orderBy("quality", S.stable_rank(F.lit("difficult"), "doc_id"))
-    rows = table(spark, d, "labels").withColumn("a", F.row_number().over(first)).withColumn("b", F.row_number().over(second))
-    return rows.select("doc_id", F.when(F.col("a") <= 20, "rare").when(F.col("b") <= 30, "difficult").otherwise("common").alias("stratum"))
+    """Two cuts, the second over what the first left."""
+    first = R.numbered(table(spark, d, "labels"), [F.col("toxic") == 0, S.stable_rank(F.lit("rare"), "doc_id")], "a")
+    second = R.numbered(first.where("a > 20"), [F.col("quality"), S.stable_rank(F.lit("difficult"), "doc_id")], "b")
+    strata = first.where("a <= 20").select("doc_id", F.lit("rare").alias("stratum"))
+    return strata.unionByName(second.select("doc_id", F.when(F.col("b") <= 30, "difficult").otherwise("common").alias("stratum")))
