@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions import geometry as G
 from sieveline.operators import aggregates as A
+from sieveline.operators import curves, spatial
 from sieveline.operators import matching as M
 from sieveline.operators.ledger import small_target
 from sieveline.plans.catalog import register, table
@@ -309,3 +310,60 @@ def fused_provenance(spark: SparkSession, d: str) -> DataFrame:
     every = _two_models(spark, d).select("image", F.concat("baseline", "candidate").alias("boxes"))
     full, crop = F.filter("boxes", lambda b: b["view"] == 0), F.filter("boxes", lambda b: b["view"] > 0)
     return every.withColumn("b", F.explode("boxes")).select("image", "b.event_id", M.provenance(F.col("b"), full, crop).alias("source"))
+
+
+#: Four scenes that hold all boxes, on strips that grow with the table; every 500th box is large.
+STRIPS = """
+    WITH s AS (SELECT event_id, (event_id % 4)::INT AS class_id, (event_id * 3 + event_id * 7919 % 997)::DOUBLE AS x1, (event_id * 53 % 3000)::DOUBLE AS y1,
+                      CASE WHEN event_id % 500 = 7 THEN 4000 ELSE 40 + event_id * 29 % 160 END::DOUBLE AS w, CASE WHEN event_id % 500 = 7 THEN 3000 ELSE 40 + event_id * 31 % 140 END::DOUBLE AS h FROM events),
+    boxes AS (SELECT event_id, class_id, x1, y1, x1 + w AS x2, y1 + h AS y2 FROM s)
+"""
+
+
+def strips(spark: SparkSession, d: str) -> DataFrame:
+    e = F.col("event_id")
+    x, y, large = e * 3 + e * 7919 % 997, e * 53 % 3000, e % 500 == 7
+    corners = {"x1": x, "y1": y, "x2": x + F.when(large, 4000).otherwise(40 + e * 29 % 160), "y2": y + F.when(large, 3000).otherwise(40 + e * 31 % 140)}
+    return table(spark, d, "events").select("event_id", (e % 4).cast("int").alias("class_id"), *[c.cast("double").alias(n) for n, c in corners.items()], (e * 71 % 997 / F.lit(997.0)).alias("confidence"), (e % 3).cast("int").alias("view"))
+
+
+@register("dense_box_pairs", f"{STRIPS} SELECT a.event_id AS a, b.event_id AS b, round({_IOU}, 6) AS iou FROM boxes a JOIN boxes b ON a.class_id = b.class_id AND a.event_id < b.event_id AND a.x1 < b.x2 AND b.x1 < a.x2 WHERE {_IOU} >= 0.25")
+def dense_box_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps in scenes that hold a quarter of all boxes each."""
+    side = lambda n: strips(spark, d).select("class_id", F.col("event_id").alias(n), F.struct("x1", "y1", "x2", "y2").alias(f"{n}_box"))
+    met = spatial.overlapping(side("a"), side("b"), ["class_id"], "a_box", "b_box", 0.25).where("a < b")
+    return met.select("a", "b", F.round(G.iou(F.col("a_box"), F.col("b_box")), 6).alias("iou"))
+
+
+@register("dense_suppression")
+def dense_suppression(spark: SparkSession, d: str) -> DataFrame:
+    """Suppression in the same scenes, in rounds over all of them."""
+    return spatial.suppress(strips(spark, d).withColumn("row", F.col("event_id")), ["class_id"]).select("class_id", "event_id")
+
+
+_MAP = f"""{BOXES},
+    p AS (SELECT image, event_id AS p, confidence, CASE WHEN event_id % 11 = 0 THEN (class_id + 1) % 4 ELSE class_id END AS class_id, x1 + event_id % 9 * 8 AS x1, y1, x2 + event_id % 9 * 8 AS x2, y2 FROM boxes WHERE event_id % 7 <> 0),
+    best AS (SELECT b.class_id, b.p, b.confidence, a.event_id AS t, {_IOU} AS iou FROM boxes a JOIN p b ON a.image = b.image AND a.class_id = b.class_id WHERE {_IOU} >= 0.5 QUALIFY row_number() OVER (PARTITION BY b.p ORDER BY {_IOU} DESC, a.event_id) = 1),
+    levels AS (SELECT unnest([0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95]::DOUBLE[]) AS least),
+    hit AS (SELECT least, p FROM best, levels WHERE iou >= least QUALIFY row_number() OVER (PARTITION BY t, least ORDER BY confidence DESC, p) = 1),
+    n AS (SELECT class_id, count(*) AS targets FROM boxes GROUP BY class_id),
+    placed AS (SELECT class_id, p, row_number() OVER (PARTITION BY class_id ORDER BY confidence DESC, image, p) AS place FROM p),
+    k AS (SELECT class_id, least, place, row_number() OVER (PARTITION BY class_id, least ORDER BY place) AS k FROM placed JOIN hit USING (p)),
+    f AS (SELECT class_id, max(2.0::DOUBLE * k / (place + targets)) AS f1 FROM k JOIN n USING (class_id) WHERE least = 0.5 GROUP BY class_id),
+    top AS (SELECT class_id, least, r, max(k::DOUBLE / place) AS best FROM k JOIN n USING (class_id), range(101) g(r) WHERE 100 * k >= r * targets GROUP BY ALL),
+    ap AS (SELECT class_id, least, sum(best) / 101 AS ap FROM top GROUP BY ALL),
+    c AS (SELECT class_id, targets, (SELECT count(*) FROM p WHERE p.class_id = n.class_id) AS predictions, coalesce((SELECT ap FROM ap WHERE least = 0.5 AND ap.class_id = n.class_id), 0) AS map50, coalesce((SELECT ap FROM ap WHERE least = 0.75 AND ap.class_id = n.class_id), 0) AS map75, coalesce((SELECT sum(ap) / 10 FROM ap WHERE ap.class_id = n.class_id), 0) AS map50_95, coalesce(f1, 0) AS f1 FROM n LEFT JOIN f USING (class_id)),
+    every AS (SELECT class_id, targets, predictions, map50, map75, map50_95, f1 FROM c UNION ALL SELECT NULL, sum(targets)::BIGINT, sum(predictions)::BIGINT, avg(map50), avg(map75), avg(map50_95), avg(f1) FROM c)
+    SELECT class_id, targets, predictions, round(map50, 9) AS map50, round(map75, 9) AS map75, round(map50_95, 9) AS map50_95, round(f1, 9) AS f1 FROM every WHERE targets IS NOT NULL
+"""
+
+
+@register("mean_average_precision", _MAP)
+def mean_average_precision(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions are the boxes moved by up to 64 pixels, a seventh missing, some of another class."""
+    rows, move = boxes(spark, d), F.col("event_id") % 9 * 8
+    targets = rows.withColumn("t", F.col("event_id"))
+    moved = {"p": F.col("event_id"), "x1": F.col("x1") + move, "x2": F.col("x2") + move, "class_id": F.when(F.col("event_id") % 11 == 0, (F.col("class_id") + 1) % 4).otherwise(F.col("class_id"))}
+    found = curves.average_precision(rows.where("event_id % 7 <> 0").withColumns(moved), targets, ["image"])
+    ap = lambda level: F.get("ap", F.lit(curves.LEVELS.index(level)))
+    return found.select("class_id", "targets", "predictions", *[F.round(c, 9).alias(n) for n, c in (("map50", ap(0.5)), ("map75", ap(0.75)), ("map50_95", F.col("mean_ap")), ("f1", F.col("f1")))])
