@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -290,25 +291,38 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str =
     ties to the smaller id.
 
     Null, empty and zero vectors, vectors that hold nulls or non-finite components,
-    and null ids take no part; nor do vectors of other lengths than the commonest
-    (of equally common ones, the longest). Rows that repeat count once; of several
-    vectors of an id the best score counts. An empty table gives no rows.
+    and null ids take no part. Vectors of different lengths have no product: each length
+    has an index for itself, and a query's candidates are those of its length. Rows
+    that repeat count once; of several vectors of an id the best score counts, over
+    all of the query's vectors and lengths. An empty table gives no rows.
     """
     spark = vectors.sparkSession
     kind = "array<float>" if dict(vectors.dtypes)[vector_col] == "array<float>" else "array<double>"
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast(kind).alias("v"), is_query.alias("asks"))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & _finite(F.col("v")))
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if sizes is None:
+    lengths = sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
+    if not lengths:
         return spark.createDataFrame([], ANSWERS)
-    rows = rows.where(F.size("v") == sizes["d"])
+    if len(lengths) > 1:
+        rows = stored(rows, "vectors")
+    found = [_answers(rows.where(F.size("v") == d) if len(lengths) > 1 else rows, d, kind, k) for d in lengths]
+    each = reduce(DataFrame.unionByName, found)
+    if len(found) > 1:
+        each = each.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return each.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _answers(rows: DataFrame, dims: int, kind: str, k: int) -> DataFrame:
+    """query_id, vec_id and score of the nearest found, among them the k nearest, for rows (id, v, asks) of one length."""
+    spark = rows.sparkSession
     alike = Window.partitionBy("v").orderBy("id")
     classes = rows.select("id", "v").withColumn("r", F.dense_rank().over(alike)).where(F.col("r") <= k + 1).groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids"))
     # a class is named by its least id, and by a hash where ids have several vectors
     classes = stored(classes.select(F.xxhash64("v").alias("cid"), "ids", "v"), "classes")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, top = classes.agg(F.count("*"), F.max(norm)).first()
-    bound = max(1, min(max(SAMPLE, PER_LIST * (n // LIST_SIZE)), SAMPLE_BYTES // (8 * sizes["d"])))
+    bound = max(1, min(max(SAMPLE, PER_LIST * (n // LIST_SIZE)), SAMPLE_BYTES // (8 * dims)))
     sample = matrix(classes.orderBy("cid").limit(bound).select("v").toArrow().column("v"))
     shared = spark.sparkContext.broadcast(fit(sample, n, top, k))
 
@@ -397,5 +411,4 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str =
     answers = dealt.groupBy("shard", "block").cogroup(blocked.groupBy("shard", "block")).applyInArrow(scan, "query_id long, cid long, ids array<long>, score double")
     by_query = Window.partitionBy("query_id")
     best = answers.withColumn("r", F.dense_rank().over(by_query.orderBy(F.desc("score"), F.col("ids")[0], "cid"))).where(F.col("r") <= k + 1)
-    each = best.select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return each.withColumn("rank", F.row_number().over(by_query.orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -7,10 +7,10 @@ control byte, and a table lookup decodes whole shards with numpy.
 
 A shard (``shard-000000007-000000.ids``), little-endian::
 
-    8 bytes   magic  b"SVLIDS01"
-    5 x u64   documents, ids, control bytes, data bytes, vocabulary entries
+    8 bytes   magic  b"SVLIDS02"
+    6 x u64   documents, those without an id (they stand first), ids, control bytes, data bytes, vocabulary entries
     u32 each  the ranks' ids (rank -> id), so that a shard reads on its own
-    i64 each  doc_id; the smallest i64 stands for a null id
+    i64 each  doc_id; 0 where there is none
     u64 each  ids of the document
     control bytes, then data bytes
 
@@ -36,8 +36,7 @@ from pyspark.sql import functions as F
 from sieveline.llm.common import scratch_path, small_batches, stored
 from sieveline.llm.tokens import default_path, text_blocks, tokenizer
 
-MAGIC = b"SVLIDS01"
-NULL_ID = -(2**63)
+MAGIC = b"SVLIDS02"
 #: Ids of a shard, about; what a task holds at once follows it.
 SHARD_IDS = 4_000_000
 
@@ -68,24 +67,24 @@ def decode_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def shard_bytes(doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, rank_of: np.ndarray, id_of: np.ndarray) -> bytes:
+def shard_bytes(doc_ids: np.ndarray, nulls: int, counts: np.ndarray, ids: np.ndarray, rank_of: np.ndarray, id_of: np.ndarray) -> bytes:
     control, data = encode_ranks(rank_of[ids])
-    head = MAGIC + struct.pack("<5Q", len(doc_ids), len(ids), len(control), len(data), len(id_of))
+    head = MAGIC + struct.pack("<6Q", len(doc_ids), nulls, len(ids), len(control), len(data), len(id_of))
     return b"".join([head, id_of.astype("<u4").tobytes(), doc_ids.astype("<i8").tobytes(), counts.astype("<u8").tobytes(), control, data])
 
 
-def read_shard(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc_ids, ids per document, all ids."""
+def read_shard(blob: bytes) -> tuple[np.ndarray, int, np.ndarray, np.ndarray]:
+    """doc_ids, how many of them (the first ones) are null, ids per document, all ids."""
     if blob[:8] != MAGIC:
         raise ValueError("not a token id shard")
-    docs, n, controls, size, entries = struct.unpack_from("<5Q", blob, 8)
-    at = 48
+    docs, nulls, n, controls, size, entries = struct.unpack_from("<6Q", blob, 8)
+    at = 56
     id_of = np.frombuffer(blob, "<u4", entries, at)
     doc_ids = np.frombuffer(blob, "<i8", docs, at := at + 4 * entries)
     counts = np.frombuffer(blob, "<u8", docs, at := at + 8 * docs)
     control = np.frombuffer(blob, np.uint8, controls, at := at + 8 * docs)
     data = np.frombuffer(blob, np.uint8, size, at + controls)
-    return doc_ids, counts, id_of[decode_ranks(control, data, n)]
+    return doc_ids, nulls, counts, id_of[decode_ranks(control, data, n)]
 
 
 def filesystem(uri: str):
@@ -171,14 +170,14 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str | None = None
 
         shard = TaskContext.get().partitionId()
         parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        number = 0
+        number = nulls = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal parts, number
+            nonlocal parts, number, nulls
             doc_ids, n, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
             name = f"shard-{shard:09d}-{number:06d}.ids"
-            write_atomically(f"{folder}/{name}", shard_bytes(doc_ids, n, ids, rank_of, id_of))
-            parts, number = [], number + 1
+            write_atomically(f"{folder}/{name}", shard_bytes(doc_ids, nulls, n, ids, rank_of, id_of))
+            parts, number, nulls = [], number + 1, 0
             return pa.RecordBatch.from_arrays([pa.array([name]), *[pa.array([x], pa.int64()) for x in (shard, number - 1, len(doc_ids), len(ids))]], ["file", "shard", "number", "docs", "ids"])
 
         held = 0
@@ -187,7 +186,8 @@ def write_ids(docs: DataFrame, folder: str, *, tokenizer_path: str | None = None
             if not len(n):
                 continue
             ids = unpacked_all(batch)
-            parts.append((pc.fill_null(batch.column("doc_id"), NULL_ID).to_numpy(), n, ids))
+            parts.append((pc.fill_null(batch.column("doc_id"), 0).to_numpy(), n, ids))
+            nulls += batch.column("doc_id").null_count
             held += len(ids)
             if held >= 2 * shard_ids:  # a range that holds more than its share
                 yield flush()
@@ -213,13 +213,12 @@ def read_ids(spark: SparkSession, folder: str, shards: list[tuple[str, int, int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri, start in zip(batch.column("uri").to_pylist(), batch.column("start").to_pylist(), strict=True):
-                doc_ids, counts, ids = read_shard(read_file(uri))
+                doc_ids, nulls, counts, ids = read_shard(read_file(uri))
                 counts = counts.astype(np.int64)
                 ends = np.cumsum(counts)
                 raw = memoryview(np.ascontiguousarray(ids, "<u4").view(np.uint8))
                 crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-                nulls = doc_ids == NULL_ID
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, mask=nulls), pa.array(start + ends - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, mask=np.arange(len(doc_ids)) < nulls), pa.array(start + ends - counts), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     if not rows:

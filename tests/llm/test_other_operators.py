@@ -48,6 +48,26 @@ def test_nearest_returns_all_if_there_are_fewer(spark):
     assert ann.nearest(vectors(spark, [(1, [1.0], 0), (2, [1.0], 0)]), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_nearest_of_several_lengths(spark):
+    """Each length for itself; a query with vectors of two lengths has candidates of both."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in rng.normal(size=(2, 4, 7)[i % 3]).astype(np.float32)], 0) for i in range(80)] + [(20, [0.5, 0.25, 1.0, 2.0], 0)]
+    got = {}
+    for r in ann.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], round(r["score"], 9)))
+    want = {}
+    for q, x, _ in rows:
+        if q % 20 == 0:
+            for i, y, _ in rows:
+                if i != q and len(x) == len(y):
+                    score = round(float(np.dot(np.array(x), np.array(y))), 9)
+                    want.setdefault(q, {})[i] = max(score, want.get(q, {}).get(i, -np.inf))
+    assert set(got) == {0, 20, 40, 60}
+    for q, found in got.items():
+        best = sorted(want[q].items(), key=lambda x: (-x[1], x[0]))[:20]
+        assert sorted(found) == [(n, i, s) for n, (i, s) in enumerate(best, 1)]
+
+
 def test_recall_over_many_lists(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST_SIZE", 40)
     monkeypatch.setattr(ann, "SHARD", 300)

@@ -97,6 +97,15 @@ def test_token_files_of_an_empty_table(spark):
     assert binary_ids.round_trip(docs(spark)).collect() == []
 
 
+def test_ids_keep_the_smallest_id_and_nulls_apart(spark):
+    rows = [(-(2**63), "least"), (None, "none"), (0, "zero"), (None, None), (2**63 - 1, "most"), (-(2**63), "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shard_ids in (1, 4_000_000):
+        got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"]) for r in binary_ids.round_trip(df, shard_ids=shard_ids).collect())
+        assert [x[:2] for x in got] == [(False, 0), (False, 0), (True, -(2**63)), (True, -(2**63)), (True, 0), (True, 2**63 - 1)]
+        assert got[0][2] == 1 and got[1][2] > 1
+
+
 def check_packing(rows, texts, window=2048):
     ids = {i: direct(t, 1) for i, t in texts.items()}
     pieces, sequences = {}, {}
