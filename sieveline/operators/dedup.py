@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sieveline.functions.scalars import SEED, UNIT, dot, stable_rank
 from sieveline.operators import metric
 from sieveline.operators.graph import components
-from sieveline.operators.joins import cosine_pairs, redealt
+from sieveline.operators.joins import class_pairs, cosine_pairs, hamming_pairs, redealt
+from sieveline.session import written
 
 
 def exact_representatives(df: DataFrame, key: Column, identity: str) -> DataFrame:
@@ -113,3 +114,49 @@ def calibration_sample(df: DataFrame, vector: str, identity: str, bands: list[tu
     counted = once.withColumn("_at", F.row_number().over(Window.orderBy(*order)))
     kept = counted.where((F.col("kind") != "similar") | (F.col("_at") <= minimum // 2))
     return kept.orderBy(*order).limit(minimum).select("left_id", "right_id", "cosine", named.alias("band"), "kind")
+
+
+def composition_faults(rows: DataFrame, vectors: DataFrame, identity: str, digests: list[str], *, vector: str = "embedding", model: str = "model", least: float = 0.95) -> DataFrame:
+    """kind, left and right (text): everything for which the audit of a final composition refuses it.
+
+    duplicate_<digest>: a row and the least other one of equal digest (blanks and nulls are none);
+    missing_vector: a row that ``vectors`` says nothing usable of; several_vectors: a row with more
+    than one; several_models: a row whose vector comes from another model than most rows' (the
+    lesser name at ties); similar: rows whose vectors' inner product reaches ``least``.
+    Identities are longs. Vectors of rows outside the composition take no part, nor do rows without an identity.
+    """
+    row = lambda df, kind, left, right: df.select(F.lit(kind).alias("kind"), left.cast("string").alias("left"), right.cast("string").alias("right"))
+    known = rows.where(F.col(identity).isNotNull())
+    parts = []
+    for digest in digests:
+        marked = known.select(F.col(identity).alias("id"), F.nullif(F.trim(F.col(digest)), F.lit("")).alias("d"))
+        parts.append(row(class_pairs(marked, "d", "id"), f"duplicate_{digest}", F.col("left_id"), F.col("right_id")))
+    usable = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & (F.size(vector) > 0)
+    held = vectors.where(usable).join(known.select(F.col(identity).alias("id")).distinct(), vectors[identity] == F.col("id"), "left_semi")
+    held = written(held.select(F.col(identity).cast("long").alias("id"), F.col(vector).alias("v"), F.col(model).alias("m")), "audited")
+    parts.append(row(known.join(held, F.col(identity) == F.col("id"), "left_anti"), "missing_vector", F.col(identity), F.lit(None)))
+    parts.append(row(held.groupBy("id").agg(F.count("*").alias("n")).where("n > 1"), "several_vectors", F.col("id"), F.col("n")))
+    named = F.coalesce("m", F.lit(""))
+    most = held.groupBy(named.alias("most")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "most").limit(1).select("most")
+    parts.append(row(held.join(F.broadcast(most), named != F.col("most")), "several_models", F.col("id"), F.col("m")))
+    # copies of a vector are one class in the join, each linked to its first, so that they don't give all their pairs
+    copies = class_pairs(held.where(dot("v", "v") >= least), "v", "id")
+    first = held.groupBy("v").agg(F.min("id").alias("id"))
+    near = metric.similar_pairs(metric.Blocks(first, "v", "id"), least).select("left_id", "right_id").where("left_id <> right_id").unionByName(copies.select("left_id", "right_id"))
+    parts.append(row(near.distinct(), "similar", F.col("left_id"), F.col("right_id")))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every
+
+
+def perceptual_candidates(rows: DataFrame, bits: str, identity: str, most: int, width: int = 64) -> DataFrame:
+    """One row, candidates: how many pairs of rows differ in at most ``most`` bits. The pairs of two classes
+    of equal bits are the product of their sizes, so copies are counted and not paired."""
+    held = rows.where(F.col(bits).isNotNull())
+    classes = held.groupBy(F.col(bits).alias("bits")).agg(F.min(identity).alias("id"), F.count("*").alias("n"))
+    near = hamming_pairs(classes, "bits", "id", most, width)
+    size = lambda n: classes.select(F.col("id").alias(f"{n}_id"), F.col("n").alias(f"{n}_n"))
+    between = near.join(size("left"), "left_id").join(size("right"), "right_id").select((F.col("left_n") * F.col("right_n")).alias("pairs"))
+    inside = classes.select(F.expr("n * (n - 1) div 2").alias("pairs"))
+    return between.unionByName(inside).agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("candidates"))

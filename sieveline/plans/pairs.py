@@ -162,3 +162,35 @@ def paired_differences(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
     found = paired_bootstrap(rows, "source", F.col("quality"), F.col("toxic"))
     return found.select(*[F.round(c, 9).alias(c) for c in ("difference", "low", "high")], "resamples")
+
+
+_COMPOSED = """
+    WITH r AS (SELECT doc_id, sha256(text) AS source_sha256, sha256(lower(trim(text))) AS decoded_sha256 FROM documents WHERE doc_id IS NOT NULL),
+    v AS (SELECT vec_id, embedding::DOUBLE[] AS v, CASE WHEN vec_id % 97 = 3 THEN 'second' ELSE 'first' END AS m FROM embeddings WHERE vec_id IN (SELECT doc_id FROM r) AND embedding IS NOT NULL)
+"""
+
+
+@register(
+    "composition_audit",
+    f"""{_COMPOSED}
+    SELECT 'duplicate_source_sha256' AS kind, (min(doc_id) OVER (PARTITION BY source_sha256))::VARCHAR AS "left", doc_id::VARCHAR AS "right" FROM r WHERE source_sha256 IS NOT NULL QUALIFY doc_id > min(doc_id) OVER (PARTITION BY source_sha256)
+    UNION ALL SELECT 'duplicate_decoded_sha256', (min(doc_id) OVER (PARTITION BY decoded_sha256))::VARCHAR, doc_id::VARCHAR FROM r WHERE decoded_sha256 IS NOT NULL QUALIFY doc_id > min(doc_id) OVER (PARTITION BY decoded_sha256)
+    UNION ALL SELECT 'missing_vector', doc_id::VARCHAR, NULL FROM r WHERE doc_id NOT IN (SELECT vec_id FROM v)
+    UNION ALL SELECT 'several_models', vec_id::VARCHAR, m FROM v WHERE m = 'second'
+    UNION ALL SELECT DISTINCT 'similar', a.vec_id::VARCHAR, b.vec_id::VARCHAR FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE list_dot_product(a.v, b.v) >= 0.4
+    """,
+)
+def composition_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The composition is all documents; the vectors of their ids come from two models."""
+    rows = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("source_sha256"), F.sha2(F.lower(F.trim("text")), 256).alias("decoded_sha256"))
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", F.when(F.col("vec_id") % 97 == 3, "second").otherwise("first").alias("model"))
+    return D.composition_faults(rows, vectors, "doc_id", ["source_sha256", "decoded_sha256"], least=0.4)
+
+
+@register(
+    "perceptual_candidates",
+    "WITH h AS (SELECT doc_id, ('0x' || substr(sha256(text), 1, 15))::BIGINT & 1152921504606846975 AS b FROM documents WHERE text IS NOT NULL), k AS (SELECT b, count(*) AS n FROM h GROUP BY b) SELECT coalesce((SELECT sum(n * (n - 1) // 2) FROM k), 0)::BIGINT + coalesce((SELECT sum(x.n * y.n) FROM k x JOIN k y ON x.b < y.b WHERE bit_count(xor(x.b, y.b)) <= 6), 0)::BIGINT AS candidates",
+)
+def perceptual_candidates(spark: SparkSession, d: str) -> DataFrame:
+    bits = table(spark, d, "documents").select("doc_id", F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("bigint").alias("b"))
+    return D.perceptual_candidates(bits, "b", "doc_id", 6, 60)
