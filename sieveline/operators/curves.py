@@ -37,17 +37,18 @@ def hits(predictions: DataFrame, targets: DataFrame, keys: list[str], levels: li
     return at.select(*scene, "p", F.transform(F.sequence(F.lit(0), F.lit(len(levels) - 1)), lambda i: F.array_contains("at", i)).alias("hit"))
 
 
-def _placed(rows: DataFrame, order: list[str], levels: int) -> DataFrame:
-    """class_id, confidence, place (from 1 in the class) and k0, k1, ...: the true ones up to it at each level."""
+def _placed(rows: DataFrame, order: list[str], levels: int, known: DataFrame) -> DataFrame:
+    """class_id, targets (from ``known``), confidence, place (from 1 in the class) and k0, k1, ...: the true ones up to it
+    at each level. Rows meet what is said of their class by class and range, so a large class isn't one task."""
     flags = [F.coalesce(F.get("hit", F.lit(i)), F.lit(False)).cast("long").alias(f"f{i}") for i in range(levels)]
     laid = rows.select("class_id", "confidence", *order, *flags).repartitionByRange("class_id", F.desc("confidence"), *order).sortWithinPartitions("class_id", F.desc("confidence"), *order)
     laid = written(laid.withColumn("_at", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_at", 33)), "curves")
     sums = laid.groupBy("class_id", "_range").agg(F.count("*").alias("n"), *[F.sum(f"f{i}").alias(f"s{i}") for i in range(levels)])
     before = Window.partitionBy("class_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    begun = sums.select("class_id", "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ["n", *[f"s{i}" for i in range(levels)]]])
+    begun = sums.select("class_id", "_range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}") for c in ["n", *[f"s{i}" for i in range(levels)]]]).join(known, "class_id")
     inside = Window.partitionBy("class_id", "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     summed = laid.withColumns({"place": F.count("*").over(inside), **{f"k{i}": F.sum(f"f{i}").over(inside) for i in range(levels)}})
-    return summed.join(begun, ["class_id", "_range"]).select("class_id", "confidence", (F.col("place") + F.col("_n")).alias("place"), *[f"f{i}" for i in range(levels)], *[(F.col(f"k{i}") + F.col(f"_s{i}")).alias(f"k{i}") for i in range(levels)])
+    return summed.join(begun, ["class_id", "_range"]).select("class_id", "targets", "confidence", (F.col("place") + F.col("_n")).alias("place"), *[f"f{i}" for i in range(levels)], *[(F.col(f"k{i}") + F.col(f"_s{i}")).alias(f"k{i}") for i in range(levels)])
 
 
 def average_precision(predictions: DataFrame, targets: DataFrame, keys: list[str], levels: list[float] = LEVELS) -> DataFrame:
@@ -65,7 +66,7 @@ def average_precision(predictions: DataFrame, targets: DataFrame, keys: list[str
     found = hits(sure, targets, keys, levels).select("hit", *[F.col(c).alias(f"_n{i}") for i, c in enumerate(named)])
     same = [F.col(c).eqNullSafe(F.col(f"_n{i}")) for i, c in enumerate(named)]
     rows = sure.select(*named, "confidence").join(found, same, "left")
-    placed = _placed(rows.select("class_id", "confidence", *keys, "p", "hit"), [*keys, "p"], len(levels)).join(known, "class_id")
+    placed = _placed(rows.select("class_id", "confidence", *keys, "p", "hit"), [*keys, "p"], len(levels), known)
     precision = F.col("k0") / F.col("place")
     f1 = 2 * F.col("k0") / (F.col("place") + F.col("targets"))
     best = F.max(F.struct(f1.alias("f1"), (-F.col("place")).alias("place"), precision.alias("precision"), (F.col("k0") / F.col("targets")).alias("recall"), F.col("confidence").alias("confidence"))).alias("best")
