@@ -200,6 +200,32 @@ def test_urls_of_many_shared_parts(spark):
                 assert any(m["antecedent"] == [t] and m["verdict"] == v for m in mined)
 
 
+@pytest.mark.parametrize("most_tokens", [8, 2, 12])
+def test_rules_of_urls_of_twelve_tokens_equal_brute_force(spark, most_tokens):
+    """All antecedents count, of the least telling tokens too: only k10 and k11 together, or neither, mean
+    block, and ten other tokens tell more alone."""
+    rng = np.random.default_rng(5)
+    labelled = []
+    for _ in range(240):
+        bad = rng.random() < 0.5
+        pair = [bool(rng.random() < 0.5)] * 2 if bad else [False, True][:: rng.choice([1, -1])]
+        on = [rng.random() < (0.8 if bad else 0.6) for _ in range(10)] + pair
+        labelled.append(([f"k{j:02}" for j in range(12) if on[j]], "block" if bad else "allow"))
+    options = {"support": 0.05, "confidence": 0.6, "lift": 1.1, "most_tokens": most_tokens}
+    got = {(tuple(r["antecedent"]), r["verdict"]): r["confidence"] for r in url_rules.mine(spark.createDataFrame(labelled, "tokens array<string>, verdict string"), **options).collect()}
+    masks = np.array([sum(1 << int(t[1:]) for t in tokens) for tokens, _ in labelled])
+    bad = np.array([v == "block" for _, v in labelled])
+    want = {}
+    for a in sorted(range(1, 1 << 12), key=int.bit_count):
+        held = masks & a == a
+        for verdict, own in (("allow", ~bad), ("block", bad)):
+            n = int((held & own).sum())
+            if n / 240 >= 0.05 and (rate := n / int(held.sum())) >= 0.6 and rate / own.mean() >= 1.1 and not any(b & a == b and v == verdict and c >= rate for (b, v), c in want.items()):
+                want[a, verdict] = rate
+    assert max(int.bit_count(a) for a, _ in want) > 2 and (0b11 << 10, "block") in want
+    assert got == {(tuple(f"k{j:02}" for j in range(12) if a >> j & 1), v): c for (a, v), c in want.items()}
+
+
 def test_rules_are_mined_from_all_labelled_pages(spark):
     rows = spark.range(60_000).select(F.when(F.col("id") < 54_000, F.array(F.lit("h:hot"))).otherwise(F.array(F.lit("h:rare"))).alias("tokens"), F.when(F.col("id") < 54_000, "allow").otherwise("block").alias("verdict"))
     got = {(*r["antecedent"], r["verdict"]): (round(r["support"], 9), r["confidence"]) for r in url_rules.mine(rows).collect()}
