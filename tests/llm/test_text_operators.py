@@ -607,3 +607,31 @@ def test_near_copies_of_a_dense_family_in_any_partitioning(spark, seed):
     assert all(want[i] == want[r] for i, r in found[0].items())
     dropped = sum(i != r for i, r in enumerate(want))
     assert sum(i != r for i, r in found[0].items()) >= 0.95 * dropped
+
+
+@pytest.mark.parametrize("frequent", [True, False])
+def test_near_copies_of_a_dense_family_are_all_linked(spark, monkeypatch, frequent):
+    """The groups are those of all pairs, for any choice of shingles that come last."""
+    if not frequent:
+        monkeypatch.setattr(similar, "FREQUENT", 1 << 40)
+    rng = np.random.default_rng(7)
+    texts = [*ODD]
+    for size, most in ((60, 3), (120, 5), (250, 9)):
+        base = rng.choice([f"w{i}" for i in range(4000)], size)
+        for _ in range(120):
+            copy = base.copy()
+            copy[rng.choice(size, rng.integers(1, most + 1), replace=False)] = f"x{rng.integers(4000)}"
+            texts.append(" ".join(copy))
+    got = {r["doc_id"] - 1: r["component_id"] - 1 for r in similar.similar_groups(docs(spark, *texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_groups(texts)
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(8)
+    frequent = np.arange(0, 400, 7, dtype=np.uint64)
+    for _ in range(300):
+        a = set(rng.choice(400, int(rng.integers(1, 60)), replace=False).tolist())
+        b = set(list(a)[: int(len(a) * rng.uniform(0.7, 1)) + 1]) | set(rng.choice(400, int(rng.integers(0, 8))).tolist())
+        value = np.concatenate([np.sort(np.array(list(x), np.uint64)) for x in (a, b)])
+        x, y = map(set, similar.prefixes(value, np.array([len(a), len(a) + len(b)]), 0.8, frequent).to_pylist())
+        assert len(a & b) < 0.8 * len(a | b) - 1e-9 or x & y
