@@ -30,6 +30,8 @@ from sieveline.llm.tokens import default_path, text_blocks, tokenizer
 WINDOW = 2048
 #: Ids of a shard, about.
 SHARD_IDS = 2_000_000
+#: Neighbours of a seed that are put in order first; of the others only those that still fit are.
+FIRST = 64
 #: Terms that one document in so many has are rows of a matrix; the others are posting lists.
 WIDE = 8
 K1, B = 1.2, 0.75
@@ -150,12 +152,11 @@ class Index:
         held = common[slot]
         self.wide[self.row[slot[held]], self.doc[held]] = self.weight[held]
 
-    def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
-        """Unused documents that share a term with the seed, best first by the sum over
-        all terms, ties in shard order."""
+    def scores(self, seed: int, free: np.ndarray) -> np.ndarray:
+        """Of each document the sum over all of the seed's terms; 0 if it is used."""
         terms = self.terms[self.of[seed] : self.of[seed + 1]]
         if not len(terms):
-            return terms
+            return np.zeros(self.size)
         rows = self.row[terms]
         lists = [slice(a, b) for a, b in zip(self.first[terms[rows < 0]].tolist(), self.last[terms[rows < 0]].tolist(), strict=True)]
         scores = np.zeros(self.size)
@@ -166,8 +167,50 @@ class Index:
             asked[rows[rows >= 0]] = 1
             scores += asked @ self.wide
         scores[~free] = 0
-        found = np.flatnonzero(scores)
-        return found[np.argsort(-scores[found], kind="stable")]
+        return scores
+
+    def neighbours(self, seed: int, free: np.ndarray) -> np.ndarray:
+        """Unused documents that share a term with the seed, best first by the sum over
+        all terms, ties in shard order."""
+        return _best_first(scores := self.scores(seed, free), np.flatnonzero(scores))
+
+
+def _best_first(scores: np.ndarray, found: np.ndarray) -> np.ndarray:
+    return found[np.argsort(-scores[found], kind="stable")]
+
+
+def _filling(scores: np.ndarray, left: np.ndarray, space: int) -> tuple[list[int], int]:
+    """The neighbours that fill the space, best first, each whole where it fits; and the best that
+    doesn't fit in its turn, else -1."""
+    taken: list[int] = []
+    spare = -1
+
+    def go_through(order: np.ndarray) -> None:
+        nonlocal space, spare
+        sizes, at = left[order], 0
+        while space and at < len(order):
+            fits = sizes[at:] <= space
+            step = int(fits.argmax())
+            if spare < 0 and not fits[0]:
+                spare = int(order[at])
+            if not fits[step]:
+                return
+            at += step
+            taken.append(int(order[at]))
+            space -= int(sizes[at])
+            at += 1
+
+    found = np.flatnonzero(scores)
+    if len(found) > FIRST:
+        held = scores[found]
+        above = held >= np.partition(held, len(held) - FIRST)[len(held) - FIRST]
+        go_through(_best_first(scores, found[above]))
+        found = found[~above]
+    if space and len(found):
+        # those beyond the space can't come in any more; they count only as the first that doesn't fit
+        go_through(_best_first(scores, found[left[found] <= space] if spare >= 0 else found))
+    return taken, spare
+
 
 
 def pack(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
@@ -201,15 +244,10 @@ def pack(docs: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WIN
             free[d] = left[d] > 0
 
         take(seed, min(int(left[seed]), space))
-        spare = -1
         if space:
-            for d in index.neighbours(seed, free).tolist():
-                if left[d] <= space:
-                    take(d, int(left[d]))
-                    if not space:
-                        break
-                elif spare < 0:
-                    spare = d
+            taken, spare = _filling(index.scores(seed, free), left, space)
+            for d in taken:
+                take(d, int(left[d]))
             at = cursor
             while space:
                 if spare < 0 or not free[spare]:

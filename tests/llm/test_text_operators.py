@@ -635,3 +635,18 @@ def test_prefixes_of_similar_sets_meet():
         value = np.concatenate([np.sort(np.array(list(x), np.uint64)) for x in (a, b)])
         x, y = map(set, similar.prefixes(value, np.array([len(a), len(a) + len(b)]), 0.8, frequent).to_pylist())
         assert len(a & b) < 0.8 * len(a | b) - 1e-9 or x & y
+
+
+def test_filling_in_two_steps_is_that_of_the_whole_order():
+    rng = np.random.default_rng(9)
+    for n in (0, 1, 5, 63, 64, 65, 400):
+        for most in (1, 3, 40, 3000):
+            scores, left, space = rng.integers(0, 30, n).astype(float), rng.integers(1, most + 1, n), int(rng.integers(1, 2048))
+            taken, spare, room = [], -1, space
+            for d in sorted(np.flatnonzero(scores).tolist(), key=lambda d: (-scores[d], d)):
+                if room and left[d] <= room:
+                    taken.append(d)
+                    room -= left[d]
+                elif room and spare < 0:
+                    spare = d
+            assert packing._filling(scores, left, space) == (taken, spare)
