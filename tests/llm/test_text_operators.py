@@ -637,6 +637,49 @@ def test_prefixes_of_similar_sets_meet():
         assert len(a & b) < 0.8 * len(a | b) - 1e-9 or x & y
 
 
+def test_parities_rule_out_no_pair_of_the_similarity(spark):
+    rng = np.random.default_rng(10)
+    sets = []
+    for n in (1, 5, 60, 64, 65, 130, 500, 1030):
+        base = rng.integers(0, 1 << 63, n)
+        for share in (0.0, 0.05, 0.1, 0.11, 0.2, 0.5):
+            sets += [base[int(n * share) :], np.append(base[int(n * share / 2) :], rng.integers(0, 1 << 63, int(n * share / 2)))]
+    sets = [set(x.tolist()) for x in sets if len(x)]
+    value = np.concatenate([np.array(list(x), np.uint64) for x in sets])
+    marks = similar.parities(value, np.cumsum([len(x) for x in sets])).to_pylist()
+    classes = spark.createDataFrame([(i, len(x), m) for i, (x, m) in enumerate(zip(sets, marks, strict=True))], "c long, n long, parity array<long>")
+    every = [(a, b) for b in range(len(sets)) for a in range(b)]
+    pairs = spark.createDataFrame([(a, b, a + b) for a, b in every], "a long, b long, bits long")
+    for similarity in (0.8, 0.3):
+        left = similar.left_open(pairs, classes, similarity).collect()
+        assert all(r["bits"] == r["a"] + r["b"] for r in left)
+        left = {(r["a"], r["b"]) for r in left}
+        assert {p for p in every if len(sets[p[0]] & sets[p[1]]) >= similarity * len(sets[p[0]] | sets[p[1]])} <= left
+        fit = {(a, b) for a, b in every if 32 < min(len(sets[a]), len(sets[b])) >= 0.8 * max(len(sets[a]), len(sets[b]))}
+        strange = {p for p in fit if not sets[p[0]] & sets[p[1]]}
+        assert similarity < 0.8 or (strange and not strange & left)
+
+
+def test_sets_are_read_for_few_pairs_below_the_similarity(spark, monkeypatch):
+    """Texts with one rare passage in common, and so shingles of their prefixes, aren't compared set by set;
+    before, each such pair carried a whole set through two shuffles."""
+    monkeypatch.setattr(similar, "FREQUENT", 1 << 40)
+    compared = []
+
+    def counted(pairs, sets, similarity, of=similar.verified):
+        compared.append(pairs.count())
+        return of(pairs, sets, similarity)
+
+    monkeypatch.setattr(similar, "verified", counted)
+    rng = np.random.default_rng(11)
+    passage = [f"p{i}" for i in range(30)]
+    texts = [" ".join([*passage, *[f"w{x}" for x in rng.integers(0, 100_000, 90)]]) for _ in range(60)]
+    texts += [texts[7] + " and one more"]
+    got = {r["doc_id"] - 1: r["component_id"] - 1 for r in similar.similar_groups(docs(spark, *texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_groups(texts)
+    assert sum(compared) < len(texts)
+
+
 def test_filling_in_two_steps_is_that_of_the_whole_order():
     rng = np.random.default_rng(9)
     for n in (0, 1, 5, 63, 64, 65, 400):
