@@ -36,9 +36,19 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back, for what several jobs read: the same
     rows in each of them, also after an executor is lost."""
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``written``, and the folder, for what ``removed`` takes away as soon as it has been read."""
     path = f"{shared_dir(df.sparkSession)}/sieveline/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> SparkSession:

@@ -680,6 +680,23 @@ def test_sets_are_read_for_few_pairs_below_the_similarity(spark, monkeypatch):
     assert sum(compared) < len(texts)
 
 
+def test_links_between_groups_give_the_components_of_all_links(spark):
+    """Links found later join the groups of the earlier ones and classes without a group; before, all links were searched again."""
+    from sieveline.operators.graph import components
+
+    rng = np.random.default_rng(12)
+    early, late = ([tuple(map(int, sorted(x))) for x in rng.integers(0, 300, (n, 2)) if x[0] != x[1]] for n in (120, 60))
+    roots = components(spark.createDataFrame(early, "a long, b long"))
+    of = {r["node"]: r["root"] for r in roots.collect()}
+    between = [(of.get(a, a), of.get(b, b)) for a, b in late]
+    links = spark.createDataFrame([x for x in between if x[0] != x[1]], "root_a long, root_b long")
+    want = sorted(map(tuple, components(spark.createDataFrame(early + late, "a long, b long")).collect()))
+    got = sorted(map(tuple, similar.linked_roots(roots, links).collect()))
+    alone = {x for link, ends in zip(late, between, strict=True) if ends[0] == ends[1] for x in link} - {n for n, _ in got}
+    assert not alone and got == want
+    assert similar.linked_roots(roots, links.limit(0)) is roots
+
+
 def test_filling_in_two_steps_is_that_of_the_whole_order():
     rng = np.random.default_rng(9)
     for n in (0, 1, 5, 63, 64, 65, 400):

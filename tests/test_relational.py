@@ -177,6 +177,28 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+@pytest.mark.parametrize(("links", "most"), [([(i % 7, 7 + i) for i in range(60)], 7), ([(i, i + 1) for i in range(40)], 40)])
+def test_components_take_few_tasks(spark, links, most):
+    """Links that are stars already need no round, and a round some three tasks a partition; before, a round took
+    sixteen and the last one was made twice. most: tasks in so many times the partitions."""
+    held, context = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}, spark.sparkContext
+    own = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        context.setJobGroup(group := f"components-{len(links)}", "")
+        found = components(spark.createDataFrame(links, "a long, b long").coalesce(1))
+        jobs = [context.statusTracker().getJobInfo(i) for i in context.statusTracker().getJobIdsForGroup(group)]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in own.items():
+            spark.conf.set(k, v)
+    stages = {i for job in jobs for i in job.stageIds}
+    tasks = sum(info.numCompletedTasks for i in stages if (info := context.statusTracker().getStageInfo(i)))
+    assert 0 < tasks <= most * 50
+    assert {r["node"]: r["root"] for r in found.collect()} == ({i: i % 7 if i < 7 else (i - 7) % 7 for i in range(67)} if most == 7 else {i: 0 for i in range(41)})
+
+
 def test_duplicate_groups(spark):
     rows = spark.createDataFrame([(i,) for i in range(6)], "id long")
     got = dedup.duplicate_groups(rows, spark.createDataFrame([(0, 3), (3, 5)], "left_id long, right_id long"), "id").collect()
