@@ -127,8 +127,9 @@ def vector_rows(fs: pafs.FileSystem, root: str, part: Rows) -> Iterator[pa.Recor
     try:
         if part.digest is not None and _digest(fs, path) != part.digest:
             raise Damaged("digest_mismatch")
-        with fs.open_input_file(path) as held, zipfile.ZipFile(held) as archive:
-            names, vectors = Member(archive, "identities.npy", 1), Member(archive, "embeddings.npy", 2)
+        # a file for each member: a seek may go from where the file is, which the other member's reads would move
+        with fs.open_input_file(path) as one, fs.open_input_file(path) as two, zipfile.ZipFile(one) as first, zipfile.ZipFile(two) as second:
+            names, vectors = Member(first, "identities.npy", 1), Member(second, "embeddings.npy", 2)
             if names.rows != vectors.rows or vectors.dtype.kind not in "fiu" or names.dtype.kind not in "USiu":
                 raise Damaged("shape")
             end = names.rows if part.end is None else part.end

@@ -93,3 +93,12 @@ def test_no_rows_mixed_lengths_and_repeats(spark, folder):
     mixed = spark.createDataFrame([("a", [1.0]), ("a", [1.0]), ("b", [1.0, 2.0]), ("", [3.0])], "identity string, embedding array<double>").coalesce(1)
     A.write_vector_archives(mixed, folder + "b")
     assert sorted((r.identity, r.embedding) for r in A.vector_archives(spark, folder + "b").collect()) == [("", [3.0]), ("a", [1.0]), ("a", [1.0]), ("b", [1.0, 2.0])]
+
+
+def test_ranges_far_into_an_archive(spark, folder):
+    """A range that begins beyond what the reader of a member holds."""
+    rows = vectors(spark, 5000, width=64, parts=1)
+    A.write_vector_archives(rows, folder)
+    found = A.vector_archives(spark, folder, rows_per_task=700)
+    assert found.where("reason_code IS NOT NULL").isEmpty()
+    assert sorted(map(tuple, found.select("identity", "embedding").collect())) == sorted(map(tuple, rows.select("identity", "embedding").collect()))
