@@ -7,6 +7,7 @@ plain function over rows, so that tests can hold it against a slow version.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Callable
@@ -100,13 +101,14 @@ def quota_selection(rows: list[dict], vectors: np.ndarray, ranks: list[str], fea
     return chosen
 
 
-def rarest_first(rows: list[dict], ranks: list[str], targets: dict[str, int], total: int, *, smallest: int = 0, side_most: float = 0.0, negatives: int = 0) -> list[int]:
+def rarest_first(rows: list[dict], ranks: list[str], targets: dict[str, int], total: int, *, smallest: int = 0, side_most: float = 0.0, negatives: int = 0, frames: dict[str, int] | None = None) -> list[int]:
     """Positive rows for each class, rarest first, in rank order until the class' count reaches
     its target (the test follows an addition); by rank up to ``total``; then ``smallest`` more,
     of the least sides up to ``side_most``; then the first ``negatives`` of the other rows
-    (``negative`` true). Whatever falls short is an error."""
+    (``negative`` true). Whatever falls short is an error. ``frames`` counts the positive rows of
+    each class where ``rows`` are only some of them."""
     order = sorted((i for i in range(len(rows)) if not rows[i].get("negative")), key=lambda i: ranks[i])
-    frames = Counter(c for i in order for c in set(rows[i]["classes"]))
+    frames = Counter(c for i in order for c in set(rows[i]["classes"])) if frames is None else frames
     chosen: list[int] = []
     taken: set[int] = set()
     counts: Counter = Counter()
@@ -404,18 +406,35 @@ def validation_queue(pool: DataFrame, identity: str, phash: str, group: str, sit
 
 def shortlist(pool: DataFrame, identity: str, classes: str, *, targets: dict[str, int], total: int, negative: str | None = None, side: str | None = None, smallest: int = 0, side_most: float = 0.0, negatives: int = 0) -> DataFrame:
     """identity and position, positive rows before negative ones, each by rank: see
-    ``rarest_first``. negative: a boolean column; side: the least side of a row's boxes."""
+    ``rarest_first``. negative: a boolean column (null: false); side: the least side of a row's boxes.
+
+    Any number of rows: the kernel gets those only that can be chosen. The classes take ``most`` rows
+    together at most, so of each class its first ``most`` suffice; of all the first ``total``; of
+    small sides as many as are asked for behind all that was taken before; and the first negatives.
+    Null classes are none; repeated rows stay. An empty pool gives no rows.
+    """
     kind = dict(pool.dtypes)[identity]
+    most = sum(max(1, n) for n in targets.values())
+    named = pool.select(F.col(identity).alias("_id"), F.coalesce(F.col(classes).cast("array<string>"), F.array()).alias("_c"), (F.coalesce(F.col(negative).cast("boolean"), F.lit(False)) if negative else F.lit(False)).alias("_n"), (F.col(side).cast("double") if side else F.lit(0.0)).alias("_s"), stable_rank(identity).alias("_r"))
+    # repeated rows are numbered, so that those of the several parts below are told from each other
+    named = named.withColumn("_k", F.row_number().over(Window.partitionBy(*named.columns).orderBy("_r")))
+    positive = named.where("NOT _n")
+    by_rank = ["_r", "_c", "_s", "_k"]
+    of_class = positive.withColumn("_t", F.explode(F.array_intersect("_c", F.array(*[F.lit(c) for c in targets]).cast("array<string>"))))
+    first = of_class.withColumn("_i", F.row_number().over(Window.partitionBy("_t").orderBy(*by_rank))).where(F.col("_i") <= most)
+    small = positive.where(F.col("_s") <= side_most).orderBy("_s", *by_rank).limit(max(most, total) + smallest) if smallest else positive.limit(0)
+    parts = [first.select(*named.columns), positive.orderBy(*by_rank).limit(max(0, total)), small, named.where("_n").orderBy(*by_rank).limit(negatives)]
+    frames = {r["_t"]: r["count"] for r in of_class.groupBy("_t").count().collect()}
 
     def kernel(held: pd.DataFrame) -> pd.DataFrame:
-        rows = [{"classes": list(c), "negative": n, "side": s} for c, n, s in zip(held["_c"], held["_n"], held["_s"], strict=True)]
-        ranks = held["_r"].tolist()
-        chosen = rarest_first(rows, ranks, targets, total, smallest=smallest, side_most=side_most, negatives=negatives)
+        rows = [{"id": i, "classes": list(c), "negative": n, "side": s, "rank": r, "copy": k} for i, c, n, s, r, k in zip(held["_id"], held["_c"], held["_n"], held["_s"], held["_r"], held["_k"], strict=True)]
+        rows.sort(key=lambda r: (r["rank"], [(c is not None, c or "") for c in r["classes"]], math.inf if math.isnan(r["side"]) else r["side"], r["copy"]))
+        ranks = [r["rank"] for r in rows]
+        chosen = rarest_first(rows, ranks, targets, total, smallest=smallest, side_most=side_most, negatives=negatives, frames=Counter(frames))
         chosen.sort(key=lambda i: (rows[i]["negative"], ranks[i]))
-        return pd.DataFrame({identity: held.iloc[chosen][identity], "position": np.arange(1, len(chosen) + 1)})
+        return pd.DataFrame({identity: [rows[i]["id"] for i in chosen], "position": np.arange(1, len(chosen) + 1)})
 
-    named = pool.select(identity, F.col(classes).alias("_c"), (F.col(negative) if negative else F.lit(False)).alias("_n"), (F.col(side).cast("double") if side else F.lit(0.0)).alias("_s"), stable_rank(identity).alias("_r"))
-    return over_pool(named, kernel, f"{identity} {kind}, position long")
+    return over_pool(functools.reduce(DataFrame.unionByName, parts).distinct(), kernel, f"{identity} {kind}, position long")
 
 
 def supplement(pool: DataFrame, identity: str, classes: str, group: str, *, count: int, floors: dict[str, int], cap: int) -> DataFrame:

@@ -438,6 +438,38 @@ def test_shortlist_adds_small_sides_and_negatives():
         selection.rarest_first(rows, list("abcdef"), {"car": 1}, 5)
 
 
+def test_shortlist_of_a_pool_of_any_size(spark):
+    """The rows that the kernel gets give what all rows would; repeated rows and blanks too."""
+    import random
+
+    r = random.Random(3)
+    schema = "id long, classes array<string>, negative boolean, side double"
+    for size in (0, 12, 60, 400):
+        rows = [(r.randrange(size), [r.choice("abcd") for _ in range(r.randrange(4))], r.choice([True, False, None]), r.choice([None, *(k / 10 for k in range(10))])) for _ in range(size)]
+        rows = [next(x for x in rows if x[0] == row[0]) for row in rows]
+        pool = spark.createDataFrame(rows, schema)
+        limits = {"smallest": 4, "side_most": 0.5, "negatives": 5}
+        plain = pool.withColumn("rank", selection.stable_rank("id")).collect()
+        kept = [{"classes": x["classes"], "negative": bool(x["negative"]), "side": float("nan") if x["side"] is None else x["side"]} for x in plain]
+        try:
+            want = selection.rarest_first(kept, [x["rank"] for x in plain], {"a": 3, "b": 5, "c": 0}, 14, **limits)
+        except ValueError as error:
+            if size:
+                with pytest.raises(Exception, match=str(error)):
+                    selection.shortlist(pool, "id", "classes", targets={"a": 3, "b": 5, "c": 0}, total=14, negative="negative", side="side", **limits).collect()
+            continue
+        want = [plain[i]["id"] for i in sorted(want, key=lambda i: (kept[i]["negative"], plain[i]["rank"]))]
+        got = selection.shortlist(pool, "id", "classes", targets={"a": 3, "b": 5, "c": 0}, total=14, negative="negative", side="side", **limits).orderBy("position").collect()
+        assert [x["id"] for x in got] == want
+    many = spark.range(selection.POOL_ROWS + 50_000).select("id", F.array(F.concat(F.lit("c"), F.col("id") % 3)).alias("classes"), (F.col("id") % 5 == 0).alias("negative"))
+    got = selection.shortlist(many, "id", "classes", targets={"c0": 2, "c2": 2}, total=6, negative="negative", negatives=1).orderBy("position").collect()
+    ranked = many.withColumn("rank", selection.stable_rank("id")).orderBy("rank")
+    first = lambda where, n: [(x["rank"], x["id"]) for x in ranked.where(where).limit(n).collect()]
+    held = first("NOT negative AND classes[0] = 'c0'", 2) + first("NOT negative AND classes[0] = 'c2'", 2)
+    rest = [x for x in first("NOT negative", 6) if x not in held]
+    assert [x["id"] for x in got] == [i for _, i in sorted(held + rest[:2])] + [first("negative", 1)[0][1]]
+
+
 def test_validation_queue_tells_near_hashes(spark):
     near = {"group_cap": 1, "site_cap": 9, "maximum": 2}
     hashes = np.array([0, 0b11, 0b111, 0xFF00, 0xFF0000], np.uint64)
