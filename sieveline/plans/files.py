@@ -56,7 +56,7 @@ def labels_round_trip(spark: SparkSession, d: str) -> DataFrame:
     rows = boxes(spark, d).withColumns({"width": F.lit(640.0), "height": F.lit(480.0)})
     path = _path(spark, "labels")
     writers.write_labels(rows, path, "image")
-    read = readers.label_lines(spark.read.text(path))
+    read = readers.label_lines(readers.label_files(spark, path))
     return read.select(F.col("image").cast("long").alias("image"), "class_id", F.round("cx", 8).alias("cx"), F.round("h", 8).alias("h"), "is_faulty")
 
 

@@ -8,12 +8,14 @@ import tarfile
 import zipfile
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.functions.scalars import iso_stamp
 from sieveline.operators.ledger import require_columns
+from sieveline.sources.archives import located, qualified
 
 #: How the files of a frame archive and of an inventory are named.
 ARCHIVE_NAME = r"^([A-Za-z0-9_.-]+?)_(\d{4})_(\d{2})\.tar\.gz$"
@@ -174,6 +176,31 @@ def coco_annotations(documents: DataFrame, by: str | None = None) -> DataFrame:
     return joined.select("id", "file_name", "category", x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h"), fault.alias("fault"))
 
 
+def label_files(spark: SparkSession, path: str) -> DataFrame:
+    """image and value, a row for each line of the label files that ``writers.write_labels`` published; a file of
+    another size than it was written with is an error."""
+    root = qualified(spark, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = located(root)
+        for batch in batches:
+            texts, size, first = [], 0, 0
+            for i, (file, told) in enumerate(zip(batch.column("file").to_pylist(), batch.column("bytes").to_pylist(), strict=True)):
+                with fs.open_input_stream(f"{base}/{file}") as f:
+                    content = f.read()
+                if len(content) != told:
+                    raise OSError(f"{file} is not whole")
+                texts.append(content.decode())
+                size += told
+                if size >= MEMBER_BATCH or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([batch.column("image").slice(first, len(texts)), pa.array(texts, pa.string())], ["image", "value"])
+                    texts, size, first = [], 0, i + 1
+
+    index = spark.read.parquet(f"{root}/index")
+    whole = index.mapInArrow(run, f"image {index.schema['image'].dataType.simpleString()}, value string")
+    return whole.select("image", F.explode(F.split("value", "\n")).alias("value"))
+
+
 def label_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Label lines of class and centre box, with a fault where a line isn't five finite
     shares of a box within the image."""

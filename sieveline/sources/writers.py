@@ -3,14 +3,25 @@ makes each write whole or absent; nothing is overwritten unless asked."""
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
+import uuid
 import zipfile
+from collections.abc import Iterator
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.scalars import center_line
+from sieveline.session import removed
+from sieveline.sources.archives import located, qualified
+
+#: Label files of a folder, at most.
+FOLDER_FILES = 10_000
 
 
 def write_manifest(df: DataFrame, path: str, fields: list[str], mode: str = "errorifexists") -> None:
@@ -47,8 +58,49 @@ def label_texts(boxes: DataFrame, image: str) -> DataFrame:
     return boxes.groupBy(image).agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("value"))
 
 
+def label_name(image: str | None) -> str:
+    """The file of an image, whatever its name holds; long names by their digest."""
+    name = "%" if image is None else quote(image, safe=" ")
+    return (name if len(name) <= 200 else "%" + hashlib.sha256(image.encode()).hexdigest()) + ".txt"
+
+
 def write_labels(boxes: DataFrame, path: str, image: str, mode: str = "errorifexists") -> None:
-    label_texts(boxes, image).write.mode(mode).partitionBy(image).text(path)
+    """One label file for each image with boxes, and the table ``index`` below ``path``: image, file and bytes.
+
+    Tasks write the files themselves, FOLDER_FILES at most to a folder of their attempt, and Spark commits the index, so a
+    failed job or a second attempt of a task never shows. ``readers.label_files`` reads what the index names. Null images are one.
+    """
+    spark, root, job = boxes.sparkSession, qualified(boxes.sparkSession, path), f"labels/{uuid.uuid4().hex}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = located(root)
+        folder, used = "", set()
+        for batch in batches:
+            files, sizes = [], []
+            for text, lines in zip(batch.column("name").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                name, content = label_name(text), lines.encode()
+                if not folder or name in used or len(used) >= FOLDER_FILES:
+                    folder, used = f"{job}/{uuid.uuid4().hex}", set()
+                    fs.create_dir(f"{base}/{folder}", recursive=True)
+                used.add(name)
+                with fs.open_output_stream(f"{base}/{folder}/{name}") as f:
+                    f.write(content)
+                files.append(f"{folder}/{name}")
+                sizes.append(len(content))
+            yield pa.RecordBatch.from_arrays([batch.column("image"), pa.array(files, pa.string()), pa.array(sizes, pa.int64())], ["image", "file", "bytes"])
+
+    texts = label_texts(boxes, image).select(F.col(image).alias("image"), F.col(image).cast("string").alias("name"), "value")
+    kind = texts.schema["image"].dataType.simpleString()
+    try:
+        texts.mapInArrow(run, f"image {kind}, file string, bytes long").write.mode(mode).parquet(f"{root}/index")
+    except Exception:
+        removed(spark, f"{root}/{job}")
+        raise
+    if mode == "overwrite":
+        fs, base = located(root)
+        for info in fs.get_file_info(pafs.FileSelector(f"{base}/labels", allow_not_found=True)):
+            if info.base_name != job.split("/")[1]:
+                fs.delete_dir(info.path)
 
 
 def coco_document(images: DataFrame, boxes: DataFrame, categories: list[tuple[int, str]], by: str | None = None) -> DataFrame:

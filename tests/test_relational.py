@@ -547,6 +547,31 @@ def test_labels(spark):
     assert [r["is_faulty"] for r in readers.label_lines(lines).collect()] == [False, True, True, True, True]
 
 
+def test_label_files(spark, tmp_path, monkeypatch):
+    """One file an image, many to a folder; any name, blank and null apart; a failed job and stray files don't show."""
+    monkeypatch.setattr(writers, "FOLDER_FILES", 500)
+    names = [*[f"i{k}" for k in range(2000)], "a/b", "", None, "007", "..", "é" * 300, "x y"]
+    held = [(n, c, 10.0 * c, 20.0, 10.0 * c + 8, 40.0, 640.0, 480.0) for n in names for c in (1, 0)]
+    rows = spark.createDataFrame(held, "name string, class_id int, x1 double, y1 double, x2 double, y2 double, width double, height double")
+    path = tmp_path / "labels"
+    bad = rows.withColumn("class_id", F.when(F.col("name") == "i77", F.raise_error(F.lit("i77 is bad"))).otherwise(F.col("class_id")))
+    with pytest.raises(Exception, match="i77 is bad"):
+        writers.write_labels(bad, str(path), "name")
+    writers.write_labels(rows, str(path), "name")
+    files = [f for f in path.rglob("*.txt")]
+    assert len(files) == len(names) and max(len(list(f.iterdir())) for f in {f.parent for f in files}) <= 500
+    (files[0].parent / "stray.txt").write_text("0 0.5 0.5 0.1 0.1")
+    got = Counter((r["image"], r["class_id"], r["is_faulty"]) for r in readers.label_lines(readers.label_files(spark, str(path))).collect())
+    assert got == Counter((n, c, False) for n in names for c in (0, 1))
+    with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+        writers.write_labels(rows, str(path), "name")
+    writers.write_labels(rows.where("name = 'i1'"), str(path), "name", mode="overwrite")
+    assert readers.label_files(spark, str(path)).count() == 2 and len(list(path.rglob("*.txt"))) == 1
+    next(path.rglob("i1.txt")).write_text("0")
+    with pytest.raises(Exception, match="is not whole"):
+        readers.label_files(spark, str(path)).collect()
+
+
 def test_inventory(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / ".secret").mkdir()
