@@ -8,8 +8,11 @@ state in the stream's checkpoint, so a run that is stopped goes on where it was.
 
 from __future__ import annotations
 
+import itertools
 import json
+import pickle
 import sys
+import zlib
 from collections.abc import Callable, Iterator
 from typing import TYPE_CHECKING, NamedTuple
 
@@ -27,10 +30,11 @@ if TYPE_CHECKING:
 #: Result (null: failed) and reason code of one attempt at a row's payload.
 Detect = Callable[[str, int], tuple[str | None, str]]
 INPUT = "identity string, digest string, stamp timestamp, sequence long, payload string, context string, shard int"
-RECORD = "status string, reason_code string, result string, digest string, context string, attempts long, skipped long, version long, tries int, due long, payload string"
 OUTPUT = "identity string, status string, reason_code string, result string, digest string, context string, attempts long, skipped long, version long"
 #: Closing rows come after all others.
 LAST = (1 << 63) - 1
+#: Parts of a shard's records that are read and stored at once, and rows that a shard hands on in one frame, about.
+BUCKETS, FRAME_ROWS = 64, 10_000
 
 
 class Record(NamedTuple):
@@ -50,11 +54,21 @@ class Record(NamedTuple):
     payload: str | None = None
 
 
+class Row(NamedTuple):
+    """What a manifest row says of its identity; ``us`` is its stamp in microseconds."""
+
+    digest: str | None
+    us: int
+    payload: str | None
+    context: str | None
+
+
 class Screening(StatefulProcessor):
-    """The state of one shard: records and due times by identity, and changed records to hand on.
+    """The state of one shard: buckets of records, each bucket's first due time, and changed records to hand on.
 
     A trigger's rows of a shard are sorted in memory; the trigger's size and the number of
-    shards bound them. Records stay in the state store and are read one at a time.
+    shards bound them. Records stay in the state store and are read and stored a bucket at a time, once
+    a trigger: each access is a message to Spark, which costs more than many records do.
     """
 
     def __init__(self, detect: Detect, delay: int, retries: int, permanent: tuple[str, ...], flush_every: int):
@@ -62,10 +76,24 @@ class Screening(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.records = handle.getMapState("records", "identity string", RECORD)
-        self.waiting = handle.getMapState("waiting", "identity string", "due long")
+        self.records = handle.getMapState("records", "bucket int", "held binary")
+        self.waiting = handle.getMapState("waiting", "bucket int", "due long")
         self.pending = handle.getListState("pending", OUTPUT)
 
+    def opened(self, bucket: int) -> dict[str, Record]:
+        """A bucket's records by identity."""
+        found = self.records.getValue((bucket,))
+        return {i: Record(*r) for i, r in pickle.loads(found[0]).items()} if found is not None else {}
+
+    def closed(self, bucket: int, held: dict[str, Record]) -> None:
+        """Store a bucket and when its first retry is due."""
+        self.records.updateValue((bucket,), (pickle.dumps({i: tuple(r) for i, r in held.items()}, pickle.HIGHEST_PROTOCOL),))
+        due = min((r.due for r in held.values() if r.due is not None), default=None)
+        if due is not None:
+            self.waiting.updateValue((bucket,), (due,))
+        elif self.waiting.containsKey((bucket,)):
+            self.waiting.removeKey((bucket,))
+
     def attempted(self, record: Record, at: int) -> Record:
         """The record after its payload was screened once more."""
         result, reason = self.detect(record.payload, record.tries + 1)
@@ -81,7 +109,7 @@ class Screening(StatefulProcessor):
             record = self.attempted(record, record.due)
         return record
 
-    def met(self, record: Record | None, row) -> Record:
+    def met(self, record: Record | None, row: Row) -> Record:
         """The record after a row of its identity."""
         if record is None:
             record = Record("failed", "", None, row.digest, row.context)
@@ -92,23 +120,21 @@ class Screening(StatefulProcessor):
             return record._replace(skipped=record.skipped + 1)
         return self.attempted(record._replace(payload=row.payload, tries=0), row.us)
 
-    def kept(self, identity: str, old: Record | None, new: Record) -> tuple:
-        """Store a changed record; its row for the output."""
-        new = new._replace(version=new.version + 1)
-        self.records.updateValue((identity,), tuple(new))
-        if new.due is not None:
-            self.waiting.updateValue((identity,), (new.due,))
-        elif old is not None and old.due is not None:
-            self.waiting.removeKey((identity,))
+    @staticmethod
+    def kept(held: dict[str, Record], identity: str, new: Record) -> tuple:
+        """Put a changed record into its bucket; its row for the output."""
+        held[identity] = new = new._replace(version=new.version + 1)
         return (identity, *new[:8])
 
     def due_by(self, until: int) -> list[tuple]:
         """Retry all that is due by then."""
         found = [key[0] for key, value in self.waiting.iterator() if value[0] <= until] if self.waiting.exists() else []
         rows = []
-        for identity in found:
-            old = Record(*self.records.getValue((identity,)))
-            rows.append(self.kept(identity, old, self.retried(old, until)))
+        for bucket in found:
+            held = self.opened(bucket)
+            for identity, old in [(i, r) for i, r in held.items() if r.due is not None and r.due <= until]:
+                rows.append(self.kept(held, identity, self.retried(old, until)))
+            self.closed(bucket, held)
         return rows
 
     def flushed(self, changed: list[tuple], last: bool) -> Iterator[pd.DataFrame]:
@@ -118,8 +144,9 @@ class Screening(StatefulProcessor):
         names = [c.split()[0] for c in OUTPUT.split(", ")]
         held = ([tuple(r) for r in self.pending.get()] if self.pending.exists() else []) + changed
         cut = len(held) if last else len(held) - len(held) % self.flush_every
-        for i in range(0, cut, self.flush_every):
-            yield pd.DataFrame(held[i : min(i + self.flush_every, cut)], columns=names, dtype=object).astype({"attempts": "int64", "skipped": "int64", "version": "int64"})
+        step = max(1, FRAME_ROWS // self.flush_every) * self.flush_every
+        for i in range(0, cut, step):
+            yield pd.DataFrame(held[i : min(i + step, cut)], columns=names, dtype=object).astype({"attempts": "int64", "skipped": "int64", "version": "int64"})
         if held[cut:]:
             self.pending.put(held[cut:])
         elif held:
@@ -137,16 +164,24 @@ class Screening(StatefulProcessor):
         import pandas as pd
 
         held = pd.concat(list(rows), ignore_index=True)
-        held = held.astype(object).where(held.notna(), None)
         closing = held["identity"].isna().any()
+        held = held[held["identity"].notna()]
+        held = held.astype(object).where(held.notna(), None)
+        names, us, sequence, payload, digest, context = (held[c].tolist() for c in ("identity", "us", "sequence", "payload", "digest", "context"))
+        buckets = [zlib.crc32(n.encode()) % BUCKETS for n in names]
         changed = []
-        ordered = held[held["identity"].notna()].sort_values(["identity", "us", "sequence", "payload"], kind="stable")
-        for identity, its in ordered.groupby("identity", sort=False):
-            found = self.records.getValue((identity,))
-            old = record = Record(*found) if found is not None else None
-            for row in its.itertuples(index=False):
-                record = self.met(record, row)
-            changed.append(self.kept(identity, old, record))
+        # blanks come last
+        keys = [(b, n, at, s is None, s or 0, p is None, p or "") for b, n, at, s, p in zip(buckets, names, us, sequence, payload, strict=True)]
+        ordered = sorted(range(len(keys)), key=keys.__getitem__)
+        del held, keys
+        for bucket, its in itertools.groupby(ordered, buckets.__getitem__):
+            records = self.opened(bucket)
+            for identity, places in itertools.groupby(its, names.__getitem__):
+                record = records.get(identity)
+                for i in places:
+                    record = self.met(record, Row(digest[i], us[i], payload[i], context[i]))
+                changed.append(self.kept(records, identity, record))
+            self.closed(bucket, records)
         if closing:
             changed += self.due_by(LAST)
         yield from self.flushed(changed, closing)
@@ -203,27 +238,31 @@ def screened(rows: DataFrame, detect: Detect, *, delay_seconds: int = 3600, retr
             cloudpickle.unregister_pickle_by_value(m)
 
 
-def run_screening(spark: SparkSession, inbox: str, root: str, detect: Detect, run: dict, **settings) -> DataFrame:
+def run_screening(spark: SparkSession, inbox: str, root: str, detect: Detect, run: dict, *, stores: int = 64, **settings) -> DataFrame:
     """Screen what came into ``inbox`` (parquet of ``screening_rows``) since the last start and
     give every record handed on so far, latest versions only.
 
     ``run`` names the run (inputs, model, floor); a start under another name is refused. Stopping
-    and starting gives the records of one start, once closing rows have come.
+    and starting gives the records of one start, once closing rows have come. Shards are dealt to
+    ``stores`` state stores at most (never more than the session's shuffle partitions); each is opened and committed in every trigger, also an empty one.
     """
     named = json.dumps(run, sort_keys=True)
     if path_exists(spark, f"{root}/run"):
         same_run(json.loads(spark.read.text(f"{root}/run").first()[0]), run)
     else:
         spark.createDataFrame([(named,)], "value string").coalesce(1).write.text(f"{root}/run")
-    conf, store = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, store)
+    partitions = "spark.sql.shuffle.partitions"
+    conf = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", partitions: str(min(stores, int(spark.conf.get(partitions))))}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         stream = spark.readStream.schema(INPUT).parquet(inbox)
         changed = screened(stream, detect, **settings)
         changed.writeStream.format("parquet").option("path", f"{root}/records").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
-        spark.conf.set(conf, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return latest(spark.read.schema(OUTPUT).parquet(f"{root}/records"))
 
 

@@ -1,6 +1,7 @@
 """The stateful screening run: restarts, retries, staleness, flushes, run identity."""
 
 import datetime as dt
+import os
 import random
 import uuid
 
@@ -114,3 +115,54 @@ def test_empty_input_blank_columns_and_repeated_rows(spark):
     found = answered(Z.latest(Z.screened(manifest(spark, odd).unionByName(Z.closing_rows(spark, SHARDS)), outcome)))
     assert found["a"] == ("completed", "", "ok@1", None, None, 1, 1)
     assert found[""] == ("failed", "source_mismatch", None, "d", "z" * 100_000, 1, 0)
+
+
+def test_state_is_read_and_stored_by_buckets():
+    """A shard's trigger of 5,000 identities: messages to the state follow the buckets, frames the rows handed on."""
+    import pandas as pd
+
+    class Held(dict):
+        def __init__(self):
+            self.messages = 0
+
+        def getValue(self, key):
+            self.messages += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self.messages += 1
+            self[key] = value
+
+        def containsKey(self, key):
+            self.messages += 1
+            return key in self
+
+        removeKey, exists, iterator = dict.pop, dict.__len__, dict.items
+
+    class Handle(dict):
+        def getMapState(self, name, *_):
+            return self.setdefault(name, Held())
+
+        def getListState(self, *_):
+            return type("Empty", (), {"exists": lambda s: False, "put": lambda s, x: None, "clear": lambda s: None})()
+
+    handle, processor = Handle(), Z.Screening(outcome, 1, 1, (), 7)
+    processor.timed = False
+    processor.init(handle)
+    names, kinds = [f"i{k}" for k in range(5000)], ["ok", "slow1", "bad"]
+    for turn in range(2):
+        rows = pd.DataFrame({"identity": names, "digest": "x", "us": turn, "sequence": turn, "payload": [kinds[k % 3] for k in range(5000)], "context": "c"})
+        found = list(processor.handleInputRows((0,), iter([rows[:1700], rows[1700:]]), None))
+        assert sum(map(len, found)) == 5000 - 5000 % 7 and len(found) <= 5
+        assert set(pd.concat(found)["version"]) == {turn + 1}
+    assert sum(h.messages for h in handle.values()) <= 2 * 3 * Z.BUCKETS
+
+
+def test_a_run_opens_few_state_stores(spark):
+    root = f"{shared_dir(spark)}/screen-{uuid.uuid4().hex}"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = manifest(spark, [(f"i{k}", "x", START, k, "ok", "c") for k in range(30)])
+    rows.unionByName(Z.closing_rows(spark, SHARDS)).write.parquet(f"{root}/in")
+    assert Z.run_screening(spark, f"{root}/in", f"{root}/out", outcome, {}, stores=2).count() == 30
+    stores = [p for p in os.listdir(f"{root}/out/checkpoint/state/0".removeprefix("file://")) if p.isdigit()]
+    assert sorted(stores) == ["0", "1"] and spark.conf.get("spark.sql.shuffle.partitions") == before
