@@ -48,7 +48,7 @@ def screening_run(spark: SparkSession, d: str) -> DataFrame:
     """All events as a manifest that arrives in slices of time, the stream stopped and started for each."""
     e = table(spark, d, "events").where("ts IS NOT NULL").withColumn("ts", F.col("ts").cast("timestamp"))
     bounds = e.agg(F.count("*").alias("n"), F.min(F.unix_micros("ts")).alias("a"), F.max(F.unix_micros("ts")).alias("b")).first()
-    slices, shards = max(3, -(-bounds.n // SLICE_ROWS)), 64
+    slices, shards = max(3, -(-bounds.n // SLICE_ROWS)), 128
     rows = Z.screening_rows(e, F.concat_ws(":", "user_id", "event_type"), F.when(F.col("value") >= 250, "b").otherwise("a"), F.col("ts"), F.col("event_id"), F.concat_ws("|", "event_id", "value"), F.col("event_id"), shards)
     inbox, root = _folder(spark, "inbox"), _folder(spark, "screening")
     run = {"rows": bounds.n, "model": "screen_value", "floor": 60}

@@ -34,7 +34,7 @@ OUTPUT = "identity string, status string, reason_code string, result string, dig
 #: Closing rows come after all others.
 LAST = (1 << 63) - 1
 #: Parts of a shard's records that are read and stored at once, and rows that a shard hands on in one frame, about.
-BUCKETS, FRAME_ROWS = 64, 10_000
+BUCKETS, FRAME_ROWS = 32, 10_000
 
 
 class Record(NamedTuple):
